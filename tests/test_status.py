@@ -1,0 +1,161 @@
+"""Payload checks, work items, run status, resume points and state."""
+
+from datetime import date
+
+import pytest
+from conftest import TWO_POINTS, payload, rows, utc
+
+from tidemark.operators import (
+    advance_to,
+    failed_dates,
+    failed_items,
+    landed_exists,
+    last_processed,
+    latest_state,
+    loaded_counts,
+    loaded_on,
+    pending,
+    point_counts,
+    resume_point,
+    run_status,
+    run_summary,
+    run_window,
+    state_row,
+    validate,
+    with_missing,
+    work_items,
+)
+from tidemark.schemas import STATE
+
+NOW = utc(2024, 2, 1, 12)
+D = [None, date(2024, 1, 1), date(2024, 1, 2), date(2024, 1, 3)]
+
+
+def test_validate_names_what_is_missing(landed):
+    df = landed(
+        ("good", NOW, TWO_POINTS),
+        ("uneven", NOW, payload([[1, 1]], [[1, 1], [2, 2]])),
+        ("empty", NOW, payload([], [], [])),
+        ("one", NOW, '{"prices": [[1, 1]], "total_volumes": [[1, 1]]}'),
+        ("none", NOW, "{}"),
+        ("null", NOW, None),
+        ("cut", NOW, TWO_POINTS[:-1]),
+    )
+    valid, rejected = validate(df)
+    assert rows(valid, "entity") == [("good",), ("uneven",)]
+    every = ["prices", "market_caps", "total_volumes"]
+    assert {r["entity"]: r["missing"] for r in rejected.collect()} == {
+        "empty": every, "one": ["market_caps"], "none": every, "null": every, "cut": every,
+    }
+
+
+def test_point_counts(landed):
+    df = point_counts(landed(("a", NOW, payload([[1, 1]], [[1, 1], [2, 2]], []))))
+    assert rows(df, "n_prices", "n_market_caps", "n_total_volumes") == [(1, 2, 0)]
+
+
+def entity_rows(spark, *names):
+    return spark.createDataFrame([(n,) for n in names], "entity string")
+
+
+def test_work_items(spark):
+    both = entity_rows(spark, "a", "b")
+    assert rows(work_items(both, D[1], D[2])) == [("a", D[1]), ("a", D[2]), ("b", D[1]), ("b", D[2])]
+    assert rows(work_items(both, D[1], D[1])) == [("a", D[1]), ("b", D[1])]
+    assert work_items(both, D[2], D[1]).count() == 0
+
+
+def test_loaded_and_pending(spark, landed):
+    raw = landed(("a", utc(2024, 1, 1, 23, 59), None), ("a", utc(2024, 1, 1, 1), None), ("b", utc(2024, 1, 2), None))
+    assert rows(loaded_counts(raw)) == [("a", D[1], 2), ("b", D[2], 1)]
+    assert rows(loaded_on(raw, D[1])) == [("a", D[1])]
+    items = work_items(entity_rows(spark, "a", "b"), D[1], D[2])
+    assert rows(pending(items, raw)) == [("a", D[2]), ("b", D[1])]
+    assert rows(landed_exists(items, raw)) == [("a", D[1]), ("b", D[2])]
+
+
+def test_status_of_every_item(spark, landed):
+    items = work_items(entity_rows(spark, "a", "b", "c", "d"), D[1], D[1])
+    arrived = landed(
+        ("a", NOW, TWO_POINTS, D[1]),
+        ("b", NOW, "{}", D[1]),
+        ("d", NOW, "{}", D[1]),
+        ("d", NOW, TWO_POINTS, D[1]),
+    )
+    status = run_status(items, with_missing(arrived))
+    assert rows(status) == [
+        ("a", D[1], True, None),
+        ("b", D[1], False, "missing or empty: prices, market_caps, total_volumes"),
+        ("c", D[1], False, "not landed"),
+        ("d", D[1], True, None),
+    ]
+    assert rows(run_summary(status)) == [(4, 2, False)]
+    assert rows(failed_items(status), "entity") == [("b",), ("c",)]
+
+
+def test_summary_of_no_items(spark):
+    nothing = spark.createDataFrame([], "entity string, run_date date, ok boolean")
+    assert rows(run_summary(nothing)) == [(0, 0, True)]
+
+
+def days_ok(spark, *flags):
+    """Two entities per date; a false flag fails one of them."""
+    made = [("p", D[i + 1], e, ok or e == "a") for i, ok in enumerate(flags) for e in "ab"]
+    return spark.createDataFrame(made, "pipeline_name string, run_date date, entity string, ok boolean")
+
+
+@pytest.mark.parametrize(
+    "flags, max_success, contiguous",
+    [
+        ((True, True, True), D[3], D[3]),
+        ((True, True, False), D[2], D[2]),
+        ((True, False, True), D[3], D[1]),
+        ((False, True, True), D[3], None),
+        ((False, False, False), None, None),
+    ],
+)
+def test_resume_point(spark, flags, max_success, contiguous):
+    status = days_ok(spark, *flags)
+    assert rows(resume_point(status, "max_success")) == [("p", max_success)]
+    assert rows(resume_point(status, "contiguous")) == [("p", contiguous)]
+    moved = rows(advance_to(resume_point(status), NOW), "pipeline_name", "last_processed_date")
+    assert moved == ([("p", contiguous)] if contiguous else [])
+
+
+def test_resume_point_unknown_policy(spark):
+    with pytest.raises(ValueError):
+        resume_point(days_ok(spark, True), "best")
+
+
+def test_failed_dates_are_sorted_and_distinct(spark):
+    status = days_ok(spark, False, True, False)
+    assert [r[0] for r in failed_dates(status).collect()] == [D[1], D[3]]
+
+
+def test_last_processed_takes_the_newest_row(spark):
+    state = spark.createDataFrame(
+        [("p", D[1], utc(2024, 1, 5)), ("p", D[3], utc(2024, 1, 4)), ("p", D[2], None), ("q'--", D[2], None)], STATE
+    )
+    assert last_processed(state, "p") == D[1]
+    assert last_processed(state, "q'--") == D[2]
+    assert last_processed(state, "unknown") is None
+    assert rows(latest_state(state), "pipeline_name", "last_processed_date") == [("p", D[1]), ("q'--", D[2])]
+
+
+def test_state_upsert_keeps_other_pipelines(spark, tables):
+    for name, day in (("p", D[1]), ("q", D[2]), ("p", D[3])):
+        tables.upsert("state", state_row(spark, name, day, NOW))
+    assert rows(tables.read("state"), "pipeline_name", "last_processed_date") == [("p", D[3]), ("q", D[2])]
+
+
+def test_run_window(spark):
+    as_of = date(2024, 1, 15)
+    state = spark.createDataFrame(
+        [("two_behind", date(2024, 1, 13), NOW), ("current", date(2024, 1, 14), NOW)], STATE
+    )
+    pipelines = spark.createDataFrame([("two_behind",), ("current",), ("new",)], "pipeline_name string")
+    assert rows(run_window(state, pipelines, as_of, 2)) == [
+        ("current", date(2024, 1, 15), date(2024, 1, 14), True),
+        ("new", date(2024, 1, 13), date(2024, 1, 14), False),
+        ("two_behind", date(2024, 1, 14), date(2024, 1, 14), False),
+    ]
