@@ -87,13 +87,25 @@ def test_text_that_is_no_number_still_fails_without_ansi(spark, landed):
 
 
 def test_text_that_is_no_number_can_become_null(landed):
-    points = flat(landed, payload([[DAY1, "abc"], ["x", 2.0]], [[1, 1]] * 2, [[1, 1]] * 2), raise_bad=False)
+    points = flat(landed, payload([[DAY1, "abc"], ["x", 2.0]], [[1, 1]] * 2, [[1, 1]] * 2), bad="null")
     assert rows(points.selectExpr("position", "unix_millis(event_time)", "price")) == [
         (0, DAY1, None),
         (1, None, 2.0),
     ]
 
 
+def test_text_that_is_no_number_can_be_flagged(landed):
+    text = payload([[DAY1, "abc"], ["x", 2.0], [DAY1, 3.0], [None, None]], [[1, 1]] * 3 + [[1, "y"]], [[1, 1]] * 4)
+    assert rows(flat(landed, text, bad="flag"), "position", "is_bad") == [
+        (0, True), (1, True), (2, False), (3, True),
+    ]
+
+
+def test_complete_days_only(landed):
+    raw = landed(("a", T1, payload([[DAY1, 1.0], [DAY2, 2.0], [None, 3.0]])))
+    assert rows(staging_rows(raw, date(2024, 1, 2), None, complete_days_only=True), "price") == [(1.0,)]
+
+
 def test_odd_elements_become_null_and_neighbours_stay(landed):
     points = flat(landed, payload([5, [7], [DAY1, 1.5], None, {"a": 1}, [DAY2, 2.5], [DAY2, [1, 2]]]))
     got = rows(points.selectExpr("position", "unix_millis(event_time)", "price"))

@@ -45,15 +45,19 @@ def scalar_arrays(nested: Column, payload: Column, name: str) -> Column:
     return F.coalesce(nested[name], each)
 
 
+def _unconvertible(text: Column, dtype: str) -> Column:
+    # Nested arrays and objects are no scalars: they read as null like a JSON null does.
+    nested = text.startswith("[") | text.startswith("{")
+    return text.isNotNull() & ~nested & text.try_cast(dtype).isNull()
+
+
 def _checked(text: Column, dtype: str, what: str, raise_bad: bool) -> Column:
     value = text.try_cast(dtype)
     if not raise_bad:
         return value
-    # Nested arrays and objects are no scalars and read as null. Any other text that does not
-    # convert stops the job, whatever the session's ANSI setting.
-    scalar = ~(text.startswith("[") | text.startswith("{"))
-    bad = text.isNotNull() & value.isNull() & scalar
-    return F.when(bad, F.raise_error(F.concat(F.lit(f"not a valid {what}: "), text))).otherwise(value)
+    # Stops the job whatever the session's ANSI setting is.
+    error = F.raise_error(F.concat(F.lit(f"not a valid {what}: "), text))
+    return F.when(_unconvertible(text, dtype), error).otherwise(value)
 
 
 def checked_millis(point: Column, raise_bad: bool = True) -> Column:
@@ -67,6 +71,14 @@ def checked_double(point: Column, raise_bad: bool = True) -> Column:
     return _checked(F.get(point, F.lit(1)), "double", "number", raise_bad)
 
 
+def bad_millis(point: Column) -> Column:
+    return F.coalesce(_unconvertible(F.get(point, F.lit(0)), "bigint"), F.lit(False))
+
+
+def bad_double(point: Column) -> Column:
+    return F.coalesce(_unconvertible(F.get(point, F.lit(1)), "double"), F.lit(False))
+
+
 def points_json(points: Column, millis: str, value: str) -> Column:
     """Array of structs -> JSON text of ``[epoch_ms, value]`` points. Null values become ``null``.
 

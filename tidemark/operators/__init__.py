@@ -1,7 +1,7 @@
 from tidemark.operators.daily import changed_days, daily_metrics, with_change
 from tidemark.operators.merge import merge_rows, repeated_keys, require_unique
 from tidemark.operators.search import keyword_scan
-from tidemark.operators.series import flatten_series, latest_per_key, recent
+from tidemark.operators.series import complete_days, flatten_series, latest_per_key, recent
 from tidemark.operators.state import advance_to, last_processed, latest_state, run_window, state_row
 from tidemark.operators.status import failed_dates, failed_items, resume_point, run_status, run_summary
 from tidemark.operators.validate import point_counts, validate, with_missing
@@ -10,6 +10,7 @@ from tidemark.operators.work import landed_exists, loaded_counts, loaded_on, pen
 __all__ = [
     "advance_to",
     "changed_days",
+    "complete_days",
     "daily_metrics",
     "failed_dates",
     "failed_items",

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import checked_double, checked_millis, in_utc_day_window, scalar_arrays
-from tidemark.functions.json_points import nested_arrays
+from tidemark.functions import checked_double, checked_millis, in_utc_day_window, scalar_arrays, utc_day
+from tidemark.functions.dates import as_column
+from tidemark.functions.json_points import bad_double, bad_millis, nested_arrays
 from tidemark.schemas import METRICS
 
 INGESTION_DATE = "ingestion_date"
@@ -33,6 +35,13 @@ def recent(
     return df.filter(in_utc_day_window(F.col(ingestion_time), as_of, lookback_days))
 
 
+def complete_days(
+    df: DataFrame, as_of: date | Column, event_time: str = "event_time"
+) -> DataFrame:
+    """Points of days that are over; those of ``as_of`` itself and without a time are left out."""
+    return df.filter(utc_day(event_time) < as_column(as_of))
+
+
 def flatten_series(
     df: DataFrame,
     metrics: Mapping[str, str] = METRICS,
@@ -40,16 +49,20 @@ def flatten_series(
     keep: Sequence[str] = ("entity", "ingestion_time"),
     event_time: str = "event_time",
     position: str = "position",
-    raise_bad: bool = True,
+    bad: str = "raise",
 ) -> DataFrame:
     """One row per array position, up to the shortest array of the payload.
 
     ``metrics`` maps payload array -> output column. The first array also supplies the event time;
     the timestamps inside the others are not read. The arrays are zipped inside the row, so the
-    positional join needs no shuffle. ``raise_bad=False`` turns text that is no number into null
-    instead of failing.
+    positional join needs no shuffle.
+
+    ``bad`` says what happens to text that is no number: ``raise`` fails the job, ``null`` reads it
+    as null, ``flag`` does that and adds a boolean ``is_bad``, to keep such points elsewhere.
     """
-    names = list(metrics)
+    if bad not in ("raise", "null", "flag"):
+        raise ValueError("bad must be raise, null or flag")
+    names, strict = list(metrics), bad == "raise"
     parsed = df.select(
         *keep, F.col(payload), nested_arrays(F.col(payload), names).alias("_nested")
     )
@@ -58,13 +71,18 @@ def flatten_series(
     )
     shortest = F.least(*[F.array_size(n) for n in names])
     zipped = F.slice(F.arrays_zip(*names), F.lit(1), shortest)
-    points = arrays.select(*keep, F.posexplode(zipped).alias(position, "_point"))
-    return points.select(
+    exploded = arrays.select(*keep, F.posexplode(zipped).alias(position, "_point"))
+    point = {n: F.col("_point")[n] for n in names}
+    columns = [
         *keep,
-        checked_millis(F.col("_point")[names[0]], raise_bad).alias(event_time),
-        *[checked_double(F.col("_point")[n], raise_bad).alias(out) for n, out in metrics.items()],
+        checked_millis(point[names[0]], strict).alias(event_time),
+        *[checked_double(point[n], strict).alias(out) for n, out in metrics.items()],
         position,
-    )
+    ]
+    if bad == "flag":
+        tests = [bad_millis(point[names[0]]), *[bad_double(point[n]) for n in names]]
+        columns.append(reduce(Column.__or__, tests).alias("is_bad"))
+    return exploded.select(*columns)
 
 
 def latest_per_key(

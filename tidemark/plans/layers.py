@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.daily import changed_days, daily_metrics, with_change
-from tidemark.operators.series import flatten_series, latest_per_key, recent
+from tidemark.operators.series import complete_days, flatten_series, latest_per_key, recent
 from tidemark.schemas import CURATED, STAGING, STAGING_TABLE
 from tidemark.sources.tables import Tables, in_partitions
 
@@ -18,11 +18,15 @@ TIEBREAK = ("position", "price", "market_cap", "total_volume")
 
 
 def staging_rows(
-    raw: DataFrame, as_of: date | None, lookback_days: int | None = 1, raise_bad: bool = True
+    raw: DataFrame,
+    as_of: date | None,
+    lookback_days: int | None = 1,
+    complete_days_only: bool = False,
 ) -> DataFrame:
     """Points of the recently ingested envelopes, the latest ingestion per (entity, event time)."""
-    fresh = recent(raw, as_of, lookback_days)
-    points = flatten_series(fresh, raise_bad=raise_bad)
+    points = flatten_series(recent(raw, as_of, lookback_days))
+    if complete_days_only:
+        points = complete_days(points, as_of)
     return latest_per_key(points, STAGING_TABLE.keys, "ingestion_time", TIEBREAK).select(
         *STAGING.names
     )
@@ -39,10 +43,11 @@ def build_staging(
     as_of: date | None,
     lookback_days: int | None = 1,
     only_if_newer: bool = False,
+    complete_days_only: bool = False,
 ) -> list[date | None]:
     """Upsert recent raw points into staging; returns the event dates that changed."""
     version = "ingestion_time" if only_if_newer else None
-    rows = staging_rows(raw, as_of, lookback_days)
+    rows = staging_rows(raw, as_of, lookback_days, complete_days_only)
     return tables.upsert("staging", rows, only_if_newer=version, unique_source=True)
 
 

@@ -62,6 +62,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def folder(spark: SparkSession, path: str):
+    """A path and its Hadoop file system, whichever store the path is on."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 @contextmanager
 def materialized(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """Write ``df`` once to the shared folder and hand back the written table.
@@ -75,5 +81,5 @@ def materialized(df: DataFrame, label: str) -> Iterator[DataFrame]:
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        place, files = folder(spark, path)
+        files.delete(place, True)
