@@ -77,6 +77,26 @@ def test_text_that_is_no_number_fails_the_job(landed, point):
         points.collect()
 
 
+@pytest.mark.parametrize("value", ["abc", True])
+def test_bad_value_in_a_later_array_fails_the_job(landed, value):
+    with pytest.raises(Exception, match="not a valid number"):
+        flat(landed, payload([[DAY1, 1.0]], [[DAY1, value]])).collect()
+
+
+def test_odd_elements_in_later_arrays(landed):
+    odd = [5, [7], ["x", "2.5"], None, {"a": 1}, [DAY1, [3]], [DAY1, None], ["t", 4]]
+    points = flat(landed, payload([[DAY1, 1.0]] * len(odd), odd))
+    assert [r[1] for r in rows(points, "position", "market_cap")] == [
+        None, None, 2.5, None, None, None, None, 4.0,
+    ]
+
+
+def test_integer_like_timestamps_are_still_checked_as_text(landed):
+    text = '{"prices": [[1704067200000.0, 1]], "market_caps": [[1, 1]], "total_volumes": [[1, 1]]}'
+    with pytest.raises(Exception, match="not a valid epoch millisecond"):
+        flat(landed, text).collect()
+
+
 def test_text_that_is_no_number_still_fails_without_ansi(spark, landed):
     spark.conf.set("spark.sql.ansi.enabled", "false")
     try:

@@ -3,8 +3,10 @@ from tidemark.functions.json_points import (
     checked_double,
     checked_millis,
     json_arrays,
+    nested_arrays,
+    number_points,
     points_json,
-    scalar_arrays,
+    text_points,
 )
 from tidemark.functions.numbers import pct_change, safe_divide
 from tidemark.functions.text import has_keyword, landing_key, zero_pad
@@ -18,10 +20,12 @@ __all__ = [
     "iso_utc",
     "json_arrays",
     "landing_key",
+    "nested_arrays",
+    "number_points",
     "pct_change",
     "points_json",
     "safe_divide",
-    "scalar_arrays",
+    "text_points",
     "utc_day",
     "zero_pad",
 ]

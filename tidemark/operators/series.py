@@ -9,9 +9,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import checked_double, checked_millis, in_utc_day_window, scalar_arrays, utc_day
+from tidemark.functions import (
+    checked_double,
+    checked_millis,
+    in_utc_day_window,
+    nested_arrays,
+    number_points,
+    text_points,
+    utc_day,
+)
 from tidemark.functions.dates import as_column
-from tidemark.functions.json_points import bad_double, bad_millis, nested_arrays
+from tidemark.functions.json_points import bad_double, bad_millis
 from tidemark.schemas import METRICS
 
 INGESTION_DATE = "ingestion_date"
@@ -63,20 +71,26 @@ def flatten_series(
     if bad not in ("raise", "null", "flag"):
         raise ValueError("bad must be raise, null or flag")
     names, strict = list(metrics), bad == "raise"
-    parsed = df.select(
-        *keep, F.col(payload), nested_arrays(F.col(payload), names).alias("_nested")
-    )
+    # Flagging needs the text of every value; otherwise only the timestamps do.
+    texts = names if bad == "flag" else names[:1]
+    numbers = [n for n in names if n not in texts]
+    text, doc = F.col(payload), F.col("_nested")
+    parsed = df.select(*keep, text, nested_arrays(text, texts, numbers).alias("_nested"))
     arrays = parsed.select(
-        *keep, *[scalar_arrays(F.col("_nested"), F.col(payload), n).alias(n) for n in names]
+        *keep,
+        *[text_points(doc, text, n).alias(n) for n in texts],
+        *[number_points(doc, text, n, strict).alias(n) for n in numbers],
     )
     shortest = F.least(*[F.array_size(n) for n in names])
     zipped = F.slice(F.arrays_zip(*names), F.lit(1), shortest)
     exploded = arrays.select(*keep, F.posexplode(zipped).alias(position, "_point"))
     point = {n: F.col("_point")[n] for n in names}
+    values = {n: checked_double(point[n], strict) for n in texts}
+    values |= {n: F.get(point[n], F.lit(1)) for n in numbers}
     columns = [
         *keep,
         checked_millis(point[names[0]], strict).alias(event_time),
-        *[checked_double(point[n], strict).alias(out) for n, out in metrics.items()],
+        *[values[n].alias(out) for n, out in metrics.items()],
         position,
     ]
     if bad == "flag":

@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.operators.state import state_row
 from tidemark.operators.work import loaded_on, work_items
@@ -18,6 +17,7 @@ from tidemark.plans.results import (
     transform,
 )
 from tidemark.session import materialized
+from tidemark.sources.landing import landed_between
 from tidemark.sources.tables import Tables
 
 PIPELINE_NAME = "backfill"
@@ -44,7 +44,7 @@ def backfill(
     todo = work_items(entities, as_of, as_of).join(done, ["entity", "run_date"], "left_anti")
     # The load changes what counts as done, so the list is fixed before it starts.
     with materialized(todo, "backfill-items") as items:
-        load = load_items(tables, landed.filter(F.col("run_date") == F.lit(as_of)), items, run_id)
+        load = load_items(tables, landed_between(landed, as_of, as_of), items, run_id)
         status = record_status(tables, items, pipeline_name, run_id)
     transform(tables, as_of, lookback_days)
     count, failures, ok = totals(status)

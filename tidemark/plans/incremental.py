@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from tidemark.operators.state import advance_to, last_processed
 from tidemark.operators.status import resume_point
@@ -19,6 +18,7 @@ from tidemark.plans.results import (
     transform,
 )
 from tidemark.schemas import INCREMENTAL_DAYS
+from tidemark.sources.landing import landed_between
 from tidemark.sources.tables import Tables
 
 PIPELINE_NAME = "incremental"
@@ -50,8 +50,7 @@ def incremental(
 
     run_id = new_run_id()
     items = work_items(entities, start, end)
-    window = landed.filter(F.col("run_date").between(F.lit(start), F.lit(end)))
-    load = load_items(tables, window, items, run_id)
+    load = load_items(tables, landed_between(landed, start, end), items, run_id)
     status = record_status(tables, items, pipeline_name, run_id)
     transform(tables, as_of, lookback_days)
 

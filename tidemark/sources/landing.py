@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
@@ -51,17 +51,24 @@ def load_landed(
     """Landed envelopes from one or many files or folders, as one scan.
 
     Fields outside the schema are ignored, absent ones are null, and a value that does not fit its
-    type fails the job. ``start``/``end`` bound the run date; folders outside are not read.
+    type fails the job. The folder's ``by_date`` comes along, so that ``landed_between``, here or in
+    a pipeline, reads only the folders of its dates.
     """
     reader = spark.read.schema(landed_schema()).option("mode", "FAILFAST")
     if base_path:
         reader = reader.option("basePath", base_path)
     rows = reader.json([paths] if isinstance(paths, str) else list(paths))
-    # Files outside a dated folder have no by_date; their run_date decides alone.
-    if start is not None:
-        rows = rows.filter(F.col("by_date").isNull() | (F.col("by_date") >= F.lit(start)))
-        rows = rows.filter(F.col("run_date") >= F.lit(start))
-    if end is not None:
-        rows = rows.filter(F.col("by_date").isNull() | (F.col("by_date") <= F.lit(end)))
-        rows = rows.filter(F.col("run_date") <= F.lit(end))
-    return rows.select(*LANDED.names)
+    return landed_between(rows.select(*LANDED.names, "by_date"), start, end)
+
+
+def landed_between(df: DataFrame, start: date | None, end: date | None) -> DataFrame:
+    """Envelopes with a run date in [start, end]; ``None`` leaves a side open."""
+    for bound, within in ((start, Column.__ge__), (end, Column.__le__)):
+        if bound is None:
+            continue
+        df = df.filter(within(F.col("run_date"), F.lit(bound)))
+        if "by_date" in df.columns:
+            # Files outside a dated folder have no by_date; their run_date decides alone.
+            folder_day = F.col("by_date")
+            df = df.filter(folder_day.isNull() | within(folder_day, F.lit(bound)))
+    return df
