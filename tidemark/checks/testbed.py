@@ -52,7 +52,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read(spark, sf_dir, "events").select(
         F.col("event_type").alias("entity"),
         F.to_date("ts").alias("run_date"),
-        F.floor(F.col("event_id") / IDS_PER_ENVELOPE).alias("chunk"),
+        F.expr(f"event_id div {IDS_PER_ENVELOPE}").alias("chunk"),
         F.struct(
             F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"),
             "event_id",

@@ -10,7 +10,7 @@ from tidemark.operators.state import state_row
 from tidemark.operators.work import loaded_on, work_items
 from tidemark.plans.results import (
     RunResult,
-    load_items,
+    load_entities,
     new_run_id,
     record_status,
     totals,
@@ -44,7 +44,7 @@ def backfill(
     todo = work_items(entities, as_of, as_of).join(done, ["entity", "run_date"], "left_anti")
     # The load changes what counts as done, so the list is fixed before it starts.
     with materialized(todo, "backfill-items") as items:
-        load = load_items(tables, landed_between(landed, as_of, as_of), items, run_id)
+        load = load_entities(tables, landed_between(landed, as_of, as_of), items, run_id)
         status = record_status(tables, items, pipeline_name, run_id)
     transform(tables, as_of, lookback_days)
     count, failures, ok = totals(status)

@@ -11,7 +11,7 @@ from tidemark.operators.status import resume_point
 from tidemark.operators.work import work_items
 from tidemark.plans.results import (
     RunResult,
-    load_items,
+    load_entities,
     new_run_id,
     record_status,
     totals,
@@ -50,7 +50,7 @@ def incremental(
 
     run_id = new_run_id()
     items = work_items(entities, start, end)
-    load = load_items(tables, landed_between(landed, start, end), items, run_id)
+    load = load_entities(tables, landed_between(landed, start, end), entities, run_id)
     status = record_status(tables, items, pipeline_name, run_id)
     transform(tables, as_of, lookback_days)
 

@@ -36,10 +36,16 @@ def new_run_id() -> str:
     return uuid.uuid4().hex
 
 
-def load_items(tables: Tables, landed: DataFrame, items: DataFrame, run_id: str) -> LoadReport:
-    """Store the landed envelopes that belong to a work item."""
-    wanted = landed.join(items, ["entity", "run_date"], "left_semi")
-    return tables.load(wanted, run_id)
+def load_entities(
+    tables: Tables, landed: DataFrame, entities: DataFrame, run_id: str
+) -> LoadReport:
+    """Store the landed envelopes of the wanted entities.
+
+    The caller has bounded the dates. Joining on the entity alone keeps the small side one row per
+    entity instead of one per entity and day.
+    """
+    wanted = entities.select("entity").distinct()
+    return tables.load(landed.join(wanted, "entity", "left_semi"), run_id)
 
 
 def record_status(tables: Tables, items: DataFrame, pipeline_name: str, run_id: str) -> DataFrame:

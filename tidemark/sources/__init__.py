@@ -2,4 +2,13 @@ from tidemark.sources.entities import entities
 from tidemark.sources.landing import land, landed_between, landed_schema, load_landed
 from tidemark.sources.tables import LoadReport, Tables, create_tables
 
-__all__ = ["LoadReport", "Tables", "create_tables", "entities", "land", "landed_between", "landed_schema", "load_landed"]
+__all__ = [
+    "LoadReport",
+    "Tables",
+    "create_tables",
+    "entities",
+    "land",
+    "landed_between",
+    "landed_schema",
+    "load_landed",
+]
