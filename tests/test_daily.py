@@ -4,10 +4,12 @@ from datetime import date
 
 import pytest
 from conftest import rows, utc
+from pyspark.sql import functions as F
 
 from tidemark.functions import safe_divide
 from tidemark.operators import daily_metrics, with_change
 from tidemark.plans import build_curated, daily_rows
+from tidemark.plans.layers import changed_rows
 from tidemark.schemas import CURATED, STAGING
 
 INGESTED = utc(2024, 2, 1)
@@ -78,12 +80,9 @@ def test_safe_divide(spark, x, y, expected):
     assert df.select(safe_divide(df.x, df.y)).first()[0] == expected
 
 
-def full(tables):
-    return rows(daily_rows(tables.read("staging")))
-
-
-def curated(tables):
-    return rows(tables.read("curated").select(*CURATED.names))
+FIRST = [("a", utc(2024, 1, d), float(d)) for d in (1, 2, 5, 8)]
+FIRST += [("b", utc(2024, 1, d), 10.0 * d) for d in (2, 5, 6)]
+FIRST += [("n", None, 4.0), ("n", utc(2024, 1, 5), 8.0)]
 
 
 @pytest.mark.parametrize(
@@ -92,35 +91,33 @@ def curated(tables):
         [("a", utc(2024, 1, 9), 50.0)],  # after everything
         [("a", utc(2023, 12, 1), 50.0)],  # before everything
         [("a", utc(2024, 1, 3), 50.0)],  # into a gap
-        [("a", utc(2024, 1, 1), 50.0)],  # corrects the first day
-        [("a", utc(2024, 1, 2), 50.0), ("b", utc(2024, 1, 8), 7.0)],  # two days, others between
+        [("a", utc(2024, 1, 1, 1), 50.0)],  # changes the first day
+        [("a", utc(2024, 1, 2, 1), 50.0), ("b", utc(2024, 1, 8), 7.0)],  # two days, others between
         [("c", utc(2024, 1, 2), 50.0)],  # new entity on a known day
         [("a", utc(2024, 3, 1), 50.0), ("a", utc(2023, 12, 1), 50.0)],  # spans all months
-        [("b", None, 3.0)],  # no event time
+        [("n", utc(2024, 1, 2), 6.0)],  # between the undated and the first dated row
     ],
 )
-def test_recomputing_touched_days_equals_recomputing_all(tables, staging, later):
-    first = [("a", utc(2024, 1, d), float(d)) for d in (1, 2, 5, 8)]
-    first += [("b", utc(2024, 1, d), 10.0 * d) for d in (2, 5, 6)]
-    first += [("n", None, 4.0), ("n", utc(2024, 1, 5), 8.0)]
-    tables.upsert("staging", staging(*first))
-    build_curated(tables)
-    touched = tables.upsert("staging", staging(*later))
-    build_curated(tables, touched)
-    dated = [r for r in curated(tables) if r[1] is not None]
-    assert dated == [r for r in full(tables) if r[1] is not None]
-
-
-def test_several_increments_equal_one_full_build(tables, staging):
-    build_curated(tables, [])
-    for day in (4, 2, 9, 3, 2, 1):
-        touched = tables.upsert("staging", staging(("a", utc(2024, 1, day), day * 1.5), ("b", utc(2024, 1, day + 1), 2.0 + day)))
-        build_curated(tables, touched)
-        assert curated(tables) == full(tables)
+def test_changed_rows_are_those_of_a_full_rebuild(staging, later):
+    def dated(points):
+        return staging(*points).withColumn("event_date", F.to_date("event_time"))
 
+    known = daily_rows(dated(FIRST))
+    touched = sorted({p[1].date() for p in later})
+    everything = dated([*FIRST, *later])
+    before, after = set(map(tuple, known.collect())), set(map(tuple, daily_rows(everything).collect()))
+    changed = set(map(tuple, changed_rows(everything, known, touched).collect()))
+    assert after - before <= changed <= after
 
-def test_undated_day_as_context_for_a_first_date(tables, staging):
-    tables.upsert("staging", staging(("n", None, 4.0), ("n", utc(2024, 1, 5), 8.0)))
-    build_curated(tables)
-    build_curated(tables, tables.upsert("staging", staging(("n", utc(2024, 1, 2), 6.0))))
-    assert curated(tables) == full(tables)
+
+def test_increments_equal_one_full_build(tables, staging):
+    build_curated(tables, [])
+    increments = [
+        [("a", utc(2024, 1, 4), 6.0), ("b", utc(2024, 1, 5), 2.0)],
+        [("a", utc(2024, 1, 2), 3.0), ("b", None, 1.0)],
+        [("a", utc(2024, 1, 3), 9.0), ("a", utc(2024, 1, 4), 5.0), ("b", utc(2024, 1, 2), 8.0)],
+    ]
+    for points in increments:
+        build_curated(tables, tables.upsert("staging", staging(*points)))
+        stored = rows(tables.read("curated").select(*CURATED.names))
+        assert stored == rows(daily_rows(tables.read("staging")))

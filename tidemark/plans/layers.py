@@ -37,6 +37,18 @@ def daily_rows(staging: DataFrame) -> DataFrame:
     return with_change(daily_metrics(staging)).select(*CURATED.names)
 
 
+def changed_rows(staging: DataFrame, curated: DataFrame, touched: list[date]) -> DataFrame:
+    """Daily rows that differ once the staging rows of the ``touched`` dates have changed."""
+    changed = changed_days(
+        fresh=daily_metrics(staging.filter(in_partitions("event_date", touched))),
+        known=curated.filter(~F.col("date").isin(touched)),
+        undated=daily_metrics(staging.filter(F.col("event_date").isNull())),
+        first=min(touched),
+        last=max(touched),
+    )
+    return changed.select(*CURATED.names)
+
+
 def build_staging(
     tables: Tables,
     raw: DataFrame,
@@ -64,12 +76,5 @@ def build_curated(tables: Tables, touched: list[date | None] | None = None) -> N
     if touched is None or None in touched:
         rows = daily_rows(staging)
     else:
-        known = tables.read("curated").filter(~F.col("date").isin(touched))
-        rows = changed_days(
-            fresh=daily_metrics(staging.filter(in_partitions("event_date", touched))),
-            known=known,
-            undated=daily_metrics(staging.filter(F.col("event_date").isNull())),
-            first=min(touched),
-            last=max(touched),
-        )
-    tables.upsert("curated", rows.select(*CURATED.names), unique_source=True)
+        rows = changed_rows(staging, tables.read("curated"), touched)
+    tables.upsert("curated", rows, unique_source=True)
