@@ -192,7 +192,7 @@ SELECT event_id,
   printf('%03d', user_id) AS padded,
   {_KEY_TIME} AS iso_time
 FROM events""",
-        "flatten_points": f"""
+        "flatten_series": f"""
 WITH {FLAT}
 SELECT entity, ingestion_time, event_time, {_cut("price", "price")}, market_cap, total_volume
 FROM flat""",
@@ -201,7 +201,7 @@ WITH {POINTS}
 SELECT entity, run_date, CAST(n AS INTEGER) AS n_prices, CAST(n - 1 AS INTEGER) AS n_market_caps,
   CAST(n + 1 AS INTEGER) AS n_total_volumes, event_time, CAST(position AS INTEGER) AS position
 FROM points WHERE run_date >= DATE '2024-01-16' AND position < n - 1""",
-        "latest_points": merged,
+        "latest_per_key": merged,
         "latest_event_per_user": f"""
 SELECT user_id, event_id, ts, event_type, {_cut("value", "value")} FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
@@ -216,7 +216,7 @@ QUALIFY row_number() OVER (
   PARTITION BY o_custkey
   ORDER BY CASE WHEN o_orderstatus = 'O' THEN 0 ELSE 1 END, o_orderdate DESC, o_orderkey DESC
 ) = 1""",
-        "daily_rollup": f"""
+        "daily_metrics": f"""
 WITH {LATEST}, {_daily('staging')}
 SELECT entity, date, {_ROUNDED}, {_cut("avg_market_cap", "avg_market_cap")} FROM daily""",
         "daily_change": f"WITH {LATEST}, {_daily('staging')} {_CURATED}",
@@ -226,24 +226,24 @@ SELECT entity, date, {_ROUNDED}, {_cut("avg_market_cap", "avg_market_cap")} FROM
         "lineitem_daily_change": _table_change(
             "lineitem", "l_suppkey", "l_shipdate", "l_extendedprice", "l_quantity"
         ),
-        "work_items_by_entity": """
+        "work_items": """
 WITH spans AS (
   SELECT event_type AS entity, CAST(min(ts) AS DATE) AS a, CAST(max(ts) AS DATE) AS b
   FROM events GROUP BY ALL
 )
 SELECT entity, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS run_date
 FROM spans""",
-        "loaded_order_counts": """
+        "loaded_counts": """
 SELECT o_custkey AS entity, CAST(o_orderdate AS DATE) AS run_date, count(*) AS row_count
 FROM orders GROUP BY ALL""",
         "pending_items": f"WITH {_CUSTOMER_ITEMS} SELECT * FROM items WHERE NOT {_HAS_ORDER}",
         "landed_semi": f"WITH {_CUSTOMER_ITEMS} SELECT * FROM items WHERE {_HAS_ORDER}",
-        "run_status_by_item": f"WITH {_STATUS} SELECT * FROM status",
-        "run_summary_by_entity": f"""
+        "run_status": f"WITH {_STATUS} SELECT * FROM status",
+        "run_summary": f"""
 WITH {_STATUS}
 SELECT entity, count(*) AS items, count(*) FILTER (NOT ok) AS failures, bool_and(ok) AS all_ok
 FROM status GROUP BY ALL""",
-        "failed_run_dates": f"""
+        "failed_dates": f"""
 WITH {_CUSTOMER_DATES} SELECT pipeline_name, run_date FROM dates WHERE NOT ok""",
         "resume_max_success": f"""
 WITH {_CUSTOMER_DATES}
@@ -273,7 +273,7 @@ SELECT CAST(o_custkey AS VARCHAR) AS pipeline_name,
   CAST(coalesce(earlier.ts, later.ts) AS DATE) AS last_processed_date,
   coalesce(earlier.ts, later.ts) AS updated_at
 FROM earlier FULL JOIN later USING (o_custkey)""",
-        "run_windows": """
+        "run_window": """
 WITH pointers AS (
   SELECT o_custkey AS c_custkey, CAST(max(o_orderdate) AS DATE) AS last FROM orders GROUP BY ALL
 ),

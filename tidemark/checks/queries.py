@@ -57,10 +57,12 @@ _registry: dict[str, Query] = {}
 
 
 def query(fn: Query) -> Query:
+    """Register ``fn`` under its name; a trailing ``_query`` only keeps clear of an operator's name."""
+
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return _edge(fn(configure(spark), sf_dir.rstrip("/")))
 
-    _registry[fn.__name__] = run
+    _registry[fn.__name__.removesuffix("_query")] = run
     return fn
 
 
@@ -139,7 +141,7 @@ def landing_keys(spark, sf_dir):
 
 
 @query
-def flatten_points(spark, sf_dir):
+def flatten_series_query(spark, sf_dir):
     return flatten_series(_raw(spark, sf_dir)).drop("position")
 
 
@@ -152,7 +154,7 @@ def flatten_shortest(spark, sf_dir):
 
 
 @query
-def latest_points(spark, sf_dir):
+def latest_per_key_query(spark, sf_dir):
     return staging_rows(_raw(spark, sf_dir), bed.AS_OF)
 
 
@@ -220,7 +222,7 @@ def merge_customer_orders(spark, sf_dir):
 
 
 @query
-def daily_rollup(spark, sf_dir):
+def daily_metrics_query(spark, sf_dir):
     return daily_metrics(staging_rows(_raw(spark, sf_dir), bed.AS_OF))
 
 
@@ -256,7 +258,7 @@ def _customer_items(spark, sf_dir) -> DataFrame:
 
 
 @query
-def work_items_by_entity(spark, sf_dir):
+def work_items_query(spark, sf_dir):
     spans = (
         bed.read(spark, sf_dir, "events")
         .groupBy(F.col("event_type").alias("entity"))
@@ -266,7 +268,7 @@ def work_items_by_entity(spark, sf_dir):
 
 
 @query
-def loaded_order_counts(spark, sf_dir):
+def loaded_counts_query(spark, sf_dir):
     return loaded_counts(bed.read(spark, sf_dir, "orders"), "o_custkey", "o_orderdate")
 
 
@@ -291,17 +293,17 @@ def _faulty_status(spark, sf_dir) -> DataFrame:
 
 
 @query
-def run_status_by_item(spark, sf_dir):
+def run_status_query(spark, sf_dir):
     return _faulty_status(spark, sf_dir)
 
 
 @query
-def run_summary_by_entity(spark, sf_dir):
+def run_summary_query(spark, sf_dir):
     return run_summary(_faulty_status(spark, sf_dir), by=["entity"])
 
 
 @query
-def failed_run_dates(spark, sf_dir):
+def failed_dates_query(spark, sf_dir):
     return failed_dates(bed.customer_status(spark, sf_dir), by=["pipeline_name"])
 
 
@@ -334,7 +336,7 @@ def state_upsert(spark, sf_dir):
 
 
 @query
-def run_windows(spark, sf_dir):
+def run_window_query(spark, sf_dir):
     pipelines = bed.read(spark, sf_dir, "customer").select(
         F.col("c_custkey").cast("string").alias("pipeline_name")
     )
