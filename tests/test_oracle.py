@@ -26,3 +26,15 @@ def test_entry(spark):
     import __spark_entry__
 
     assert __spark_entry__.entry(spark).count() > 0
+
+
+def test_copies_of_one_event_do_not_change_the_envelopes(spark, tmp_path):
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    copies = events.filter("event_id = 500").crossJoin(spark.range(500)).drop("id")
+    sf_dir = tmp_path / "sf"
+    sf_dir.mkdir()
+    events.unionByName(copies).toPandas().astype({"ts": "datetime64[us]"}).to_parquet(sf_dir / "events.parquet")
+    con = check.oracle_connection(sf_dir)
+    for name in ("flatten_series", "daily_change"):
+        assert check.compare(spark, con, name, str(sf_dir)) == ""
+    assert queries()["flatten_series"](spark, str(sf_dir)).count() == queries()["flatten_series"](spark, SF).count()

@@ -10,24 +10,26 @@ def _cut(expression: str, name: str) -> str:
     return f"floor(({expression}) * {SCALE:.0f} + {NUDGE}) / {SCALE:.0f} AS {name}"
 
 
-# One row per event, with its envelope and its position inside it.
+# One row per distinct event, with its envelope and its position inside it.
+_ENVELOPE = f"PARTITION BY entity, run_date, event_id // {IDS_PER_ENVELOPE}"
 POINTS = f"""
+sent_events AS (
+  SELECT DISTINCT event_type AS entity, CAST(ts AS DATE) AS run_date, epoch_us(ts) // 1000 AS ms,
+    event_id, value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k
+  FROM events
+),
 points AS (
   SELECT
-    event_type AS entity,
-    CAST(ts AS DATE) AS run_date,
+    entity,
+    run_date,
     event_id // {IDS_PER_ENVELOPE} AS chunk,
-    make_timestamp((epoch_us(ts) // 1000) * 1000) AS event_time,
+    make_timestamp(ms * 1000) AS event_time,
     value AS price,
     CAST(event_id AS DOUBLE) AS market_cap,
-    CAST(json_extract_string(props, '$.k') AS DOUBLE) AS total_volume,
-    row_number() OVER envelope - 1 AS position,
-    count(*) OVER (PARTITION BY event_type, CAST(ts AS DATE), event_id // {IDS_PER_ENVELOPE}) AS n
-  FROM events
-  WINDOW envelope AS (
-    PARTITION BY event_type, CAST(ts AS DATE), event_id // {IDS_PER_ENVELOPE}
-    ORDER BY epoch_us(ts) // 1000, event_id
-  )
+    k AS total_volume,
+    row_number() OVER ({_ENVELOPE} ORDER BY ms, event_id) - 1 AS position,
+    count(*) OVER ({_ENVELOPE}) AS n
+  FROM sent_events
 )"""
 
 _COLUMNS = "entity, run_date, event_time, market_cap, total_volume, position"

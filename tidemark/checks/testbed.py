@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from tidemark.functions import points_json
 from tidemark.schemas import LANDED
 
-# An envelope holds the points of one entity, one day and one run of this many event ids, so its
-# size has a fixed bound however large the table is.
+# An envelope holds the distinct points of one entity, one day and one run of this many event ids,
+# so its size has a fixed bound however large the table is and however often a row was copied.
 IDS_PER_ENVELOPE = 16384
 
 
@@ -61,7 +61,7 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("point"),
     )
     grouped = events.groupBy("entity", "run_date", "chunk")
-    return grouped.agg(F.array_sort(F.collect_list("point")).alias("points"))
+    return grouped.agg(F.array_sort(F.collect_set("point")).alias("points"))
 
 
 def _members(points: Column, factor: Column, uneven: Column) -> dict[str, Column]:
