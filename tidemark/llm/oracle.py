@@ -19,5 +19,33 @@ WHERE rank <= 5
 """
 
 
+WORDS = (
+    "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    " '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+)
+
+OP4 = f"""
+WITH i AS (SELECT item_id, {WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[s : s + n - 1], ' ') AS t
+  FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM i WHERE len(w) > 0)
+),
+d AS (SELECT doc_id, {WORDS} AS w FROM documents),
+spot AS (
+  SELECT doc_id, n, s, array_to_string(w[s : s + n - 1], ' ') AS t
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d, (SELECT DISTINCT n FROM win))
+),
+hit AS (SELECT DISTINCT spot.doc_id, spot.s, spot.n, win.item_id FROM spot JOIN win USING (n, t)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hit) GROUP BY 1),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hit) GROUP BY 1
+)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op7_exact_top_k": OP7}
+    return {"op4_decontamination": OP4, "op7_exact_top_k": OP7}

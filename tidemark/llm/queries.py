@@ -7,10 +7,23 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import sharding, topk
+from tidemark.llm import decontaminate, pii, sharding, simhash, topk
 from tidemark.llm.common import table
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.digest(decontaminate.contaminated(docs, items))
+
+
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
@@ -20,5 +33,14 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.hilbert_shards(table(spark, sf_dir, "documents"), shards=40)
 
 
+ALL = (
+    op4_decontamination,
+    op5_personal_data,
+    op6_simhash,
+    op7_exact_top_k,
+    op10_hilbert_shards,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op7_exact_top_k, op10_hilbert_shards)}
+    return {f.__name__: f for f in ALL}
