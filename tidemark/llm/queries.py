@@ -7,10 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, pii, sharding, simhash, topk
+from tidemark.llm import decontaminate, line_dedup, pii, sharding, simhash, topk, toxicity
 from tidemark.llm.common import table
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its repeated chunks taken out, and how many these were."""
+    docs = table(spark, sf_dir, "documents")
+    return line_dedup.without_repeats(docs).select("doc_id", "text", F.col("_removed").cast("long").alias("n_removed"))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.contaminated(docs, items))
@@ -29,15 +35,21 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.hilbert_shards(table(spark, sf_dir, "documents"), shards=40)
 
 
 ALL = (
+    op2_line_dedup,
     op4_decontamination,
     op5_personal_data,
     op6_simhash,
     op7_exact_top_k,
+    op9_toxicity,
     op10_hilbert_shards,
 )
 
