@@ -160,3 +160,10 @@ def digest(found: DataFrame) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that hold no window of any item."""
+    hit = contaminated(docs, items).where("n_hit > 0").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
+    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(whole(docs["text"])) == F.col("_key"))
+    return docs.join(hit, same, "left_anti")

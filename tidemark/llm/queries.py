@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_dedup, pii, sharding, simhash, topk, toxicity
+from tidemark.llm import decontaminate, line_dedup, pieces, pii, sharding, simhash, topk, toxicity
 from tidemark.llm.common import table
 
 
@@ -35,6 +36,13 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0), k=5)
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every document under merge-dropout, and whether they decode to its text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    encoded = pieces.encode_pieces(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
+    return encoded.select("doc_id", F.size("pieces").cast("long").alias("n_pieces"), "pieces", "lossless")
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -49,6 +57,7 @@ ALL = (
     op5_personal_data,
     op6_simhash,
     op7_exact_top_k,
+    op8_sentencepiece,
     op9_toxicity,
     op10_hilbert_shards,
 )

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import dropped, stored
+from tidemark.llm.common import dropped, stored, whole
 
 SEED = 42
 SHINGLE = 3
@@ -56,15 +56,15 @@ def fingerprint(text: str | None, words: int = SHINGLE) -> int:
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        values = np.fromiter((fingerprint(t.as_py()) for t in batch.column(1)), np.uint64, batch.num_rows)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values.view(np.int64))], ["doc_id", "print"])
+        values = np.fromiter((fingerprint(t.as_py()) for t in batch.column(2)), np.uint64, batch.num_rows)
+        columns = [batch.column(0), batch.column(1), pa.array(values.view(np.int64))]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "print"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and print (the 64 bits as a signed long) of every row."""
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _fingerprints, "doc_id long, print long"
-    )
+    """doc_id, key (hash of the text) and print (the 64 bits as a signed long) of every row."""
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(whole(F.col("text"))).alias("key"), F.col("text").cast("string"))
+    return rows.mapInArrow(_fingerprints, "doc_id long, key long, print long")
 
 
 def masks(blocks: int = BLOCKS, distance: int = DISTANCE) -> list[int]:
@@ -183,19 +183,43 @@ def components(edges: DataFrame, label: str = "components") -> tuple[DataFrame,
         stars = now
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id of every row of ``docs``."""
+def grouped(docs: DataFrame) -> DataFrame:
+    """doc_id, key, print and component (the smallest print of the group) of every row, stored."""
     spark = docs.sparkSession
-    prints, _ = stored(fingerprints(docs), "prints")
-    smallest = prints.groupBy("print").agg(F.min("doc_id").alias("least"))
+    prints, path = stored(fingerprints(docs), "prints")
     edges, folder = stored(links(prints), "links")
     roots, folders = components(edges)
-    mapped = smallest.join(roots, smallest["print"] == roots["node"], "left").select(
-        "print", F.coalesce("root", "print").alias("root"), "least"
+    out, _ = stored(
+        prints.join(roots, prints["print"] == roots["node"], "left").select(
+            "doc_id", "key", "print", F.coalesce("root", "print").alias("component")
+        ),
+        "grouped",
     )
-    of_root = mapped.groupBy("root").agg(F.min("least").alias("component_id"))
-    named, path = stored(mapped.join(of_root, "root").select("print", "component_id"), "named")
-    dropped(spark, folder, *folders)
-    return prints.join(named, "print").select(
+    dropped(spark, path, folder, *folders)
+    return out
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id of every row of ``docs``."""
+    rows = grouped(docs)
+    smallest = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(smallest, "component").select(
         "doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each group: the smallest doc_id, of equal ids the smallest text hash."""
+    rows = grouped(docs)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "key")).alias("first")
+    chosen = rows.groupBy("component").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key"))
+    copies = rows.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("_copies"))
+    same = copies["_id"].eqNullSafe(chosen["_id"]) & (copies["_key"] == chosen["_key"])
+    chosen = copies.join(chosen, same, "left_semi")
+    at = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(whole(docs["text"])) == F.col("_key"))
+    kept = docs.join(chosen, at)
+    once = kept.where("_copies = 1").select(docs.columns)
+    if chosen.where("_copies > 1").isEmpty():
+        return once
+    # Rows that are equal in id and text, seldom any: one of each.
+    return once.unionByName(kept.where("_copies > 1").dropDuplicates(["_id", "_key"]).select(docs.columns))

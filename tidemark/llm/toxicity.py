@@ -31,6 +31,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidemark.llm.common import crc_of_id, dropped, stored, whole
 
@@ -196,14 +197,16 @@ class Model:
     def __init__(self, share: float, lexicon: dict[str, float], trees: PipelineModel | None, calibration):
         self.share, self.lexicon, self.trees, self.calibration = share, lexicon, trees, calibration
 
-    def score(self, docs: DataFrame) -> DataFrame:
-        """doc_id and score of every row of ``docs``."""
+    def score(self, docs: DataFrame, keep: list[str] | None = None) -> DataFrame:
+        """The ``keep`` columns (doc_id by default) as they are in struct row, and score."""
+        row = F.struct(*(keep or ["doc_id"])).alias("row")
         if self.trees is None:
-            return docs.select("doc_id", F.lit(self.share).alias("score"))
-        rows = docs.select(F.lit(0).alias("fold"), F.col("doc_id").cast("long"), whole(F.col("text").cast("string")).alias("text"))
-        features = rows.mapInArrow(_features([self.lexicon]), f"doc_id long, {_SCHEMA}")
-        scored = self.calibration.transform(_margin(self.trees.transform(features)))
-        return scored.select("doc_id", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("prediction"))).alias("score"))
+            return docs.select(row, F.lit(self.share).alias("score"))
+        rows = docs.select(F.lit(0).alias("fold"), row, whole(F.col("text").cast("string")).alias("text"))
+        schema = StructType([rows.schema["row"], *[StructField(f, DoubleType()) for f in FEATURES]])
+        scored = self.trees.transform(rows.mapInArrow(_features([self.lexicon]), schema))
+        scored = self.calibration.transform(_margin(scored))
+        return scored.select("row", F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("prediction"))).alias("score"))
 
 
 def _margin(df: DataFrame) -> DataFrame:
@@ -258,10 +261,16 @@ def held_out(doc_id: Column) -> Column:
     return crc_of_id(doc_id) % 4 == 2
 
 
+def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` with a score below REJECT."""
+    scored = train(docs, labels, ~held_out(F.col("doc_id"))).score(docs, docs.columns)
+    return scored.where(F.col("score") < REJECT).select(*[F.col("row")[c].alias(c) for c in docs.columns])
+
+
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score and predicted of every row."""
     scored = train(docs, labels, ~held_out(F.col("doc_id"))).score(docs)
-    return scored.select(
+    return scored.select(F.col("row.doc_id"), "score").select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
         F.when(F.col("score") >= REJECT, 1).otherwise(0).alias("predicted"),
     )
