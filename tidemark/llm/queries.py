@@ -8,10 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_dedup, pieces, pii, sharding, simhash, topk, toxicity
+from tidemark.llm import decontaminate, line_dedup, pieces, pii, sharding, simhash, token_store, topk, toxicity
 from tidemark.llm.common import table
 
 
+def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    store = token_store.write_store(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    found = store.read(store.locate(docs.select("doc_id")).unionByName(store.unkeyed))
+    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return found.select("doc_id", "start", n_tokens, F.crc32("ids").alias("ids_crc32"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its repeated chunks taken out, and how many these were."""
     docs = table(spark, sf_dir, "documents")
@@ -52,6 +60,7 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ALL = (
+    op1_token_store,
     op2_line_dedup,
     op4_decontamination,
     op5_personal_data,
