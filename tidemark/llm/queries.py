@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_dedup, pieces, pii, sharding, simhash, token_store, topk, toxicity
+from tidemark.llm import decontaminate, line_dedup, lm, pieces, pii, sharding, simhash, token_store, topk, toxicity
 from tidemark.llm.common import table
 
 
@@ -26,6 +26,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.without_repeats(docs).select("doc_id", "text", F.col("_removed").cast("long").alias("n_removed"))
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_texts(table(spark, sf_dir, "documents"), lm.every_seventh(F.col("doc_id")))
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return decontaminate.digest(decontaminate.contaminated(docs, items))
@@ -62,6 +66,7 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 ALL = (
     op1_token_store,
     op2_line_dedup,
+    op3_lm_scores,
     op4_decontamination,
     op5_personal_data,
     op6_simhash,
