@@ -1,0 +1,51 @@
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
+from odd_rows import ODD
+from tidemark.llm.sharding import hilbert_index, hilbert_shards, write_shards
+
+
+@pytest.mark.parametrize("dims, bits", [(2, 3), (3, 2), (4, 2)])
+def test_curve_visits_every_cell_by_steps_of_one(dims, bits):
+    grid = np.indices((1 << bits,) * dims).reshape(dims, -1).T
+    index = hilbert_index(grid, bits)
+    assert sorted(index) == list(range(len(grid)))
+    path = grid[np.argsort(index)]
+    assert (np.abs(np.diff(path, axis=0)).sum(axis=1) == 1).all()
+
+
+def check(rows, shards):
+    slots = defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    counts = [len(slots[k]) for k in range(shards)]
+    assert max(counts) - min(counts) <= 1
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_counts_differ_by_one_and_slots_have_no_gaps(documents, prose):
+    docs = documents(*[(i, prose(i, i % 50)) for i in range(103)], *ODD, clash=True)
+    rows = hilbert_shards(docs, shards=7).collect()
+    assert len(rows) == 110
+    check(rows, 7)
+
+
+def test_fewer_rows_than_shards_equal_rows_and_none(documents):
+    check(hilbert_shards(documents((1, "a"), (2, "b")), shards=5).collect(), 5)
+    check(hilbert_shards(documents(*[(1, "same")] * 50), shards=4).collect(), 4)
+    assert hilbert_shards(documents(), shards=4).count() == 0
+
+
+def test_sizes_count_bytes_and_null_text_has_none(documents):
+    rows = {r.doc_id: r for r in hilbert_shards(documents((1, "é"), (2, None)), shards=2).collect()}
+    assert (rows[1].size, rows[2].size, rows[2].text_crc32) == (18, 16, 0)
+
+
+def test_written_shards_hold_all_columns(spark, documents, tmp_path):
+    docs = documents(*[(i, f"text {i}") for i in range(20)])
+    write_shards(docs, str(tmp_path / "out"), shards=4)
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert back.count() == 20 and {"text", "lang", "shard", "slot"} <= set(back.columns)
+    assert sorted(r.text for r in back.select("text").collect()) == sorted(f"text {i}" for i in range(20))

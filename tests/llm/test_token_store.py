@@ -1,0 +1,79 @@
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from odd_rows import ODD
+from tidemark.llm import token_store
+from tidemark.llm.token_store import Encoder, PerfectHash, write_store
+
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 1000, 30_000])
+def test_hash_is_minimal_and_perfect(n):
+    keys = np.random.default_rng(n).choice(10**12, n, replace=False) - 10**9
+    table = PerfectHash.of(keys)
+    assert sorted(table.slots(keys)) == list(range(n))
+
+
+def test_units_encode_like_the_whole(prose):
+    encoder = Encoder(VOCABULARY, 2)
+    texts = [
+        "", " ", "a  b", "  lead", "trail  ", "line\nbreak", "line \n break", "tab\tand nbsp  x", "it's we'll  'tis",
+        "a   b", "<|endoftext|> in text", "é\n\nè  ñ", "x\x1c y \x85 z", prose(1, 300), "\n", " \n", "1 22  333",
+    ]
+    whole = [Tokenizer.from_file(VOCABULARY).encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)] == whole
+
+
+def expected(pairs):
+    tokenizer = Tokenizer.from_file(VOCABULARY)
+    return {t: np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], "<u4").tobytes() for _, t in pairs}
+
+
+def check(documents, pairs):
+    docs = documents(*pairs, clash=True)
+    store = write_store(docs, VOCABULARY)
+    rows = store.read(store.locate(docs).unionByName(store.unkeyed)).collect()
+    ids = expected(pairs)
+    got = sorted((r.doc_id is not None, r.doc_id or 0, r.start, bytes(r.ids)) for r in rows)
+    assert sorted((i is not None, i or 0, ids[t]) for i, t in pairs) == sorted((a, b, d) for a, b, _, d in got)
+    start = 0
+    for *_, s, data in sorted(got, key=lambda r: r[2]):
+        assert s == start
+        start += len(data) // 4
+    assert [r[:2] for r in got] == [r[:2] for r in sorted(got, key=lambda r: r[2])]
+    return store
+
+
+def test_documents_come_back_in_order(documents, prose):
+    check(documents, [(k * 7 % 101, prose(k, k % 40)) for k in range(101)] + ODD)
+
+
+def test_a_key_over_several_shards(monkeypatch, documents, prose):
+    monkeypatch.setattr(token_store, "SHARD_CHARS", 2000)
+    monkeypatch.setattr(token_store, "PART_KEYS", 3)
+    pairs = [(5, prose(k, 30)) for k in range(60)] + [(k, prose(k, 10)) for k in range(20)] + ODD
+    store = check(documents, pairs)
+    assert store.files.count() > 3 and store.parts > 3
+
+
+def test_unknown_keys_are_refused(spark, documents, prose):
+    store = write_store(documents(*[(k, prose(k, 5)) for k in range(500)]), VOCABULARY)
+    asked = spark.range(10_000, 30_000).selectExpr("id AS doc_id").unionByName(spark.range(5).selectExpr("id AS doc_id"))
+    assert {r.doc_id for r in store.locate(asked).collect()} == set(range(5))
+
+
+def test_empty_table_and_crc(documents):
+    from pyspark.sql import functions as F
+
+    docs = documents()
+    store = write_store(docs, VOCABULARY)
+    assert store.read(store.locate(docs).unionByName(store.unkeyed)).count() == 0
+    one = documents((1, "hello"))
+    store = write_store(one, VOCABULARY)
+    row = store.read(store.locate(one)).select(F.crc32("ids").alias("c")).first()
+    assert row.c == zlib.crc32(expected([(1, "hello")])["hello"])

@@ -109,14 +109,21 @@ def _valid(kind: Kind, match: Column) -> Column:
     return F.lit(True)
 
 
-def _proposed(text: Column, kind: Kind) -> Column:
-    """(match, start, before, after) of every match of the pattern."""
+def _scanned(text: Column, kind: Kind) -> list[Column]:
+    """The matches of the pattern, and the pieces between them."""
     guard = F.contains(text, F.lit(kind.guard)) if len(kind.guard) == 1 else text.rlike(kind.guard)
     none = F.array().cast("array<string>")
-    matches = F.when(guard, F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))).otherwise(none)
-    pieces = F.when(guard, F.split(text, kind.pattern, -1)).otherwise(none)
-    both = F.transform(
-        matches,
+    return [
+        F.when(guard, F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))).otherwise(none).alias(f"{kind.name}_matches"),
+        F.when(guard, F.split(text, kind.pattern, -1)).otherwise(none).alias(f"{kind.name}_pieces"),
+    ]
+
+
+def _proposed(kind: Kind) -> Column:
+    """(match, gap before it, characters before, characters after) of every match."""
+    pieces = F.col(f"{kind.name}_pieces")
+    return F.transform(
+        f"{kind.name}_matches",
         lambda m, i: F.struct(
             m.alias("match"),
             F.length(F.get(pieces, i)).alias("gap"),
@@ -124,23 +131,19 @@ def _proposed(text: Column, kind: Kind) -> Column:
             F.lower(F.left(F.get(pieces, i + 1), F.lit(NEAR // 2))).alias("after"),
         ),
     )
-    return both
 
 
 def _placed(proposed: Column, kind: Kind) -> Column:
     """Spans of one kind with their scores, failing matches dropped."""
-    schema = "array<struct<match:string,start:bigint,before:string,after:string>>"
-    zero = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(schema).alias("found"))
-
-    def step(state, p):
-        start = state["at"] + p["gap"]
-        one = F.struct(p["match"].alias("match"), start.alias("start"), p["before"].alias("before"), p["after"].alias("after"))
-        return F.struct(
-            (start + F.length(p["match"])).cast("bigint").alias("at"),
-            F.concat(state["found"], F.array(one)).alias("found"),
-        )
-
-    found = F.aggregate(proposed, zero, step, lambda s: s["found"])
+    # Ends of the matches before each one, summed over numbers alone: the state is copied at every step.
+    advance = F.transform(proposed, lambda p: (p["gap"] + F.length(p["match"])).cast("bigint"))
+    zero = F.array(F.lit(0).cast("bigint"))
+    ends = F.aggregate(advance, zero, lambda s, a: F.concat(s, F.array(F.element_at(s, -1) + a)))
+    met = F.zip_with(
+        proposed, ends,
+        lambda p, e: F.struct(p["match"].alias("match"), (e + p["gap"]).alias("start"), p["before"].alias("before"), p["after"].alias("after")),
+    )
+    found = F.filter(met, lambda p: p["match"].isNotNull())  # there is one end more than matches
     checked = kind in (IP, CARD, IBAN)
 
     def scored(p):
@@ -164,8 +167,9 @@ def personal_data(docs: DataFrame) -> DataFrame:
     """doc_id and the arrays of spans of each kind; offsets in code points, end exclusive."""
     base, added = (EMAIL, IP, CARD, PHONE), (IBAN, LOCAL_PHONE)
     texts = docs.select("doc_id", whole(F.col("text")).alias("_text"))
-    proposed = texts.select("doc_id", *[_proposed(F.col("_text"), k).alias(k.name) for k in base + added])
-    placed = proposed.select("doc_id", *[_placed(F.col(k.name), k).alias(k.name) for k in base + added])
+    # Matches and pieces are columns of their own: inside a lambda they would be computed for each match.
+    scanned = texts.select("doc_id", *[c for k in base + added for c in _scanned(F.col("_text"), k)])
+    placed = scanned.select("doc_id", *[_placed(_proposed(k), k).alias(k.name) for k in base + added])
     sure = F.concat(*[F.col(k.name) for k in base])
     free = lambda s: ~F.exists(sure, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
     kept = lambda k: F.filter(F.col(k.name), lambda s: (s["score"] >= THRESHOLD) & free(s))
