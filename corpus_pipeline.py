@@ -42,11 +42,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def to_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The columns of ``docs`` with the pieces of each text; text is what the pieces decode to."""
+    """``docs`` with the pieces of each text, in place of columns of these names; text is what they decode to."""
     model = public_tokenizers.path("piece_bpe_32k.model")
-    kept = [c for c in docs.columns if c != "text"]
-    out = pieces.encode_pieces(docs, model, keep=kept, decoded=True)
-    return out.withColumnRenamed("decoded", "text").select(*docs.columns, "pieces", "lossless")
+    kept = [c for c in docs.columns if c not in ("pieces", "lossless", "decoded")]
+    out = pieces.encode_pieces(docs, model, keep=[c for c in kept if c != "text"], decoded=True)
+    return out.withColumnRenamed("decoded", "text").select(*kept, "pieces", "lossless")
 
 
 STAGES = [
