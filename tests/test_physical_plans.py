@@ -5,6 +5,7 @@ from datetime import date
 
 import pytest
 from conftest import TWO_POINTS, utc
+from pyspark.sql import functions as F
 
 from tidemark.checks import testbed
 from tidemark.checks.queries import queries
@@ -102,3 +103,33 @@ def test_contiguous_resume_point_shuffles_by_pipeline(spark):
     status = testbed.customer_status(spark, SF)
     text = plan(resume_point(status, "contiguous"))
     assert "SinglePartition" not in text
+
+
+def test_loads_move_no_payload_whatever_the_broadcast_limit(spark, landed, tables, monkeypatch):
+    from tidemark.plans.results import load_entities
+
+    plans = []
+    monkeypatch.setattr(tables, "load", lambda df, run_id: plans.append(plan(df)))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        entities = testbed.entities(spark, SF)
+        load_entities(tables, landed(("a", utc(2024, 2, 1), TWO_POINTS)), entities, "x")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plans[0] and "Exchange hashpartitioning" not in plans[0]
+
+
+def test_increments_prune_months_in_every_scan_of_curated(spark, tables):
+    from tidemark.plans.layers import changed_rows
+    from tidemark.schemas import CURATED
+
+    values = {"entity": F.lit("a"), "date": F.lit(date(2024, 1, 4))}
+    row = [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in CURATED.fields]
+    tables.append("curated", spark.range(1).select(*row))
+    text = plan(changed_rows(tables.read("staging"), tables.read("curated"), [date(2024, 1, 5), date(2024, 2, 3)]))
+    scans = [line for line in text.splitlines() if "FileScan" in line and "avg_price" in line]
+    assert len(scans) == 3 and all(re.search(r"PartitionFilters: \[.*month#\d+ [<>]=", line) for line in scans), text
+
+
+def test_status_is_aggregated_without_sorting(spark):
+    assert "SortAggregate" not in plan(queries()["run_status"](spark, SF))

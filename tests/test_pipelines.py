@@ -14,7 +14,7 @@ from tidemark.streaming import incremental_stream
 
 TODAY = date(2024, 1, 10)
 NOW = utc(2024, 1, 10, 6)
-COINS = ["bitcoin", "ethereum", "solana", "ripple", "cardano"]
+COINS = ["harbour", "lighthouse", "meadow", "quarry", "viaduct"]
 MS = {day: int(utc(2024, 1, day).timestamp() * 1000) for day in range(1, 11)}
 
 
@@ -58,19 +58,19 @@ def test_backfill_skips_what_was_loaded_that_day(landed, tables, coins):
 
 
 def test_backfill_isolates_a_bad_entity(landed, tables, coins):
-    result = backfill(sent(landed, 10, bad=[("solana", 10)]), tables, coins, TODAY, advance_state=True)
+    result = backfill(sent(landed, 10, bad=[("meadow", 10)]), tables, coins, TODAY, advance_state=True)
     assert not result
     assert (result.failures, result.load.rows_loaded, result.load.rows_rejected) == (1, 4, 1)
-    assert rows(tables.rejected(), "entity") == [("solana",)]
+    assert rows(tables.rejected(), "entity") == [("meadow",)]
     assert rows(tables.read("status").filter("NOT ok"), "entity", "reason") == [
-        ("solana", "missing or empty: prices, market_caps, total_volumes")
+        ("meadow", "missing or empty: prices, market_caps, total_volumes")
     ]
     assert tables.read("curated").count() == 4
     assert pointer(tables, "backfill") is None
 
 
 def test_unlisted_entities_are_not_loaded(landed, tables, coins):
-    extra = landed(("dogecoin", NOW, TWO_POINTS, TODAY))
+    extra = landed(("orchard", NOW, TWO_POINTS, TODAY))
     result = backfill(sent(landed, 10).unionByName(extra), tables, coins, TODAY)
     assert result.load.rows_loaded == 5
 
@@ -92,7 +92,7 @@ def test_incremental_first_run_then_up_to_date(landed, tables, coins):
     [(9, "contiguous", 8), (8, "max_success", 9), (7, "contiguous", None)],
 )
 def test_incremental_partial_failure(landed, tables, coins, bad_day, policy, expected):
-    envelopes = sent(landed, 7, 8, 9, bad=[("ripple", bad_day)])
+    envelopes = sent(landed, 7, 8, 9, bad=[("quarry", bad_day)])
     result = incremental(envelopes, tables, coins, TODAY, first_run_days=3, policy=policy)
     assert (result.ok, result.items, result.failures) == (False, 15, 1)
     assert tables.read("curated").count() == 14
@@ -174,7 +174,18 @@ def test_stream_with_bounded_age(spark, landed, tmp_path):
 def test_stream_keeps_rejects_apart(spark, landed, tmp_path):
     landing = str(tmp_path / "landing")
     tables = create_tables(spark, str(tmp_path / "tables"))
-    land(sent(landed, 9, bad=[("solana", 9)]), landing, layout=("by_date",))
+    land(sent(landed, 9, bad=[("meadow", 9)]), landing, layout=("by_date",))
     run_stream(tables, landing, str(tmp_path / "checkpoint"))
-    assert rows(tables.rejected(), "entity") == [("solana",)]
+    assert rows(tables.rejected(), "entity") == [("meadow",)]
     assert tables.read("curated").count() == 4
+
+
+def test_stream_without_as_of_counts_from_today(spark, landed, tmp_path):
+    from datetime import datetime, timezone
+
+    landing = str(tmp_path / "landing")
+    tables = create_tables(spark, str(tmp_path / "tables"))
+    old, new = sent(landed, 8), sent(landed, 9, ingested=datetime.now(timezone.utc))
+    land(old.unionByName(new), landing, layout=("by_date",))
+    run_stream(tables, landing, str(tmp_path / "checkpoint"), lookback_days=1)
+    assert tables.read("staging").count() == len(COINS)

@@ -111,7 +111,7 @@ def test_keys_and_text(spark):
 
 
 def test_keyword_scan_reads_the_whole_text(spark):
-    texts = ["x" * 50000 + "413004", "41300", "a.413004.b", None, "4130%4"]
+    texts = ["x" * 50000 + "net weight", "net weigh", "a.net weight.b", None, "net%weight"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
-    assert rows(keyword_scan(df, "413004"), "doc_id") == [(0,), (2,)]
+    assert rows(keyword_scan(df, "net weight"), "doc_id") == [(0,), (2,)]
     assert rows(keyword_scan(df, "%"), "doc_id") == [(4,)]

@@ -2,34 +2,45 @@
 
 from __future__ import annotations
 
-from tidemark.checks.queries import KEYWORD, NUDGE, SCALE
-from tidemark.checks.testbed import IDS_PER_ENVELOPE
+from tidemark.checks.queries import KEYWORD, NUDGE, SCALE, WEEK_DAYS
+from tidemark.checks.testbed import IDS_PER_ENVELOPE, OMITTED_IDS
 
 def _cut(expression: str, name: str) -> str:
     """The same 6-digit cut as the Spark side."""
     return f"floor(({expression}) * {SCALE:.0f} + {NUDGE}) / {SCALE:.0f} AS {name}"
 
 
-# One row per distinct event, with its envelope and its position inside it.
-_ENVELOPE = f"PARTITION BY entity, run_date, event_id // {IDS_PER_ENVELOPE}"
+# One row per event, with its envelope and its position inside it. The first of equal rows stands in
+# the envelope of its run of ids, the others in envelopes of copies.
+_ENVELOPE = "PARTITION BY entity, run_date, envelope"
+_SAME = "entity, run_date, ms, event_id, value, k"
 POINTS = f"""
 sent_events AS (
-  SELECT DISTINCT event_type AS entity, CAST(ts AS DATE) AS run_date, epoch_us(ts) // 1000 AS ms,
+  SELECT event_type AS entity, CAST(ts AS DATE) AS run_date, epoch_us(ts) // 1000 AS ms,
     event_id, value, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS k
   FROM events
 ),
+copied AS (SELECT *, row_number() OVER (PARTITION BY {_SAME}) - 2 AS copy FROM sent_events),
+placed AS (
+  SELECT *, event_id % {OMITTED_IDS} = 0 AS omitted,
+    CASE WHEN copy < 0 THEN concat('ids ', event_id // {IDS_PER_ENVELOPE})
+      ELSE concat_ws(' ', 'copies', ms, event_id, value, k, copy // {IDS_PER_ENVELOPE}) END AS envelope
+  FROM copied
+),
 points AS (
   SELECT
     entity,
     run_date,
-    event_id // {IDS_PER_ENVELOPE} AS chunk,
+    envelope,
+    omitted,
     make_timestamp(ms * 1000) AS event_time,
     value AS price,
     CAST(event_id AS DOUBLE) AS market_cap,
     k AS total_volume,
-    row_number() OVER ({_ENVELOPE} ORDER BY ms, event_id) - 1 AS position,
-    count(*) OVER ({_ENVELOPE}) AS n
-  FROM sent_events
+    row_number() OVER ({_ENVELOPE} ORDER BY omitted, ms, event_id, value, k) - 1 AS position,
+    count(*) OVER ({_ENVELOPE}) AS n,
+    count(*) FILTER (NOT omitted) OVER ({_ENVELOPE}) AS n_short
+  FROM placed
 )"""
 
 _COLUMNS = "entity, run_date, event_time, market_cap, total_volume, position"
@@ -44,7 +55,7 @@ full_delivery AS (
 ),
 correction AS (
   SELECT {_COLUMNS}, price * 2 AS price, TIMESTAMP '2024-02-02' AS ingestion_time FROM points
-  WHERE run_date >= DATE '2024-01-16' AND position < n - 1
+  WHERE run_date >= DATE '2024-01-16' AND NOT omitted
 ),
 flat AS (
   SELECT * FROM stale
@@ -100,7 +111,10 @@ once AS (
 )"""
 
 _ENVELOPES = f"""{POINTS},
-envelopes AS (SELECT entity, run_date, chunk, count(*) AS n FROM points GROUP BY ALL)"""
+envelopes AS (
+  SELECT entity, run_date, envelope, count(*) AS n, count(*) FILTER (NOT omitted) AS n_short
+  FROM points GROUP BY ALL
+)"""
 
 # What the faulty delivery lacks, by day of the month.
 _MISSING = """
@@ -115,9 +129,11 @@ END"""
 
 _STATUS = f"""{_ENVELOPES},
 items AS (
-  SELECT entity, CAST(run_date AS DATE) AS run_date
-  FROM (SELECT DISTINCT event_type AS entity FROM events),
-    generate_series(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY) AS d(run_date)
+  SELECT entity, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS run_date
+  FROM (
+    SELECT event_type AS entity, CAST(min(ts) AS DATE) AS a, CAST(max(ts) AS DATE) AS b
+    FROM events GROUP BY ALL
+  )
 ),
 outcomes AS (SELECT DISTINCT entity, run_date, {_MISSING} AS missing FROM envelopes),
 status AS (
@@ -136,10 +152,13 @@ dates AS (
   FROM orders GROUP BY ALL
 )"""
 
-_CUSTOMER_ITEMS = """
+_CUSTOMER_ITEMS = f"""
 items AS (
-  SELECT c_custkey AS entity, CAST(run_date AS DATE) AS run_date
-  FROM customer, generate_series(DATE '1998-03-01', DATE '1998-03-07', INTERVAL 1 DAY) AS d(run_date)
+  SELECT entity, CAST(unnest(generate_series(greatest(a, b - {WEEK_DAYS - 1}), b, INTERVAL 1 DAY)) AS DATE) AS run_date
+  FROM (
+    SELECT o_custkey AS entity, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b
+    FROM orders GROUP BY ALL
+  )
 )"""
 _HAS_ORDER = """
 EXISTS (SELECT 1 FROM orders
@@ -200,9 +219,9 @@ SELECT entity, ingestion_time, event_time, {_cut("price", "price")}, market_cap,
 FROM flat""",
         "flatten_shortest": f"""
 WITH {POINTS}
-SELECT entity, run_date, CAST(n AS INTEGER) AS n_prices, CAST(n - 1 AS INTEGER) AS n_market_caps,
+SELECT entity, run_date, CAST(n AS INTEGER) AS n_prices, CAST(n_short AS INTEGER) AS n_market_caps,
   CAST(n + 1 AS INTEGER) AS n_total_volumes, event_time, CAST(position AS INTEGER) AS position
-FROM points WHERE run_date >= DATE '2024-01-16' AND position < n - 1""",
+FROM points WHERE NOT omitted""",
         "latest_per_key": merged,
         "latest_event_per_user": f"""
 SELECT user_id, event_id, ts, event_type, {_cut("value", "value")} FROM events
@@ -294,7 +313,7 @@ sent AS (
   UNION ALL
   SELECT *, TIMESTAMP '2024-02-01', 90, n, n FROM envelopes
   UNION ALL
-  SELECT *, TIMESTAMP '2024-02-02', 2, n - 1, n + 1 FROM envelopes
+  SELECT *, TIMESTAMP '2024-02-02', 2, n_short, n + 1 FROM envelopes
   WHERE run_date >= DATE '2024-01-16'
 )
 SELECT ingestion_time, entity, CAST(days AS BIGINT) AS days_requested,

@@ -43,7 +43,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 FAULTS_INGESTED = datetime(2024, 1, 31)
 REPAIR_INGESTED = datetime(2024, 2, 1)
-WEEK = (date(1998, 3, 1), date(1998, 3, 7))
+WEEK_DAYS = 7
 STATE_SPLIT = datetime(1999, 1, 1)
 WINDOW_AS_OF = date(2001, 7, 31)
 KEYWORD = "license"
@@ -78,7 +78,9 @@ def _edge(df: DataFrame) -> DataFrame:
         if isinstance(field.dataType, TimestampType):
             column = column.cast("timestamp_ntz")
         elif field.dataType.typeName() == "double":
-            column = F.floor(column * SCALE + NUDGE) / SCALE
+            # From 2^52 on a double has no fraction left, and floor() would saturate as a long.
+            scaled = column * SCALE + NUDGE
+            column = F.when(F.abs(scaled) < 2.0**52, F.floor(scaled).cast("double")).otherwise(scaled) / SCALE
         columns.append(column.alias(field.name))
     return df.select(*columns)
 
@@ -147,7 +149,7 @@ def flatten_series_query(spark, sf_dir):
 
 @query
 def flatten_shortest(spark, sf_dir):
-    counted = point_counts(_raw(spark, sf_dir, bed.CORRECTION))
+    counted = point_counts(_raw(spark, sf_dir, bed.UNEVEN))
     sizes = ["n_prices", "n_market_caps", "n_total_volumes"]
     points = flatten_series(counted, keep=["entity", "run_date", *sizes])
     return points.select("entity", "run_date", *sizes, "event_time", "position")
@@ -254,11 +256,17 @@ def lineitem_daily_change(spark, sf_dir):
 
 
 def _customer_items(spark, sf_dir) -> DataFrame:
-    return work_items(bed.read(spark, sf_dir, "customer"), *WEEK, entity="c_custkey")
+    """The days around each customer's last order, as far as the customer ever ordered."""
+    last = (
+        bed.read(spark, sf_dir, "orders")
+        .groupBy("o_custkey")
+        .agg(F.to_date(F.min("o_orderdate")).alias("first"), F.to_date(F.max("o_orderdate")).alias("last"))
+    )
+    start = F.greatest("first", F.date_sub("last", WEEK_DAYS - 1))
+    return work_items(last, start, F.col("last"), entity="o_custkey")
 
 
-@query
-def work_items_query(spark, sf_dir):
+def _event_items(spark, sf_dir) -> DataFrame:
     spans = (
         bed.read(spark, sf_dir, "events")
         .groupBy(F.col("event_type").alias("entity"))
@@ -267,6 +275,11 @@ def work_items_query(spark, sf_dir):
     return work_items(spans, F.col("first"), F.col("last"))
 
 
+@query
+def work_items_query(spark, sf_dir):
+    return _event_items(spark, sf_dir)
+
+
 @query
 def loaded_counts_query(spark, sf_dir):
     return loaded_counts(bed.read(spark, sf_dir, "orders"), "o_custkey", "o_orderdate")
@@ -287,7 +300,7 @@ def landed_semi(spark, sf_dir):
 
 
 def _faulty_status(spark, sf_dir) -> DataFrame:
-    items = work_items(bed.entities(spark, sf_dir), date(2024, 1, 1), date(2024, 1, 31))
+    items = _event_items(spark, sf_dir)
     outcomes = with_missing(bed.faulty_from_events(spark, sf_dir, FAULTS_INGESTED))
     return run_status(items, outcomes)
 
@@ -386,7 +399,7 @@ def stream_staging(spark, sf_dir):
     landing = scratch_path(spark, "landing")
     land(_raw(spark, sf_dir), landing, layout=("by_date",))
     stream = incremental_stream(
-        landing, tables, scratch_path(spark, "stream"), bed.AS_OF, lookback_days=1
+        landing, tables, scratch_path(spark, "stream"), bed.AS_OF, lookback_days=1, stream_name="check"
     )
     stream.awaitTermination()
     return tables.read("staging").select(*STAGING.names)

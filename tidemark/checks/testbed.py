@@ -6,7 +6,7 @@ the same answers from ``events`` directly and never sees JSON.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,16 +15,20 @@ from pyspark.sql import functions as F
 from tidemark.functions import points_json
 from tidemark.schemas import LANDED
 
-# An envelope holds the distinct points of one entity, one day and one run of this many event ids,
-# so its size has a fixed bound however large the table is and however often a row was copied.
+# An envelope holds points of one entity, one day and one run of this many event ids. Copies of an
+# event beyond the first fill envelopes of their own, so many at a time: every row is sent, and the
+# size of an envelope has a fixed bound however large the table is and however often a row was copied.
 IDS_PER_ENVELOPE = 16384
+# The short arrays of an uneven delivery leave out the events whose id is divisible by this number.
+OMITTED_IDS = 37
 
 
 @dataclass(frozen=True)
 class Delivery:
     """One pass of the feed over the events.
 
-    ``uneven``: the market caps lack their last point and the volumes have one too many.
+    ``uneven``: the market caps lack the omitted events, which come last in the arrays, and the
+    volumes have a point too many.
     """
 
     ingested: datetime
@@ -39,6 +43,7 @@ FULL = Delivery(datetime(2024, 2, 1))
 CORRECTION = Delivery(
     datetime(2024, 2, 2), factor=2, since=date(2024, 1, 16), uneven=True, days_requested=2
 )
+UNEVEN = replace(CORRECTION, since=None)
 DELIVERIES = (STALE, FULL, CORRECTION)
 AS_OF = date(2024, 2, 2)
 
@@ -48,20 +53,28 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """entity, run_date, points[(ms, price, market_cap, volume)] in time order."""
+    """entity, run_date, points[(omitted, ms, event_id, price, volume)]: omitted last, else in time order."""
     events = read(spark, sf_dir, "events").select(
         F.col("event_type").alias("entity"),
         F.to_date("ts").alias("run_date"),
         F.expr(f"event_id div {IDS_PER_ENVELOPE}").alias("chunk"),
         F.struct(
+            (F.col("event_id") % OMITTED_IDS == 0).alias("omitted"),
             F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"),
             "event_id",
             F.col("value").alias("price"),
             F.get_json_object("props", "$.k").alias("volume"),
         ).alias("point"),
     )
-    grouped = events.groupBy("entity", "run_date", "chunk")
-    return grouped.agg(F.array_sort(F.collect_set("point")).alias("points"))
+    # Copies are counted in the map tasks and written out again after the shuffle.
+    counted = events.groupBy("entity", "run_date", "chunk", "point").agg(F.count(F.lit(1)).alias("n"))
+    once = counted.groupBy("entity", "run_date", "chunk").agg(F.array_sort(F.collect_list("point")).alias("points"))
+    more, size = F.col("n") - 1, F.lit(IDS_PER_ENVELOPE)
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((more - 1) / size))
+    copies = counted.filter("n > 1").select("entity", "run_date", "point", "n", F.explode(blocks).alias("block"))
+    held = F.least(size, more - F.col("block") * size).cast("int")
+    copies = copies.select("entity", "run_date", F.array_repeat("point", held).alias("points"))
+    return once.drop("chunk").unionByName(copies)
 
 
 def _members(points: Column, factor: Column, uneven: Column) -> dict[str, Column]:
@@ -69,7 +82,7 @@ def _members(points: Column, factor: Column, uneven: Column) -> dict[str, Column
     scaled = F.transform(points, lambda p: p.withField("price", p["price"] * factor))
     # The other arrays carry timestamps of their own; only those of the prices count.
     shifted = F.transform(points, lambda p: p.withField("ms", p["ms"] + 1))
-    caps = F.when(uneven, F.slice(shifted, F.lit(1), F.array_size(points) - 1)).otherwise(shifted)
+    caps = F.when(uneven, F.filter(shifted, lambda p: ~p["omitted"])).otherwise(shifted)
     volumes = F.when(uneven, F.concat(shifted, F.slice(shifted, -1, 1))).otherwise(shifted)
     return {
         "prices": F.concat(F.lit('"prices": '), points_json(scaled, "ms", "price")),

@@ -71,9 +71,13 @@ def changed_days(
     window runs over those and the days in between, not over the whole history.
     """
     metrics = [c for c in fresh.columns if c not in ("entity", "date")]
-    before = _last_day(known.filter(F.col("date") < F.lit(first)), metrics)
-    between = known.filter(F.col("date").between(first, last))
-    after = _first_day(known.filter(F.col("date") > F.lit(last)), metrics)
+    day, month = F.col("date"), F.col("month") if "month" in known.columns else F.trunc("date", "month")
+    first_month, last_month = first.replace(day=1), last.replace(day=1)
+    # The months only prune partitions. Of the day before, nothing but the average price is used.
+    before = _last_day(known.filter((month <= first_month) & (day < first)), ["avg_price"])
+    before = before.select("*", *[F.lit(None).cast(fresh.schema[m].dataType).alias(m) for m in metrics if m != "avg_price"])
+    between = known.filter(month.between(first_month, last_month) & day.between(first, last))
+    after = _first_day(known.filter((month >= last_month) & (day > last)), metrics)
     rows = fresh.withColumn("_fresh", F.lit(True))
     for context in (undated, before, between, after):
         part = context.select(*fresh.columns)

@@ -38,7 +38,8 @@ def merge_rows(
 
     A source row replaces the target row with equal keys without comparing anything else, unless
     ``only_if_newer`` names a version column: then the larger version stays, the source on a tie.
-    Keys match with ``=``: rows with a null key match nothing and are kept on both sides. They stay
+    Only keys and versions of either side meet the other one, full rows of the target move only if
+    the source's keys are too many to broadcast. Keys match with ``=``: rows with a null key match nothing and are kept on both sides. They stay
     out of the shuffle, so they cannot pile up in one task.
     """
     source = source.select(*target.columns)
@@ -46,8 +47,13 @@ def merge_rows(
     if only_if_newer is None:
         kept = keyed.join(source.filter(_keyed(keys)).select(*keys), list(keys), "left_anti")
         return kept.select(*target.columns).unionByName(loose).unionByName(source)
-    both = keyed.withColumn("_side", F.lit(0)).unionByName(
-        source.filter(_keyed(keys)).withColumn("_side", F.lit(1))
-    )
-    newest = latest_per_key(both, keys, only_if_newer, ["_side"]).drop("_side")
-    return newest.unionByName(loose).unionByName(source.filter(~_keyed(keys)))
+    mine = latest_per_key(source.filter(_keyed(keys)), keys, only_if_newer)
+    version = F.col(only_if_newer)
+    # A missing version is older than any other.
+    versions = lambda df: df.select(*[F.col(k).alias(f"_{k}") for k in keys], version.alias("_other"))
+    same = reduce(Column.__and__, [F.col(k) == F.col(f"_{k}") for k in keys])
+    older = version.isNull() | (F.col("_other") >= version)
+    kept = keyed.join(versions(mine), same & older, "left_anti")
+    older_source = (version.isNull() & F.col("_other").isNotNull()) | (F.col("_other") > version)
+    fresh = mine.join(versions(keyed), same & older_source, "left_anti")
+    return kept.unionByName(loose).unionByName(fresh).unionByName(source.filter(~_keyed(keys)))

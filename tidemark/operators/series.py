@@ -27,17 +27,20 @@ INGESTION_DATE = "ingestion_date"
 
 def recent(
     df: DataFrame,
-    as_of: date | Column,
+    as_of: date | Column | None,
     lookback_days: int | None = 1,
     ingestion_time: str = "ingestion_time",
 ) -> DataFrame:
     """Rows ingested on or after the UTC day ``as_of - lookback_days``; ``None`` keeps all rows.
 
-    A null ingestion time never passes. When the table carries its ``ingestion_date`` partition
+    A bound needs its day: a lookback without ``as_of`` is an error, not an empty answer. A null
+    ingestion time never passes. When the table carries its ``ingestion_date`` partition
     column the same bound is put on it, so that older partitions are not listed or read.
     """
     if lookback_days is None:
         return df
+    if as_of is None:
+        raise ValueError("lookback_days needs as_of; lookback_days=None keeps all rows")
     if INGESTION_DATE in df.columns:
         df = df.filter(in_utc_day_window(F.col(INGESTION_DATE), as_of, lookback_days))
     return df.filter(in_utc_day_window(F.col(ingestion_time), as_of, lookback_days))

@@ -3,29 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.schemas import METRICS
+
 NOT_LANDED = "not landed"
 POLICIES = ("contiguous", "max_success")
 
 
-def run_status(items: DataFrame, outcomes: DataFrame) -> DataFrame:
+def run_status(items: DataFrame, outcomes: DataFrame, fields: Sequence[str] = tuple(METRICS)) -> DataFrame:
     """``ok`` and ``reason`` for every item; no item is lost because another failed.
 
     ``outcomes`` has entity, run_date and ``missing`` (empty = loaded), any number of rows per
     item. An item is ok when at least one of its envelopes was loaded. It is reduced to one row
-    per item before the join.
+    per item before the join; of several rejected envelopes the one that lacks the earliest
+    ``fields`` gives the reason.
     """
-    lacking = F.array_join("missing", ", ")
+    # One bit per array: numbers are aggregated in a hash table, text would be sorted.
+    bits = [F.when(F.array_contains("missing", n), 1 << k).otherwise(0) for k, n in enumerate(fields)]
+    mask = reduce(Column.__add__, bits)
     per_item = outcomes.groupBy("entity", "run_date").agg(
         F.max(F.array_size("missing") == 0).alias("_loaded"),
-        F.min(F.when(lacking != "", lacking)).alias("_lacking"),
+        F.min(F.when(F.array_size("missing") > 0, mask)).alias("_mask"),
     )
     joined = items.join(per_item, ["entity", "run_date"], "left")
     ok = F.coalesce("_loaded", F.lit(False))
-    reason = F.coalesce(F.concat(F.lit("missing or empty: "), "_lacking"), F.lit(NOT_LANDED))
+    named = [F.when(F.col("_mask").bitwiseAND(1 << k) > 0, n) for k, n in enumerate(fields)]
+    lacking = F.concat(F.lit("missing or empty: "), F.concat_ws(", ", *named))
+    reason = F.when(F.col("_mask").isNull(), NOT_LANDED).otherwise(lacking)
     return joined.select(*items.columns, ok.alias("ok"), F.when(~ok, reason).alias("reason"))
 
 

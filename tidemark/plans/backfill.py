@@ -41,7 +41,8 @@ def backfill(
     tables.create()
     run_id = new_run_id()
     done = loaded_on(tables.raw(), as_of)
-    todo = work_items(entities, as_of, as_of).join(done, ["entity", "run_date"], "left_anti")
+    wanted = entities.select("entity").distinct()
+    todo = work_items(wanted, as_of, as_of).join(done, ["entity", "run_date"], "left_anti")
     # The load changes what counts as done, so the list is fixed before it starts.
     with materialized(todo, "backfill-items") as items:
         load = load_entities(tables, landed_between(landed, as_of, as_of), items, run_id)

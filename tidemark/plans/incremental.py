@@ -49,7 +49,7 @@ def incremental(
         return RunResult(pipeline_name, None, start, end)
 
     run_id = new_run_id()
-    items = work_items(entities, start, end)
+    items = work_items(entities.select("entity").distinct(), start, end)
     load = load_entities(tables, landed_between(landed, start, end), entities, run_id)
     status = record_status(tables, items, pipeline_name, run_id)
     transform(tables, as_of, lookback_days)

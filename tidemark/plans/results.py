@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.status import run_status, run_summary
 from tidemark.plans.layers import build_curated, build_staging
+from tidemark.session import materialized
 from tidemark.sources.tables import LoadReport, Tables
 
+BROADCAST_ENTITIES = 500_000
+
 
 @dataclass(frozen=True)
 class RunResult:
@@ -42,10 +45,14 @@ def load_entities(
     """Store the landed envelopes of the wanted entities.
 
     The caller has bounded the dates. Joining on the entity alone keeps the small side one row per
-    entity instead of one per entity and day.
+    entity instead of one per entity and day. The entities are written once and counted, so that they
+    are broadcast by their true number and payloads stay where they are; only more than
+    ``BROADCAST_ENTITIES`` of them are joined by a shuffle.
     """
-    wanted = entities.select("entity").distinct()
-    return tables.load(landed.join(wanted, "entity", "left_semi"), run_id)
+    with materialized(entities.select("entity").distinct(), "entities") as wanted:
+        if wanted.count() <= BROADCAST_ENTITIES:
+            wanted = F.broadcast(wanted)
+        return tables.load(landed.join(wanted, "entity", "left_semi"), run_id)
 
 
 def record_status(tables: Tables, items: DataFrame, pipeline_name: str, run_id: str) -> DataFrame:

@@ -21,7 +21,6 @@ METRICS = {"prices": "price", "market_caps": "market_cap", "total_volumes": "tot
 PAYLOAD_ARRAYS = tuple(METRICS)
 
 # Default spans in days.
-BACKFILL_DAYS = 90
 INCREMENTAL_DAYS = 2
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from datetime import date
+import uuid
+from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ def incremental_stream(
     as_of: date | None = None,
     lookback_days: int | None = None,
     max_files_per_trigger: int | None = None,
+    stream_name: str | None = None,
 ) -> StreamingQuery:
     """Process the files that arrived since the last run, then stop.
 
@@ -28,20 +30,23 @@ def incremental_stream(
     pipelines. A batch that is repeated after a crash overwrites its own raw partitions and upserts
     the same rows. Files reach batches in any order, so staging keeps the newer ingestion; late
     data needs no watermark.
+
+    ``lookback_days`` without ``as_of`` counts from the UTC day on which a batch runs. Loads are named
+    by ``stream_name`` and the batch number; without a name the checkpoint's path gives one.
     """
     spark = tables.create().spark
+    name = stream_name or uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex
     reader = spark.readStream.schema(landed_schema()).option("mode", "FAILFAST")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     arrivals = reader.json(landing_dir).select(*LANDED.names)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        # The stream's own id, so that a new checkpoint never replaces an older stream's loads.
-        stream_id = batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"]
-        load_id = f"{stream_id}-{batch_id}"
+        load_id = f"{name}-{batch_id}"
         tables.load(batch, load_id, replace=True)
         arrived = tables.raw().filter(F.col("load_id") == load_id)
-        touched = build_staging(tables, arrived, as_of, lookback_days, only_if_newer=True)
+        day = as_of or datetime.now(timezone.utc).date()
+        touched = build_staging(tables, arrived, day, lookback_days, only_if_newer=True)
         build_curated(tables, touched)
 
     return (
