@@ -25,7 +25,7 @@ from tidemark.sources.tables import in_partitions
 SF = "/root/testdata/sf0.001"
 WRITING = {
     "staging_upsert", "staging_upsert_twice", "staging_upsert_only_if_newer", "curated_upsert",
-    "state_upsert", "land_and_load", "backfill_curated", "incremental_curated", "stream_staging",
+    "staging_upsert_older_wins", "load_report", "quarantine", "backfill_state", "state_upsert", "land_and_load", "backfill_curated", "incremental_curated", "stream_staging",
 }
 
 

@@ -229,6 +229,36 @@ QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC)
         "staging_upsert": merged,
         "staging_upsert_twice": merged,
         "staging_upsert_only_if_newer": merged,
+        "staging_upsert_older_wins": f"""
+WITH {FLAT},
+staging AS (
+  SELECT * FROM stale
+  QUALIFY row_number() OVER (
+    PARTITION BY entity, event_time ORDER BY position DESC, price DESC, market_cap DESC, total_volume DESC
+  ) = 1
+) {_STAGING}""",
+        "merge_null_keys": f"""
+WITH target AS (
+  SELECT CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey END AS k, o_custkey, o_orderstatus, o_totalprice FROM orders
+)
+SELECT k, o_custkey, o_orderstatus, {_cut("o_totalprice", "o_totalprice")} FROM target
+WHERE k IS NULL OR o_orderstatus <> 'F'
+UNION ALL
+SELECT k, o_custkey, o_orderstatus, {_cut("o_totalprice * 2", "o_totalprice")} FROM target WHERE o_orderstatus = 'F'""",
+        "load_report": f"""
+WITH {_ENVELOPES},
+sent AS (SELECT {_MISSING} IS NULL AS good FROM envelopes)
+SELECT count(*) FILTER (good) AS raw_rows, count(*) FILTER (NOT good) AS quarantined_rows,
+  count(*) FILTER (good) AS rows_loaded, count(*) FILTER (NOT good) AS rows_rejected
+FROM sent""",
+        "quarantine": f"""
+WITH {_ENVELOPES}
+SELECT entity, run_date, TIMESTAMP '2024-01-31' AS ingestion_time, {_MISSING} AS missing
+FROM envelopes WHERE {_MISSING} IS NOT NULL""",
+        "backfill_state": """
+SELECT DISTINCT 'backfill' AS pipeline_name, DATE '2024-02-01' AS last_processed_date,
+  TIMESTAMP '2024-02-01 06:00:00' AS updated_at
+FROM events""",
         "curated_upsert": f"WITH {LATEST}, {_daily('staging')} {_CURATED}",
         "merge_customer_orders": f"""
 SELECT o_custkey, o_orderkey, o_orderdate, o_orderstatus, {_cut("o_totalprice", "o_totalprice")}

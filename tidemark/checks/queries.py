@@ -43,6 +43,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 FAULTS_INGESTED = datetime(2024, 1, 31)
 REPAIR_INGESTED = datetime(2024, 2, 1)
+BACKFILL_NOW = datetime(2024, 2, 1, 6)
 WEEK_DAYS = 7
 STATE_SPLIT = datetime(1999, 1, 1)
 WINDOW_AS_OF = date(2001, 7, 31)
@@ -198,6 +199,25 @@ def staging_upsert_only_if_newer(spark, sf_dir):
     return tables.read("staging").select(*STAGING.names)
 
 
+@query
+def staging_upsert_older_wins(spark, sf_dir):
+    """A match overwrites without comparing ingestion times: the delivery that comes last stays."""
+    tables = _fresh_tables(spark)
+    for delivery in (bed.FULL, bed.STALE):
+        build_staging(tables, _raw(spark, sf_dir, delivery), as_of=None, lookback_days=None)
+    return tables.read("staging").select(*STAGING.names)
+
+
+@query
+def merge_null_keys(spark, sf_dir):
+    """Rows without a key match nothing: those of both sides stay."""
+    key = F.when(F.col("o_orderkey") % 5 > 0, F.col("o_orderkey")).alias("k")
+    orders = bed.read(spark, sf_dir, "orders")
+    target = orders.select(key, "o_custkey", "o_orderstatus", "o_totalprice")
+    source = target.filter("o_orderstatus = 'F'").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    return merge_rows(target, source, ["k"])
+
+
 @query
 def curated_upsert(spark, sf_dir):
     tables = _fresh_tables(spark)
@@ -369,6 +389,37 @@ def land_and_load(spark, sf_dir):
     return point_counts(tables.raw()).drop("payload", "load_id")
 
 
+@query
+def load_report(spark, sf_dir):
+    """What a load of good and bad envelopes reports, beside what the tables hold afterwards."""
+    tables = _fresh_tables(spark)
+    report = tables.load(bed.faulty_from_events(spark, sf_dir, FAULTS_INGESTED), "first")
+    counts = tables.read("intake").agg(
+        F.count_if(F.col("outcome") == "loaded").alias("raw_rows"),
+        F.count_if(F.col("outcome") == "rejected").alias("quarantined_rows"),
+    )
+    reported = {"rows_loaded": report.rows_loaded, "rows_rejected": report.rows_rejected}
+    return counts.withColumns({k: F.lit(v).cast("bigint") for k, v in reported.items()})
+
+
+@query
+def quarantine(spark, sf_dir):
+    tables = _fresh_tables(spark)
+    tables.load(bed.faulty_from_events(spark, sf_dir, FAULTS_INGESTED), "first")
+    lacking = F.array_join("missing", ",").alias("missing")
+    return tables.rejected().select("entity", "run_date", "ingestion_time", lacking)
+
+
+@query
+def backfill_state(spark, sf_dir):
+    """A complete backfill moves its pointer to its day."""
+    tables = _fresh_tables(spark)
+    landed = _raw(spark, sf_dir, bed.FULL).withColumn("run_date", F.to_date("ingestion_time"))
+    day = bed.FULL.ingested.date()
+    backfill(landed, tables, bed.entities(spark, sf_dir), day, advance_state=True, now=BACKFILL_NOW)
+    return tables.read("state").select(*STATE.names)
+
+
 @query
 def backfill_curated(spark, sf_dir):
     """Two backfill days; repeating the first one loads nothing again."""

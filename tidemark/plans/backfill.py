@@ -30,6 +30,7 @@ def backfill(
     as_of: date,
     lookback_days: int | None = 1,
     advance_state: bool = False,
+    now: datetime | None = None,
     pipeline_name: str = PIPELINE_NAME,
 ) -> RunResult:
     """Run the backfill of UTC day ``as_of``.
@@ -52,6 +53,6 @@ def backfill(
     resume_date = None
     if advance_state and ok:
         resume_date = as_of
-        now = datetime.now(timezone.utc)
-        tables.upsert("state", state_row(tables.spark, pipeline_name, as_of, now))
+        moved = state_row(tables.spark, pipeline_name, as_of, now or datetime.now(timezone.utc))
+        tables.upsert("state", moved)
     return RunResult(pipeline_name, run_id, as_of, as_of, ok, count, failures, load, resume_date)
