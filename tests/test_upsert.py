@@ -100,3 +100,27 @@ def test_merge_rows_does_not_depend_on_column_order(spark):
     source = spark.createDataFrame([(0.7, 1, "new"), (0.9, None, "loose2")], "v double, k int, name string")
     merged = merge_rows(target, source, ["k"])
     assert rows(merged) == [(None, "loose", 0.1), (None, "loose2", 0.9), (1, "new", 0.7)]
+
+
+def test_an_upsert_stopped_between_two_partitions_is_completed(spark, tables, monkeypatch):
+    from tidemark.schemas import STAGING
+    from tidemark.session import folder
+    from tidemark.sources.tables import Tables
+
+    def points(price, *days):
+        made = [("a", utc(2024, 1, d), price, 1.0, 1.0, utc(2024, 2, 1)) for d in days]
+        return spark.createDataFrame(made, STAGING)
+
+    tables.upsert("staging", points(1.0, 1, 2, 3))
+    finish = Tables.finish
+    with monkeypatch.context() as stopped:
+        calls = iter([False])
+        stopped.setattr(Tables, "finish", lambda self, name: next(calls))  # the second call, after the copy, fails
+        with pytest.raises(Exception):
+            tables.upsert("staging", points(2.0, 1, 2, 4))
+    place, files = folder(spark, f"{tables.path('staging')}/event_date=2024-01-02")
+    files.delete(place, True)  # as a crash would leave it: one partition gone, the others old
+    assert finish is Tables.finish
+    Tables(spark, tables.root).create()
+    assert rows(tables.read("staging"), "price") == [(1.0,), (2.0,), (2.0,), (2.0,)]
+    assert not tables.finish("staging")

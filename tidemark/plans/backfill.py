@@ -53,6 +53,5 @@ def backfill(
     resume_date = None
     if advance_state and ok:
         resume_date = as_of
-        moved = state_row(tables.spark, pipeline_name, as_of, now or datetime.now(timezone.utc))
-        tables.upsert("state", moved)
+        tables.append("state", state_row(tables.spark, pipeline_name, as_of, now or datetime.now(timezone.utc)))
     return RunResult(pipeline_name, run_id, as_of, as_of, ok, count, failures, load, resume_date)

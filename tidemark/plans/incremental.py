@@ -56,7 +56,7 @@ def incremental(
 
     resume = resume_point(status, policy)
     moved = advance_to(resume, now or datetime.now(timezone.utc))
-    tables.upsert("state", moved, unique_source=True)
+    tables.append("state", moved)
     resume_date = last_processed(tables.read("state"), pipeline_name)
     count, failures, ok = totals(status)
     if resume_date == pointer:

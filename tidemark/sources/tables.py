@@ -44,13 +44,14 @@ class Tables:
         return f"{self.root}/{name}"
 
     def create(self) -> Tables:
-        """Create the tables that do not exist yet, as empty folders.
+        """Create the tables that do not exist yet, as empty folders, and complete stopped upserts.
 
         Nothing more is needed: every read names the schema and every write has to fit it.
         """
         for name in TABLES:
             place, files = folder(self.spark, self.path(name))
             files.mkdirs(place)
+            self.finish(name)
         return self
 
     def read(self, name: str) -> DataFrame:
@@ -113,6 +114,7 @@ class Tables:
         """
         spec = TABLES[name]
         (partition,) = spec.partitions
+        self.finish(name)
         with materialized(self._laid_out(spec, source), f"upsert-{name}") as rows:
             if not unique_source:
                 require_unique(rows, spec.keys)
@@ -123,10 +125,32 @@ class Tables:
                 merged = merge_rows(target, rows, spec.keys, only_if_newer)
                 # Rebalancing packs a partition into few files and splits a hot one.
                 writer = merged.hint("rebalance", partition).write.partitionBy(partition)
-                writer = writer.option("partitionOverwriteMode", "dynamic")
-                writer.mode("overwrite").parquet(self.path(name))
+                writer.mode("overwrite").parquet(self._pending(name))
+                self.finish(name)
         return touched
 
+    def _pending(self, name: str) -> str:
+        return f"{self.root}/_pending-{name}"
+
+    def finish(self, name: str) -> bool:
+        """Put the partitions that an upsert has merged and stored into the table; True if there were any.
+
+        The stored copy stays until the table holds all of it. An upsert that was stopped between two
+        partitions is thus completed by the next ``create`` or ``upsert``; one that was stopped before
+        its copy was complete has not changed the table and is forgotten.
+        """
+        spec = TABLES[name]
+        place, files = folder(self.spark, self._pending(name))
+        if not files.exists(place):
+            return False
+        complete, _ = folder(self.spark, f"{self._pending(name)}/_SUCCESS")
+        if found := files.exists(complete):
+            rows = self.spark.read.schema(spec.full_schema).parquet(self._pending(name))
+            writer = rows.write.partitionBy(*spec.partitions).option("partitionOverwriteMode", "dynamic")
+            writer.mode("overwrite").parquet(self.path(name))
+        files.delete(place, True)
+        return found
+
 
 def create_tables(spark: SparkSession, root: str) -> Tables:
     return Tables(spark, root).create()
