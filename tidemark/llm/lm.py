@@ -11,7 +11,7 @@ of all counts (c - 1) and predicted from the rest, and lands in the bucket of th
 For a fixed m an EM step needs only how the ratio of the two estimates is distributed in a bucket, so
 tasks return histograms over (bucket, logarithm of the ratio) of fixed size.
 
-Words and word pairs are known by 64-bit hashes. Texts are read once, into blocks of a few million
+Words and word pairs are known by 64-bit hashes. Texts are read once, into blocks of about a million
 tokens stored in the shared folder. A block asks for the counts of its distinct words and pairs: one
 sorted, compressed list of hashes for each range of hashes. The owner of a range adds up what all
 blocks hold and answers each list in its order. A word that a third of all documents hold is one
@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import crc_of_id, stored, whole
 from tidemark.llm.token_store import runs
 
-BLOCK = 3_000_000
+BLOCK = 1_000_000
 """Tokens of a block; a longer text is a block of its own."""
 RANGE = 1_500_000
 """Tokens of the corpus for each range of hashes."""
