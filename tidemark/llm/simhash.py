@@ -202,7 +202,8 @@ def grouped(docs: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row of ``docs``."""
     rows = grouped(docs)
-    smallest = rows.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    # Stored, so that the join is a stage of its own, in which Spark can split a large component.
+    smallest, _ = stored(rows.groupBy("component").agg(F.min("doc_id").alias("component_id")), "smallest")
     return rows.join(smallest, "component").select(
         "doc_id", F.lpad(F.lower(F.hex("print")), 16, "0").alias("fingerprint"), "component_id"
     )
