@@ -23,7 +23,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document, without the chunks of lines that an earlier place holds."""
+    """Every document, without the runs of lines that an earlier place holds."""
     out = line_dedup.without_repeats(docs)
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)

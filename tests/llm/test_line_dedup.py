@@ -58,3 +58,35 @@ def test_odd_rows_stay_as_they_are(documents, prose):
 def test_a_null_id_comes_first(documents, prose):
     got = texts(without_repeats(documents((1, prose(6, 30)), (None, prose(6, 30)))))
     assert got[None][1] == 0 and got[1] == ("", 1)
+
+
+def short_lines(prose, seed, lines, words):
+    return "\n".join(prose(seed * 1000 + k, words) for k in range(lines))
+
+
+def test_passages_of_short_lines_go_as_a_whole(documents, prose):
+    """Passages of over 50 words, 4 to 12 words a line, between short and long neighbours."""
+    pairs, expected = [], {}
+    for words, lines in [(4, 13), (5, 11), (6, 9), (7, 8), (8, 7), (10, 6), (12, 5)]:
+        for near in (3, 8, 25):
+            passage, i = short_lines(prose, words, lines, words) + f"\nend {near}", 100 * words + near
+            own = [short_lines(prose, 10 * i + k, 4, near) for k in range(4)]
+            pairs += [(i, f"{own[0]}\n{passage}\n{own[1]}"), (10_000 + i, f"{own[2]}\n{passage}\n{own[3]}")]
+            # The last line differs by neighbour, so of the later passages only the last line is new to the others.
+            first = near == 3
+            kept = passage if first else f"end {near}"
+            expected[i] = f"{own[0]}\n{kept}\n{own[1]}"
+            expected[10_000 + i] = f"{own[2]}\n{own[3]}"
+    got = texts(without_repeats(documents(*pairs)))
+    assert {i: t for i, (t, _) in got.items()} == expected
+
+
+def test_a_text_that_repeats_a_line_keeps_one_window_of_it(documents, prose):
+    line = prose(1, 8)
+    assert texts(without_repeats(documents((1, "\n".join([line] * 9)))))[1] == ("\n".join([line] * 3), 6)
+
+
+def test_blank_lines_go_with_the_line_above(documents, prose):
+    passage = short_lines(prose, 7, 8, 7).replace("\n", "\n\n", 3)
+    got = texts(without_repeats(documents((1, f"\n \na\n\n{passage}\n\nb\n"), (2, f"\nc\n\n{passage}\n\n\nd\n"))))
+    assert got == {1: (f"\n \na\n\n{passage}\n\nb\n", 0), 2: ("\nc\n\nd\n", 8)}

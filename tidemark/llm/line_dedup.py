@@ -1,18 +1,22 @@
-"""Line dedup by content-defined chunks of lines. Native expressions only.
+"""Line dedup by runs of lines. Native expressions only.
 
-A text is cut into lines and lines into chunks. A chunk ends after a line where a rolling hash over
-the last ``WINDOW`` line hashes is divisible by ``DIVISOR``, and around every line of at least
-``LONG`` words, so a long passage is a chunk of its own whatever stands next to it. Boundaries depend
-on nearby content alone: text inserted before a passage does not move the boundaries inside it.
+Around every line stand two windows: the shortest run of lines from it on, and the shortest back from
+it, that holds ``LONG`` words. Windows depend on nearby content alone, and every run of lines of at
+least ``LONG`` words is covered by the windows inside it. A window that stands at several places keeps
+its first place, by doc_id, then hash of the text, then position; elsewhere its lines are removed after
+its bytes were compared with those at the first place. So every run of at least ``LONG`` words that an
+earlier place holds goes as a whole, whatever its neighbours and however short its lines. Shorter runs,
+such as common short lines, stay everywhere.
 
-A chunk of at least ``LONG`` words that stands at several places keeps its first place, by doc_id, then
-hash of the text, then position; it is removed elsewhere after its bytes were compared with those at
-the first place. Shorter chunks, such as common short lines, stay everywhere.
+Blank lines belong to the line above them.
 
-Defined cases: a null text stays null and an empty one empty; a text whose every chunk goes becomes
-empty; a chunk repeated inside one text keeps its first place there; rows equal in doc_id and text
-are one document and keep the same places; a null doc_id comes before all others; an empty table
-gives no rows; all columns and rows of the input stay.
+``chunks`` gives content-defined chunks: a chunk ends after a line where a rolling hash over the last
+``WINDOW`` line hashes is divisible by ``DIVISOR``, and around every line of at least ``LONG`` words.
+
+Defined cases: a null text stays null and an empty one empty; a text whose every line goes becomes
+empty; a window repeated inside one text keeps its first place there, and copies that overlap that
+place stay; rows equal in doc_id and text are one document and keep the same places; a null doc_id
+comes before all others; an empty table gives no rows; all columns and rows of the input stay.
 """
 
 from __future__ import annotations
@@ -27,15 +31,28 @@ WINDOW = 2
 DIVISOR = 4
 """A boundary follows one line in so many, on average."""
 LONG = 20
-"""Words from which a line is cut out by itself, and from which a chunk may be removed."""
+"""Words of a window: repeated runs of lines go from so many on."""
 BASE = 1_000_003
 MODULUS = (1 << 31) - 1
 
 
-def _words(line: Column) -> Column:
-    """Words of a line as blanks between non-blank characters plus one."""
-    trimmed = F.trim(line)
-    return F.when(trimmed == "", 0).otherwise(F.length(trimmed) - F.length(F.replace(trimmed, F.lit(" "), F.lit(""))) + 1)
+_WHITE = r"\s"
+_BLANKS = rf"[{_WHITE}&&[^\n]]*+"
+_WORD = rf"[^{_WHITE}]++"
+_WORDS = rf"(?:{_WORD}[{_WHITE}]*+){{{LONG - 1}}}{_WORD}"
+_AHEAD = rf"(?dm)^(?=({_BLANKS}{_WORDS}[^\n]*+))"
+"""From every line that is not blank, the lines up to that of its LONG-th word."""
+_NEXT = rf"\n(?={_BLANKS}[^{_WHITE}])"
+"""The line feed before a line that is not blank."""
+
+
+def _is_long(line: Column) -> Column:
+    return line.rlike(_WORDS)
+
+
+def units(text: Column) -> Column:
+    """The lines of a text, each with the blank lines after it; blank lines at the start are one of their own."""
+    return F.split(text, _NEXT, -1)
 
 
 def chunks(docs: DataFrame, keep: list[str]) -> DataFrame:
@@ -48,7 +65,7 @@ def chunks(docs: DataFrame, keep: list[str]) -> DataFrame:
     marked = lined.select(
         *keep, "_key", "_lines",
         F.transform("_lines", lambda l: F.pmod(F.xxhash64(l), F.lit(MODULUS))).alias("_hashes"),
-        F.transform("_lines", lambda l: _words(l) >= LONG).alias("_long"),
+        F.transform("_lines", _is_long).alias("_long"),
     )
     last = F.size("_lines") - 1
 
@@ -65,40 +82,74 @@ def chunks(docs: DataFrame, keep: list[str]) -> DataFrame:
     return cut.select(*keep, "_key", F.transform("_ends", piece).alias("_chunks"))
 
 
+def windows(docs: DataFrame) -> DataFrame:
+    """_id, _key and _window of every row: _at (first unit), _n (units) and _hash, one row for each window."""
+    text = whole(F.col("_text"))
+    found = docs.select(
+        "_id", F.xxhash64(text).alias("_key"),
+        F.regexp_extract_all(text, F.lit(_AHEAD), F.lit(1)).alias("_ahead"),
+        F.transform(F.regexp_extract_all(F.reverse(text), F.lit(_AHEAD), F.lit(1)), F.reverse).alias("_back"),
+        F.size(units(text)).alias("_of"),
+        (~text.rlike(rf"\A{_BLANKS}[^{_WHITE}]")).cast("int").alias("_off"),
+    )
+    n = lambda w: F.when(F.contains(w, F.lit("\n")), F.size(units(w))).otherwise(1)
+    window = lambda at, w: F.struct(at.alias("_at"), n(w).alias("_n"), F.xxhash64(w).alias("_hash"))
+    ahead = F.transform("_ahead", lambda w, i: window(F.col("_off") + i, w))
+    back = F.transform("_back", lambda w, i: window(F.col("_of") - i - n(w), w))
+    # The outer form: for the plain one the optimizer adds a filter that computes the windows once more.
+    listed = found.select("_id", "_key", F.explode_outer(F.array_distinct(F.concat(ahead, back))).alias("_window"))
+    return listed.select("_id", "_key", "_window._at", "_window._n", "_window._hash").where("_hash IS NOT NULL")
+
+
 def repeated(docs: DataFrame) -> DataFrame:
-    """_id, _key and the sorted places of chunks to remove, of every document that has some.
+    """_id, _key and the places of units to remove, of every document that has some.
 
     ``docs`` holds _id and _text.
     """
-    # The outer form: for the plain one the optimizer adds a filter that computes the chunks once more.
-    listed = chunks(docs, ["_id"]).select("_id", "_key", F.posexplode_outer("_chunks").alias("_at", "_chunk"))
-    words = F.length(F.regexp_replace("_chunk", r"[^ \n]", "")) + 1
-    listed = listed.where((F.length("_chunk") >= 2 * LONG - 1) & (words >= LONG)).select("*", F.xxhash64("_chunk").alias("_hash"))
+    listed, _ = stored(windows(docs), "windows")
     place = F.struct("_id", "_key", "_at")
     again = (
-        listed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_n"), F.min(place).alias("_first")).where("_n > 1")
+        listed.groupBy("_hash").agg(F.count(F.lit(1)).alias("_times"), F.min(place).alias("_first")).where("_times > 1")
         .select(F.col("_hash").alias("_same"), "_first")
     )
+    # Stored, so that the join is a stage of its own, in which Spark can split a common window.
+    again, _ = stored(again, "repeated-windows")
     met = listed.join(again, F.col("_hash") == F.col("_same"))
-    is_first = F.col("_id").eqNullSafe(F.col("_first._id")) & (F.col("_key") == F.col("_first._key")) & (F.col("_at") == F.col("_first._at"))
-    met, _ = stored(met.select("_id", "_key", "_at", "_hash", is_first.alias("_is_first"), "_chunk"), "chunks")
+    inside = F.col("_id").eqNullSafe(F.col("_first._id")) & (F.col("_key") == F.col("_first._key"))
+    is_first = inside & (F.col("_at") == F.col("_first._at"))
+    met = met.where(is_first | ~inside | (F.col("_at") >= F.col("_first._at") + F.col("_n")))
+    window = F.struct("_at", "_n", "_hash", is_first.alias("_is_first"))
+    met = met.groupBy(F.col("_id").alias("_met_id"), F.col("_key").alias("_met_key")).agg(F.collect_set(window).alias("_met"))
+    text = whole(F.col("_text"))
+    keyed = docs.select("_id", "_text", F.xxhash64(text).alias("_key"))
+    joined = keyed.join(met, F.col("_id").eqNullSafe(F.col("_met_id")) & (F.col("_key") == F.col("_met_key")))
+    cut = joined.select("_id", "_key", "_met", units(text).alias("_units"))
+
+    def with_bytes(w):
+        # The units stand here twice, so that the optimizer leaves them a column of their own.
+        held = F.when(w["_at"] + w["_n"] <= F.size("_units"), F.array_join(F.slice("_units", w["_at"] + 1, w["_n"]), "\n"))
+        return w.withField("_bytes", F.regexp_replace(held, r"\n\s*+\z", ""))
+
+    cut = cut.select("_id", "_key", F.explode_outer(F.transform("_met", with_bytes)).alias("_w")).select("_id", "_key", "_w.*")
+    cut, _ = stored(cut, "window-bytes")
     # Rows equal in id and text both hold the first place; one of them speaks for it.
-    kept = met.where("_is_first").groupBy(F.col("_hash").alias("_same")).agg(F.first("_chunk").alias("_bytes"))
-    later = met.where("NOT _is_first").select("_id", "_key", "_at", "_hash", "_chunk")
-    equal = later.join(kept, (F.col("_hash") == F.col("_same")) & (F.col("_chunk") == F.col("_bytes")))
-    return equal.groupBy("_id", "_key").agg(F.array_sort(F.collect_set("_at")).alias("_gone"))
+    kept = cut.where("_is_first").groupBy(F.col("_hash").alias("_same")).agg(F.first("_bytes").alias("_same_bytes"))
+    later = cut.where("NOT _is_first")
+    equal = later.join(kept, (F.col("_hash") == F.col("_same")) & (F.col("_bytes") == F.col("_same_bytes")))
+    places = F.transform(F.collect_set(F.struct("_at", "_n")), lambda w: F.sequence(w["_at"], w["_at"] + w["_n"] - 1))
+    return equal.groupBy("_id", "_key").agg(F.array_distinct(F.flatten(places)).alias("_gone"))
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with repeated chunks taken out of ``text``; adds _removed, the number of them."""
+    """``docs`` with repeated runs of lines taken out of ``text``; adds _removed, the number of these lines."""
     named = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
     gone = repeated(named.select("_id", "_text")).select(F.col("_id").alias("_gone_id"), F.col("_key").alias("_gone_key"), "_gone")
     keyed = named.select("_row", "_id", "_text", F.xxhash64(whole(F.col("_text"))).alias("_text_key"))
     same = F.col("_id").eqNullSafe(F.col("_gone_id")) & (F.col("_text_key") == F.col("_gone_key"))
-    joined = keyed.join(gone, same, "left").select("_row", "_id", "_text", "_gone")
-    touched = chunks(joined, ["_row", "_text", "_gone"])
-    left = F.array_join(F.filter("_chunks", lambda c, i: ~F.array_contains("_gone", i)), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(left)
+    joined = keyed.join(gone, same, "left").select("_row", "_text", "_gone")
+    touched = joined.select("_row", "_text", "_gone", F.when(F.col("_gone").isNotNull(), units(F.col("_text"))).alias("_units"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_units") - 1), F.col("_gone"))
+    text = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(F.transform(left, lambda i: F.get("_units", i)), "\n"))
     return touched.select(
         *[text.alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns],
         F.coalesce(F.size("_gone"), F.lit(0)).alias("_removed"),

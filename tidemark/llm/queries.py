@@ -21,7 +21,7 @@ def op1_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document with its repeated chunks taken out, and how many these were."""
+    """Every document with its repeated runs of lines taken out, and how many lines these were."""
     docs = table(spark, sf_dir, "documents")
     return line_dedup.without_repeats(docs).select("doc_id", "text", F.col("_removed").cast("long").alias("n_removed"))
 
