@@ -90,3 +90,13 @@ def test_blank_lines_go_with_the_line_above(documents, prose):
     passage = short_lines(prose, 7, 8, 7).replace("\n", "\n\n", 3)
     got = texts(without_repeats(documents((1, f"\n \na\n\n{passage}\n\nb\n"), (2, f"\nc\n\n{passage}\n\n\nd\n"))))
     assert got == {1: (f"\n \na\n\n{passage}\n\nb\n", 0), 2: ("\nc\n\nd\n", 8)}
+
+
+def test_words_need_no_plain_blanks(documents, prose):
+    tabbed, hard = prose(1, 30).replace(" ", "\t"), prose(2, 30).replace(" ", chr(0xA0))
+    han = "".join(chr(0x4E00 + 37 * k % 5000) for k in range(60))
+    short = [prose(3, 15).replace(" ", "\t"), han[:30], "https://example.org/" + "a" * 200]
+    text = "\n".join([tabbed, hard, han])
+    got = texts(without_repeats(documents((1, text), (2, f"b\n{text}\nc"), *[(10 * k + j, f"{k} {j}\n{s}") for k, s in enumerate(short, 1) for j in (1, 2)])))
+    assert got[1] == (text, 0) and got[2] == ("b\nc", 3)
+    assert all(removed == 0 for i, (_, removed) in got.items() if i > 2)

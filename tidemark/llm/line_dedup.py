@@ -8,7 +8,8 @@ its bytes were compared with those at the first place. So every run of at least
 earlier place holds goes as a whole, whatever its neighbours and however short its lines. Shorter runs,
 such as common short lines, stay everywhere.
 
-Blank lines belong to the line above them.
+A word is a run of characters that are not white space, of ``WIDE`` characters at most; in scripts
+without blanks, two characters are a word. Blank lines belong to the line above them.
 
 ``chunks`` gives content-defined chunks: a chunk ends after a line where a rolling hash over the last
 ``WINDOW`` line hashes is divisible by ``DIVISOR``, and around every line of at least ``LONG`` words.
@@ -32,13 +33,17 @@ DIVISOR = 4
 """A boundary follows one line in so many, on average."""
 LONG = 20
 """Words of a window: repeated runs of lines go from so many on."""
+WIDE = 30
+"""Characters without white space that count as one word at most."""
 BASE = 1_000_003
 MODULUS = (1 << 31) - 1
 
 
-_WHITE = r"\s"
+_WHITE = r"\s\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_DENSE = r"\x{0e00}-\x{0eff}\x{1000}-\x{109f}\x{1780}-\x{17ff}\x{3040}-\x{30ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}\x{20000}-\x{3ffff}"
+"""Scripts without blanks: Thai, Lao, Burmese, Khmer, kana, Han."""
 _BLANKS = rf"[{_WHITE}&&[^\n]]*+"
-_WORD = rf"[^{_WHITE}]++"
+_WORD = rf"(?:[{_DENSE}]{{1,2}}+|[^{_WHITE}{_DENSE}]{{1,{WIDE}}}+)"
 _WORDS = rf"(?:{_WORD}[{_WHITE}]*+){{{LONG - 1}}}{_WORD}"
 _AHEAD = rf"(?dm)^(?=({_BLANKS}{_WORDS}[^\n]*+))"
 """From every line that is not blank, the lines up to that of its LONG-th word."""
