@@ -61,3 +61,25 @@ def test_frame_keeps_rows_and_columns(documents):
     assert twice[0] == twice[1]
     only = encode_pieces(docs, MODEL, keep=["doc_id"])
     assert only.columns == ["doc_id", "pieces", "lossless"] and only.where(F.size("pieces") == 0).count() == 3
+
+
+def test_every_occurrence_draws_its_own_skips():
+    """A word of one possible merge is split in a tenth of its places; a longer word has many segmentations."""
+    n, segmenter = 20_000, Segmenter(MODEL, 0.1, 42)
+    whole, *_ = cut(Segmenter(MODEL, 0.0, 42), ["a"])
+    assert len(whole) == 1
+    flat, _ = segmenter.encode([1], [" ".join(["a"] * n)])
+    assert 0.09 < (len(flat) - n) / n < 0.11
+    assert len({tuple(x) for x in cut(segmenter, [" international"] * 2000)}) > 8
+
+
+def test_an_occurrence_without_skipped_merges_equals_its_own_agenda(monkeypatch, prose):
+    """Each occurrence, whether taken from the segmentation without dropout or not, gives what its agenda gives."""
+    import numpy as np
+
+    from tidemark.llm import pieces
+
+    text, segmenter = prose(4, 400), Segmenter(MODEL, 0.1, 3)
+    taken = cut(segmenter, [text], [8])
+    monkeypatch.setattr(pieces.Segmenter, "skipped", lambda self, key, met, f=pieces.Segmenter.skipped: f(self, key, met) | (np.ndim(key) == 1) & (len(met) > 1000))
+    assert cut(segmenter, [text], [8]) == taken

@@ -4,14 +4,18 @@ A text becomes units: a run of blanks with the word behind it, or a single chara
 piece holds. Pieces never reach from one unit into the next, so units are segmented on their own.
 In a unit an agenda holds the adjacent pairs whose join is a piece; the best score goes first, the
 leftmost of equals before others, and each candidate merge is skipped for good when its keyed hash
-(seed, stream, unit, place, both pieces) falls below the dropout rate. Every occurrence of a unit
-draws one of ``streams`` hash streams by seed, document and place, so segmentations vary, and
-repeat exactly for the same seed. Rate 0 gives the library's own encoding.
+(seed, document, place of the unit in the text, place in the unit, both pieces) falls below the
+dropout rate. So every occurrence of a unit draws its own skips, and repeats exactly for the same
+seed. Rate 0 gives the library's own encoding.
+
+Units are segmented once without dropout. An occurrence that skips none of the merges made there has
+that segmentation, as skipping a pair that is never merged changes nothing; all others run an agenda
+of their own.
 
 Characters that are not in the vocabulary become byte pieces, and so does a literal U+2581, which
 would otherwise read as a blank: decoding gives back every text.
 
-Defined cases: a null text counts as empty and has no pieces; a null doc_id draws the streams of
+Defined cases: a null text counts as empty and has no pieces; a null doc_id draws the skips of
 id 0; repeated rows get equal pieces; an empty table gives no rows; other columns stay as they are.
 """
 
@@ -38,6 +42,8 @@ WIDE = 32
 """Longer units are segmented one by one, with a heap."""
 ROWS = 50_000
 """Units whose agendas run side by side."""
+DRAWN = 500_000
+"""Occurrences whose skips are drawn at once."""
 NONE = np.int64(1) << 40
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
@@ -54,11 +60,12 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Segmenter:
     """The tables of one model, and the agenda over them."""
 
-    def __init__(self, model: str, rate: float, seed: int, streams: int):
+    def __init__(self, model: str, rate: float, seed: int, streams: int | None = None):
+        """``streams`` is accepted for older callers and has no effect: every occurrence draws for itself."""
         library = sentencepiece.SentencePieceProcessor(model_file=model)
         n = library.get_piece_size()
         special = [library.is_control(i) or library.is_unknown(i) or library.is_byte(i) for i in range(n)]
-        self.rate, self.seed, self.streams = rate, seed, streams
+        self.rate, self.seed = rate, seed
         ids = {library.id_to_piece(i): i for i in range(n) if not special[i]}
         byte_ids = {int(library.id_to_piece(i)[3:5], 16): i for i in range(n) if library.is_byte(i)}
         self.bytes_of = [b""] * n
@@ -75,8 +82,6 @@ class Segmenter:
         for piece, i in ids.items():
             if len(piece) == 1:
                 self.symbol_of[ord(piece)] = i
-        with np.errstate(over="ignore"):
-            self.salts = mixed(np.arange(streams, dtype=np.uint64) + np.uint64(seed) * _MIX[1])
         ranks = {s: r for r, s in enumerate(sorted({library.get_score(i) for i in ids.values()}, reverse=True))}
         joins = sorted(
             (ids[p[:k]] << 20 | ids[p[k:]], ids[p], ranks[library.get_score(ids[p])])
@@ -97,18 +102,24 @@ class Segmenter:
             out += self.units.findall(part.replace(" ", BLANK))
         return out
 
-    def pairs(self, key: np.ndarray, start: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(rank, joined) of pairs; rank NONE where the pair is no piece or is skipped."""
+    def skipped(self, key: np.ndarray, candidate: np.ndarray) -> np.ndarray:
+        return (mixed(key ^ candidate) >> np.uint64(11)).astype(np.float64) < self.rate * 2.0**53
+
+    @staticmethod
+    def candidate(code: np.ndarray, start: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mixed(code.astype(np.uint64) + start.astype(np.uint64) * _MIX[0])
+
+    def pairs(self, key: np.ndarray | None, start: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, joined) of pairs; rank NONE where the pair is no piece or is skipped. Without a key none is skipped."""
         code = left << 20 | right
         at = np.minimum(np.searchsorted(self.keys, code), len(self.keys) - 1)
         known = (self.keys[at] == code) & (left >= 0) & (right >= 0)
-        if self.rate > 0:
-            with np.errstate(over="ignore"):
-                h = mixed(key ^ mixed(code.astype(np.uint64) + start.astype(np.uint64) * _MIX[0]))
-            known &= (h >> np.uint64(11)).astype(np.float64) >= self.rate * 2.0**53
+        if key is not None and self.rate > 0:
+            known &= ~self.skipped(key, self.candidate(code, start))
         return np.where(known, self.ranks[at], NONE), np.where(known, self.joined[at], -1)
 
-    def wide(self, symbols: list[int], key: np.ndarray) -> list[int]:
+    def wide(self, symbols: list[int], key: np.ndarray | None) -> list[int]:
         """The agenda of one unit, as a heap over linked symbols."""
         n = len(symbols)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
@@ -117,7 +128,7 @@ class Segmenter:
         def offer(lefts, rights):
             if lefts:
                 left, right = (np.array([symbols[k] for k in x], np.int64) for x in (lefts, rights))
-                rank, joined = self.pairs(np.broadcast_to(key, len(lefts)), np.array(lefts, np.int64), left, right)
+                rank, joined = self.pairs(key, np.array(lefts, np.int64), left, right)
                 for k in np.flatnonzero(rank < NONE):
                     heapq.heappush(agenda, (int(rank[k]), lefts[k], int(left[k]), int(right[k]), int(joined[k])))
 
@@ -135,22 +146,28 @@ class Segmenter:
             offer([a for a, _ in ends], [b for _, b in ends])
         return [s for s in symbols if s >= 0]
 
-    def narrow(self, ids: np.ndarray, key: np.ndarray) -> np.ndarray:
-        """The agendas of many units at once: a row each, symbols from the left, -1 behind them."""
+    def narrow(self, ids: np.ndarray, key: np.ndarray | None, merges: list | None = None) -> np.ndarray:
+        """The agendas of many units at once: a row each, symbols from the left, -1 behind them.
+
+        ``merges`` receives (rows, candidates) of the merges made.
+        """
         n, width = ids.shape
         out = np.full((n, width), -1, np.int64)
         place = np.broadcast_to(np.arange(width, dtype=np.int64), ids.shape)
-        rank, joined = self.pairs(key[:, None], place[:, :-1], ids[:, :-1], ids[:, 1:])
+        rank, joined = self.pairs(None if key is None else key[:, None], place[:, :-1], ids[:, :-1], ids[:, 1:])
         rows, column = np.arange(n), np.arange(width)
         while len(rows):
             best = rank.argmin(axis=1)
             live = rank[np.arange(len(rows)), best] < NONE
             if not live.all():
                 out[rows[~live]] = ids[~live]
-                ids, place, rank, joined, key, rows, best = (x[live] for x in (ids, place, rank, joined, key, rows, best))
+                ids, place, rank, joined, rows, best = (x[live] for x in (ids, place, rank, joined, rows, best))
+                key = None if key is None else key[live]
                 if not len(rows):
                     break
             at = np.arange(len(rows))
+            if merges is not None:
+                merges.append((rows, self.candidate(ids[at, best] << 20 | ids[at, best + 1], place[at, best])))
             ids[at, best] = joined[at, best]
             # Take out the right symbol of each merge and close up.
             after = column[None, :] > best[:, None]
@@ -160,11 +177,15 @@ class Segmenter:
                 rank[at, side], joined[at, side] = self.pairs(key, place[at, side], ids[at, side], ids[at, side + 1])
         return out
 
-    def segment(self, units: list[str], which: np.ndarray, streams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Piece ids of ``units[which]`` under ``streams``: one array, and where each starts in it and how long it is."""
+    def segment(
+        self, units: list[str], which: np.ndarray, keys: np.ndarray | None, merges: list | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Piece ids of ``units[which]`` under ``keys``: one array, and where each starts in it and how long it is.
+
+        ``merges`` receives (members, candidates) of the merges made in units of up to WIDE symbols.
+        """
         if not units:
             return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-        salt = self.salts[streams.astype(np.int64)]
         points = np.frombuffer("".join(units).encode("utf-32-le"), "<u4")
         symbols = self.symbol_of[points]
         sizes = np.fromiter(map(len, units), np.int64, len(units))
@@ -194,41 +215,59 @@ class Segmenter:
                     continue
                 inside = np.arange(width)[None, :] < sizes[part][:, None]
                 ids = np.where(inside, symbols[np.minimum(starts[part][:, None] + np.arange(width), len(symbols) - 1)], -1)
-                # A key of the unit's own symbols: equal units under one stream draw alike in every task.
-                key = salt[part]
-                for c in range(width):
-                    key = np.where(inside[:, c], mixed(key ^ ids[:, c].astype(np.uint64)), key)
-                found = self.narrow(ids, key)
+                made = None if merges is None else []
+                found = self.narrow(ids, None if keys is None else keys[part], made)
+                if made:
+                    merges += [(part[rows], candidates) for rows, candidates in made]
                 real = found >= 0
                 keep(part, found[real], real.sum(axis=1))
         for k in np.flatnonzero((sizes > WIDE) & (points[starts] != 0)):
             row = symbols[starts[k] : starts[k] + sizes[k]]
-            key = salt[k : k + 1]
-            for s in row.astype(np.uint64):
-                key = mixed(key ^ s)
-            found = self.wide(row.tolist(), key)
+            found = self.wide(row.tolist(), None if keys is None else keys[k : k + 1])
             keep(np.array([k]), np.array(found, np.int64), np.array([len(found)]))
         return np.concatenate(pools), begins, lengths
 
     def encode(self, doc_ids: list[int | None], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in one array, and the offsets of the texts in it."""
         number: dict[str, int] = {}
-        per_text, codes = [], []
+        per_text, whiches, keys = [], [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
         for doc_id, text in zip(doc_ids, texts):
             units = self.split(text)
             for unit in set(units):
                 number.setdefault(unit, len(number))
-            which = np.fromiter(map(number.__getitem__, units), np.int64, len(units))
+            whiches.append(np.fromiter(map(number.__getitem__, units), np.int64, len(units)))
             with np.errstate(over="ignore"):
-                own = mixed(np.array([(doc_id or 0) & (1 << 64) - 1], np.uint64) ^ np.uint64(self.seed))
-                drawn = mixed(own + np.arange(len(units), dtype=np.uint64) * _MIX[2]) % np.uint64(self.streams)
-            codes.append(which * self.streams + drawn.astype(np.int64))
+                own = mixed(np.array([(doc_id or 0) & (1 << 64) - 1], np.uint64) ^ mixed(np.array([self.seed], np.uint64)))
+                keys.append(mixed(own + np.arange(len(units), dtype=np.uint64) * _MIX[2]))
             per_text.append(len(units))
-        distinct, at = np.unique(np.concatenate([*codes, np.empty(0, np.int64)]), return_inverse=True)
-        pool, begins, lengths = self.segment(list(number), distinct // self.streams, distinct % self.streams)
-        sizes = lengths[at]
+        which, key = np.concatenate(whiches), np.concatenate(keys)
+        units, merges = list(number), [(np.empty(0, np.int64), np.empty(0, np.uint64))]
+        pool, begins, lengths = self.segment(units, np.arange(len(units)), None, merges)
+        begins, sizes = begins[which], lengths[which]
+        if self.rate > 0 and len(which):
+            pools, filled = [pool], len(pool)
+            owner, candidates = (np.concatenate(x) for x in zip(*merges))
+            order = np.argsort(owner, kind="stable")
+            candidates, made = candidates[order], np.bincount(owner, minlength=len(units))
+            first = np.cumsum(made) - made
+            long = np.fromiter(map(len, units), np.int64, len(units)) > WIDE
+            for at in range(0, len(which), DRAWN):
+                mine = which[at : at + DRAWN]
+                n = made[mine]
+                upto = np.cumsum(n)
+                occurrence = np.repeat(np.arange(len(mine)), n)
+                met = candidates[np.arange(len(occurrence)) + np.repeat(first[mine] - (upto - n), n)]
+                other = long[mine]
+                other[occurrence[self.skipped(key[at : at + DRAWN][occurrence], met)]] = True
+                other = np.flatnonzero(other) + at
+                if len(other):
+                    found, starts, counts = self.segment(units, which[other], key[other])
+                    pools.append(found)
+                    begins[other], sizes[other] = starts + filled, counts
+                    filled += len(found)
+            pool = np.concatenate(pools)
         ends = np.cumsum(sizes)
-        flat = pool[np.repeat(begins[at] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        flat = pool[np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
         upto = np.concatenate([[0], ends])
         return flat.astype(np.int32), upto[np.concatenate([[0], np.cumsum(per_text)]).astype(np.int64)]
 
@@ -242,7 +281,7 @@ def encode_pieces(
     model: str,
     rate: float = 0.1,
     seed: int = 42,
-    streams: int = 4,
+    streams: int | None = None,
     keep: list[str] | None = None,
     decoded: bool = False,
 ) -> DataFrame:
