@@ -1,5 +1,4 @@
 import sys
-from datetime import datetime, timezone
 from pathlib import Path
 
 import pytest
@@ -8,7 +7,6 @@ sys.path.insert(0, str(Path(__file__).parent.parent))
 
 from tidemark import build_session  # noqa: E402
 from tidemark.schemas import LANDED  # noqa: E402
-from tidemark.session import CHECKPOINT_DIR  # noqa: E402
 from tidemark.sources import create_tables  # noqa: E402
 
 
@@ -34,32 +32,6 @@ def tables(spark, tmp_path):
     return create_tables(spark, str(tmp_path / "tables"))
 
 
-def utc(*parts) -> datetime:
-    return datetime(*parts, tzinfo=timezone.utc)
-
-
-# Two points one day apart: 2023-05-08 and 2023-05-09, both at six in the morning UTC.
-DAY1, DAY2 = 1683525600000, 1683612000000
-TWO_POINTS = (
-    f'{{"prices": [[{DAY1}, 12.5], [{DAY2}, 15.0]],'
-    f' "market_caps": [[{DAY1}, 7100.0], [{DAY2}, 7350.0]],'
-    f' "total_volumes": [[{DAY1}, 64.0], [{DAY2}, 81.0]]}}'
-)
-
-
-def payload(prices, caps=None, volumes=None) -> str:
-    """JSON text with the given points; caps and volumes default to the prices."""
-    import json
-
-    return json.dumps(
-        {
-            "prices": prices,
-            "market_caps": prices if caps is None else caps,
-            "total_volumes": prices if volumes is None else volumes,
-        }
-    )
-
-
 @pytest.fixture
 def landed(spark):
     """Envelope rows from (entity, ingestion time, payload[, run date])."""
@@ -69,9 +41,3 @@ def landed(spark):
         return spark.createDataFrame(full, LANDED)
 
     return build
-
-
-def rows(df, *columns):
-    """Rows as plain tuples, ordered with nulls first."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=lambda r: [(v is not None, v) for v in r])

@@ -3,7 +3,7 @@
 from datetime import date
 
 import pytest
-from conftest import rows, utc
+from core_helpers import rows, utc
 from pyspark.sql import functions as F
 
 from tidemark.functions import safe_divide

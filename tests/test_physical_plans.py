@@ -4,7 +4,7 @@ import re
 from datetime import date
 
 import pytest
-from conftest import TWO_POINTS, utc
+from core_helpers import TWO_POINTS, utc
 from pyspark.sql import functions as F
 
 from tidemark.checks import testbed

@@ -3,7 +3,7 @@
 from datetime import date, timedelta
 
 import pytest
-from conftest import TWO_POINTS, payload, rows, utc
+from core_helpers import TWO_POINTS, payload, rows, utc
 from pyspark.sql import functions as F
 
 from tidemark.operators import last_processed

@@ -3,7 +3,7 @@
 from datetime import date
 
 import pytest
-from conftest import DAY1, DAY2, TWO_POINTS, payload, rows, utc
+from core_helpers import DAY1, DAY2, TWO_POINTS, payload, rows, utc
 
 from tidemark.operators import flatten_series, latest_per_key, recent
 from tidemark.plans import daily_rows, staging_rows

@@ -4,7 +4,7 @@ import json
 from datetime import date
 
 import pytest
-from conftest import TWO_POINTS, rows, utc
+from core_helpers import TWO_POINTS, rows, utc
 
 from tidemark.functions import iso_utc, landing_key, zero_pad
 from tidemark.operators import keyword_scan

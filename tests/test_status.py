@@ -3,7 +3,7 @@
 from datetime import date
 
 import pytest
-from conftest import TWO_POINTS, payload, rows, utc
+from core_helpers import TWO_POINTS, payload, rows, utc
 
 from tidemark.operators import (
     advance_to,

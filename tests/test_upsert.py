@@ -3,7 +3,7 @@
 from datetime import date
 
 import pytest
-from conftest import rows, utc
+from core_helpers import rows, utc
 
 from tidemark.operators import merge_rows, repeated_keys
 from tidemark.schemas import STAGING
