@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language, line_dedup, lm, pieces, pii, sharding, simhash, token_store, topk, toxicity
+from tidemark.llm import decontaminate, language, line_dedup, lm, pieces, pii, ranked, sharding, simhash, token_store, topk, toxicity
 from tidemark.llm.common import table
 
 
@@ -67,6 +67,11 @@ def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return ranked.ranked(docs, items, k=50)
+
+
 ALL = (
     op1_token_store,
     op2_line_dedup,
@@ -79,6 +84,7 @@ ALL = (
     op9_toxicity,
     op10_hilbert_shards,
     op12_language_id,
+    op13_lexical_search,
 )
 
 
