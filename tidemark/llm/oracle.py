@@ -73,6 +73,47 @@ FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc
 WHERE rank <= 50
 """
 
+OP11 = """
+WITH piece AS (
+  SELECT lang, row_number() OVER () AS p, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+  )
+),
+total AS (SELECT lang, sum(len(w))::BIGINT AS n FROM piece GROUP BY lang),
+place AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM piece),
+one AS (SELECT lang, w[i] AS w1, count(*) AS f FROM place GROUP BY ALL),
+two AS (SELECT lang, w[i] AS w1, w[i + 1] AS w2, count(*) AS f FROM place WHERE i + 1 <= len(w) GROUP BY ALL HAVING count(*) >= 10),
+three AS (
+  SELECT lang, w[i] AS w1, w[i + 1] AS w2, w[i + 2] AS w3, count(*) AS f FROM place WHERE i + 2 <= len(w)
+  GROUP BY ALL HAVING count(*) >= 10
+),
+inside AS (
+  SELECT lang, a, b, max(f) AS longer
+  FROM (SELECT lang, w1 AS a, w2 AS b, f FROM three UNION ALL SELECT lang, w2, w3, f FROM three) GROUP BY ALL
+),
+cut AS (
+  SELECT two.lang, two.w1 || ' ' || two.w2 AS phrase, two.f AS a, 1 AS k, x.f AS l, y.f AS r
+  FROM two JOIN one x ON x.lang = two.lang AND x.w1 = two.w1 JOIN one y ON y.lang = two.lang AND y.w1 = two.w2
+  LEFT JOIN inside ON inside.lang = two.lang AND inside.a = two.w1 AND inside.b = two.w2
+  WHERE longer IS NULL OR 100 * longer < 50 * two.f
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 1, x.f, y.f
+  FROM three t JOIN one x ON x.lang = t.lang AND x.w1 = t.w1 JOIN two y ON y.lang = t.lang AND y.w1 = t.w2 AND y.w2 = t.w3
+  UNION ALL
+  SELECT t.lang, t.w1 || ' ' || t.w2 || ' ' || t.w3, t.f, 2, x.f, y.f
+  FROM three t JOIN two x ON x.lang = t.lang AND x.w1 = t.w1 AND x.w2 = t.w2 JOIN one y ON y.lang = t.lang AND y.w1 = t.w3
+),
+scored AS (
+  SELECT *, ((1000000::HUGEINT * a * a) // (l::HUGEINT * r))::BIGINT AS score FROM cut
+),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM lowest)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontamination": OP4, "op7_exact_top_k": OP7, "op13_lexical_search": OP13}
+    return {"op4_decontamination": OP4, "op7_exact_top_k": OP7, "op11_collocations": OP11, "op13_lexical_search": OP13}

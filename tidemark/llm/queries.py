@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, language, line_dedup, lm, pieces, pii, ranked, sharding, simhash, token_store, topk, toxicity
+from tidemark.llm import decontaminate, language, line_dedup, lm, phrases, pieces, pii, ranked, sharding, simhash, token_store, topk, toxicity
 from tidemark.llm.common import table
 
 
@@ -63,6 +63,10 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.hilbert_shards(table(spark, sf_dir, "documents"), shards=40)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.languages(table(spark, sf_dir, "documents"))
 
@@ -83,6 +87,7 @@ ALL = (
     op8_sentencepiece,
     op9_toxicity,
     op10_hilbert_shards,
+    op11_collocations,
     op12_language_id,
     op13_lexical_search,
 )
