@@ -38,9 +38,9 @@ from tidemark.llm.lm import squeezed, unsqueezed
 LEAST = 10
 """Occurrences that make a phrase a candidate."""
 TOP = 2000
-BLOCK = 1_000_000
+BLOCK = 500_000
 """Words of a block; a longer text is a block of its own."""
-ENTRIES = 500_000
+ENTRIES = 250_000
 """Candidates of a shard, on average."""
 BITS = 26
 """The frequent words' bit set holds 2**BITS bits."""
@@ -61,6 +61,12 @@ def pieces(text: bytes) -> list[bytes]:
     return (text.translate(_PLAIN) + b"\n").replace(b"\n", b" \n ").split(b" ")
 
 
+def rows_of(batch: pa.RecordBatch) -> Iterator[dict]:
+    """One row after the other, as a row is a whole block."""
+    for k in range(batch.num_rows):
+        yield batch.slice(k, 1).to_pylist()[0]
+
+
 def word_hash(lang: bytes, word: bytes) -> int:
     return xxhash.xxh64_intdigest(lang + b"\0" + word, 11)
 
@@ -124,7 +130,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks to rows (lang, word, hash, n)."""
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in rows_of(batch):
             size = int.from_bytes(row["words"][:8], "little")
             words = pa.decompress(row["words"][8:], max(size - 1, 0), "zstd", asbytes=True).split(b"\n")
             langs = np.repeat(np.array(row["langs"], object), row["lang_words"])
@@ -255,24 +261,27 @@ class Trie:
         return places, states
 
     def packed(self) -> tuple[int, int, bytes, bytes, bytes, bytes]:
-        return len(self.words), len(self.base), *map(squeezed, (self.words, self.numbers, self.base, self.check))
+        small = (a.astype("<i4") for a in (self.numbers, self.base, self.check))  # a shard has far fewer states
+        return len(self.words), len(self.base), squeezed(self.words), *map(squeezed, small)
 
     @staticmethod
     def unpacked(n: int, size: int, words: bytes, numbers: bytes, base: bytes, check: bytes) -> Trie:
-        return Trie(unsqueezed(words, n, "<u8"), unsqueezed(numbers, n, "<i8"), unsqueezed(base, size, "<i8"), unsqueezed(check, size, "<i8"))
+        return Trie(unsqueezed(words, n, "<u8"), unsqueezed(numbers, n, "<i4"), unsqueezed(base, size, "<i4"), unsqueezed(check, size, "<i4"))
 
 
 PACKED = ("n", "size", "words", "numbers", "base", "check")
-TRIES = "shard int, n int, size int, words binary, numbers binary, base binary, check binary, states array<bigint>, phrases array<array<bigint>>"
+TRIES = "shard int, n int, size int, words binary, numbers binary, base binary, check binary, states array<bigint>, words_of array<bigint>"
 
 
 def _build(rows: pa.Table) -> pa.Table:
     names = [c for c in rows.schema.names if c != "shard"]
     phrases = np.column_stack([rows.column(c).to_numpy() for c in names]).astype(np.int64).view(np.uint64)
     trie, states = Trie.built(phrases)
-    columns = [rows.column("shard")[0].as_py(), *trie.packed(), states.tolist(), phrases.view(np.int64).tolist()]
-    kinds = (pa.int32(), pa.int32(), pa.int32(), *[pa.binary()] * 4, pa.list_(pa.int64()), pa.list_(pa.list_(pa.int64())))
-    return pa.Table.from_arrays([pa.array([v], k) for v, k in zip(columns, kinds)], [c.split()[0] for c in TRIES.split(", ")])
+    kinds = (pa.int32(), pa.int32(), pa.int32(), *[pa.binary()] * 4)
+    columns = [pa.array([v], k) for v, k in zip((rows.column("shard")[0].as_py(), *trie.packed()), kinds)]
+    for values in (states, phrases.view(np.int64).ravel()):
+        columns.append(pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values)))
+    return pa.Table.from_arrays(columns, [c.split()[0] for c in TRIES.split(", ")])
 
 
 def _counted(shared, length: int):
@@ -282,7 +291,7 @@ def _counted(shared, length: int):
         trie = Trie.unpacked(*shared.value)
         total = np.zeros(len(trie.base), np.int64)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 _, states = trie.advanced(*tokens_of(row), length)
                 total += np.bincount(states, minlength=len(total))
         seen = np.flatnonzero(total)
@@ -319,8 +328,8 @@ def counted(blocks: DataFrame, candidates: DataFrame, length: int, least: int) -
     sums = parts[0]
     for part in parts[1:]:
         sums = sums.unionByName(part)
-    phrases = tries.select("shard", F.explode(F.arrays_zip("states", "phrases")).alias("p"))
-    phrases = phrases.select("shard", F.col("p.states").alias("state"), *[F.col("p.phrases")[k].alias(c) for k, c in enumerate(h)])
+    each = F.transform("states", lambda s, i: F.struct(s.alias("state"), *[F.get("words_of", i * length + k).alias(c) for k, c in enumerate(h)]))
+    phrases = tries.select("shard", F.explode(each).alias("p")).select("shard", "p.*")
     out, folder = stored(sums.join(phrases, ["shard", "state"]).where(F.col("a") >= least).select(*h, "a"), f"phrases-{length}")
     return out, tries, [*folders, folder]
 
@@ -338,7 +347,7 @@ def _pairs(shared):
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.frombuffer(shared.value, np.uint8)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 tokens, hashes = tokens_of(row)
                 place = (hashes >> np.uint64(64 - BITS)).astype(np.int64)
                 known = (bits[place >> 3] >> (place & 7).astype(np.uint8)) & 1 == 1
@@ -357,7 +366,7 @@ def _pair_places(shared):
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie.unpacked(*shared.value)
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in rows_of(batch):
                 places, _ = trie.advanced(*tokens_of(row), 2)
                 steps = squeezed(np.diff(places, prepend=0).astype("<u4"))
                 yield pa.RecordBatch.from_arrays([pa.array([row["block"]]), pa.array([len(places)], pa.int64()), pa.array([steps], pa.binary())], ["block", "m", "steps"])
@@ -368,7 +377,7 @@ def _pair_places(shared):
 def _triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks with the places of frequent pairs, by shard, to their distinct triples of two such pairs."""
     for batch in batches:
-        for row in batch.to_pylist():
+        for row in rows_of(batch):
             tokens, hashes = tokens_of(row)
             is_pair = np.zeros(len(tokens), bool)
             for mark in row["marks"]:
