@@ -1,0 +1,159 @@
+"""Changes of table files that are stopped at any moment, and the packing of loads."""
+
+from datetime import date
+from pathlib import Path
+
+import pytest
+from core_helpers import TWO_POINTS, rows, utc
+from pyspark.sql import functions as F
+
+from tidemark.schemas import STAGING
+from tidemark.session import data_files
+from tidemark.sources import commits, create_tables
+
+NOW = utc(2024, 2, 1, 12)
+
+
+class Stopped(Exception):
+    pass
+
+
+def points(spark, price, *days):
+    made = [("a", utc(2024, 1, d), price, 1.0, 1.0, utc(2024, 2, 1)) for d in days]
+    return spark.createDataFrame(made, STAGING)
+
+
+def stop_at(monkeypatch, step):
+    """Let so many file operations of a commit through and stop before the next one."""
+    monkeypatch.setattr(commits, "MOVERS", 1)
+    done = []
+    for name in ("move", "delete"):
+        real = getattr(commits, name)
+
+        def counted(*args, real=real):
+            if len(done) >= step:
+                raise Stopped
+            done.append(args)
+            real(*args)
+
+        monkeypatch.setattr(commits, name, counted)
+    return done
+
+
+@pytest.mark.parametrize("step", range(6))
+def test_an_upsert_stopped_between_any_two_files_is_completed(spark, tables, monkeypatch, step):
+    """Days 1 to 3 are there, 2 and 3 are replaced and 4 is new: three moves, then two deletions."""
+    tables.upsert("staging", points(spark, 1.0, 1, 2, 3))
+    with monkeypatch.context() as stopped:
+        done = stop_at(stopped, step)
+        if step < 5:
+            with pytest.raises(Stopped):
+                tables.upsert("staging", points(spark, 2.0, 2, 3, 4))
+        else:
+            tables.upsert("staging", points(spark, 2.0, 2, 3, 4))
+        assert len(done) == step
+    again = create_tables(spark, tables.root)
+    assert rows(again.read("staging"), "price") == [(1.0,), (2.0,), (2.0,), (2.0,)]
+    assert not again.finish("staging")
+    assert not Path(tables.root, "_pending-staging").exists()
+
+
+def test_half_a_copy_is_replaced(spark, tables, monkeypatch):
+    """A store whose move is a copy and a deletion may leave both files."""
+    tables.upsert("staging", points(spark, 1.0, 1))
+    with monkeypatch.context() as stopped:
+        stop_at(stopped, 0)
+        with pytest.raises(Stopped):
+            tables.upsert("staging", points(spark, 2.0, 1))
+    pending, table = Path(tables.root, "_pending-staging"), Path(tables.root, "staging")
+    for name in data_files(spark, str(pending)):
+        (table / name).write_bytes((pending / name).read_bytes()[:10])
+    assert create_tables(spark, tables.root).read("staging").select("price").first()[0] == 2.0
+
+
+def test_a_change_that_was_not_decided_has_not_happened(spark, tables, monkeypatch):
+    tables.upsert("staging", points(spark, 1.0, 1))
+    with monkeypatch.context() as stopped:
+        stopped.setattr(commits, "_renamed", lambda *args: (_ for _ in ()).throw(Stopped()))
+        with pytest.raises(Stopped):
+            tables.upsert("staging", points(spark, 2.0, 1))
+    again = create_tables(spark, tables.root)
+    assert rows(again.read("staging"), "price") == [(1.0,)]
+    assert not Path(tables.root, "_pending-staging").exists()
+
+
+def test_merged_rows_are_written_once(spark, tables, monkeypatch):
+    """The files of the table are those that the merge wrote, under the same names."""
+    tables.upsert("staging", points(spark, 1.0, 1, 2))
+    moved = []
+    real = commits.move
+    monkeypatch.setattr(commits, "move", lambda spark, a, b: (moved.append(b.removeprefix(f"{tables.root}/staging/")), real(spark, a, b)))
+    tables.upsert("staging", points(spark, 2.0, 2, 3))
+    now = data_files(spark, tables.path("staging"))
+    assert set(moved) <= set(now) and len(now) == len(moved) + 1
+
+
+def many_loads(landed, tables, count, days=3):
+    """As many loads as asked for, in one write: every load has a folder of its own."""
+    df = landed(*[(f"e{k % 7}", utc(2024, 2, 1 + k % days, k % 24), TWO_POINTS) for k in range(count)])
+    numbered = df.withColumn("load_id", F.concat(F.lit("run-"), F.monotonically_increasing_id().cast("string")))
+    full = numbered.withColumns({c: F.lit(None).cast("string") for c in ("source_file", "corrupt")})
+    tables.append("intake", full.withColumns({"missing": F.array().cast("array<string>"), "batch": F.col("load_id")}))
+
+
+def batches(tables):
+    return list(Path(tables.root, "intake").glob("outcome=*/ingestion_date=*/batch=*"))
+
+
+def test_a_thousand_loads_become_one_folder_a_day(spark, landed, tables):
+    many_loads(landed, tables, 1000)
+    before = rows(tables.raw())
+    assert len(batches(tables)) == 1000
+    assert tables.pack() >= 1000
+    assert len(batches(tables)) == 3 and len(data_files(spark, tables.path("intake"))) <= 6
+    assert rows(tables.raw()) == before
+    some = before[0][-1]
+    assert rows(tables.of_load(some), "load_id") == [(some,)]
+    assert tables.pack() == 0
+
+
+def test_late_days_and_kept_loads_are_not_packed(landed, tables):
+    for load in ("one", "two", "three", "open"):
+        tables.load(landed(("a", NOW, TWO_POINTS), ("b", utc(2024, 2, 5), "{}")), load)
+    tables.pack(until=date(2024, 2, 1), keep=["open"])
+    left = sorted(p.name for p in batches(tables) if "2024-02-01" in str(p))
+    assert left[0] == "batch=open" and left[1].startswith("batch=packed-") and len(left) == 2
+    assert len([p for p in batches(tables) if "2024-02-05" in str(p)]) == 4
+    # The kept load can be repeated as before.
+    tables.load(landed(("a", NOW, TWO_POINTS)), "open", replace=True)
+    assert tables.raw().count() == 4
+    tables.load(landed(("c", NOW, TWO_POINTS)), "later")
+    tables.pack()
+    assert tables.raw().count() == 5 and len(batches(tables)) == 2
+
+
+@pytest.mark.parametrize("step", [0, 1, 2, 3, 5])
+def test_packing_stopped_at_any_moment_loses_and_doubles_nothing(spark, landed, tables, monkeypatch, step):
+    for load in ("one", "two", "three"):
+        tables.load(landed(("a", NOW, TWO_POINTS), ("b", NOW, "{}")), load)
+    before = rows(tables.read("intake").drop("batch").drop("missing"))
+    with monkeypatch.context() as stopped:
+        stop_at(stopped, step)
+        with pytest.raises(Stopped):
+            tables.pack()
+    again = create_tables(spark, tables.root)
+    assert rows(again.read("intake").drop("batch").drop("missing")) == before
+    assert len(batches(again)) == 2
+
+
+@pytest.mark.parametrize("bad", ["", "a/b", "packed-1", "a*", "x y"])
+def test_load_ids_that_would_be_no_folder_names(landed, tables, bad):
+    with pytest.raises(ValueError, match="load id"):
+        tables.load(landed(("a", NOW, TWO_POINTS)), bad)
+
+
+def test_only_the_own_folders_of_a_load_are_listed(landed, tables):
+    for load in ("one", "two"):
+        tables.load(landed(("a", NOW, TWO_POINTS)), load)
+    assert all("batch=two" in f for f in tables.of_load("two").inputFiles())
+    assert rows(tables.of_load("nothing")) == []

@@ -7,7 +7,7 @@ from core_helpers import rows, utc
 from pyspark.sql import functions as F
 
 from tidemark.functions import safe_divide
-from tidemark.operators import daily_metrics, with_change
+from tidemark.operators import daily_metrics, nearest_days, with_change
 from tidemark.plans import build_curated, daily_rows
 from tidemark.plans.layers import changed_rows
 from tidemark.schemas import CURATED, STAGING
@@ -106,10 +106,36 @@ def test_changed_rows_are_those_of_a_full_rebuild(staging, later):
     touched = sorted({p[1].date() for p in later})
     everything = dated([*FIRST, *later])
     before, after = set(map(tuple, known.collect())), set(map(tuple, daily_rows(everything).collect()))
-    changed = set(map(tuple, changed_rows(everything, known, touched).collect()))
+    fresh = daily_metrics(everything.filter(F.col("event_date").isin(touched)))
+    entities, metrics = fresh.select("entity"), [c for c in CURATED.names if c not in ("entity", "date", "daily_price_change_pct")]
+    earlier = nearest_days(known, entities, touched[0], True, ["avg_price"])
+    later_days = nearest_days(known, entities, touched[-1], False, metrics)
+    changed = set(map(tuple, changed_rows(everything, known, touched, earlier, later_days, fresh).collect()))
     assert after - before <= changed <= after
 
 
+@pytest.mark.parametrize("newcomer, reads", [(False, 1), (True, 3)])
+def test_neighbours_are_looked_for_in_the_closest_months_first(tables, staging, monkeypatch, newcomer, reads):
+    """An increment reads two months while all its entities were there lately; a new one widens the search."""
+    from tidemark.plans import layers
+
+    months = [utc(2023, m, 3) for m in range(1, 13)]
+    build_curated(tables, tables.upsert("staging", staging(*[(e, m, float(m.month)) for e in "ab" for m in months])))
+    asked = []
+
+    def seen(known, entities, bound, before, metrics):
+        asked.append((before, [str(r.month)[:7] for r in known.select("month").distinct().orderBy("month").collect()]))
+        return nearest_days(known, entities, bound, before, metrics)
+
+    monkeypatch.setattr(layers, "nearest_days", seen)
+    points = [(e, utc(2023, 12, 9), 5.0) for e in ("abn" if newcomer else "ab")]
+    build_curated(tables, tables.upsert("staging", staging(*points)))
+    back = [months for before, months in asked if before]
+    assert len(back) == reads and back[0] == ["2023-11", "2023-12"]
+    assert [m for before, m in asked if not before] == [["2023-12"]]
+    assert rows(tables.read("curated").select(*CURATED.names)) == rows(daily_rows(tables.read("staging")))
+
+
 def test_increments_equal_one_full_build(tables, staging):
     build_curated(tables, [])
     increments = [

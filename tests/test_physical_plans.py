@@ -26,6 +26,7 @@ SF = "/root/testdata/sf0.001"
 WRITING = {
     "staging_upsert", "staging_upsert_twice", "staging_upsert_only_if_newer", "curated_upsert",
     "staging_upsert_older_wins", "load_report", "quarantine", "backfill_state", "state_upsert", "land_and_load", "backfill_curated", "incremental_curated", "stream_staging",
+    "state_after_runs", "packed_loads", "load_broken_lines", "landed_week", "staging_good_points", "points_quarantine",
 }
 
 
@@ -120,15 +121,19 @@ def test_loads_move_no_payload_whatever_the_broadcast_limit(spark, landed, table
 
 
 def test_increments_prune_months_in_every_scan_of_curated(spark, tables):
+    from tidemark.operators import nearest_days
     from tidemark.plans.layers import changed_rows
     from tidemark.schemas import CURATED
 
     values = {"entity": F.lit("a"), "date": F.lit(date(2024, 1, 4))}
     row = [values.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in CURATED.fields]
     tables.append("curated", spark.range(1).select(*row))
-    text = plan(changed_rows(tables.read("staging"), tables.read("curated"), [date(2024, 1, 5), date(2024, 2, 3)]))
+    curated, staging = tables.read("curated"), tables.read("staging")
+    fresh = daily_metrics(staging)
+    near = nearest_days(curated.filter(F.col("month").isin(date(2024, 1, 1))), fresh.select("entity"), date(2024, 1, 5), True, ["avg_price"])
+    text = plan(changed_rows(staging, curated, [date(2024, 1, 5), date(2024, 2, 3)], near, fresh.limit(0), fresh))
     scans = [line for line in text.splitlines() if "FileScan" in line and "avg_price" in line]
-    assert len(scans) == 3 and all(re.search(r"PartitionFilters: \[.*month#\d+ [<>]=", line) for line in scans), text
+    assert len(scans) == 2 and all(re.search(r"PartitionFilters: \[.*month#\d+ ([<>]=|=)", line) for line in scans), text
 
 
 def test_status_is_aggregated_without_sorting(spark):

@@ -18,13 +18,13 @@ def test_round_trip_keeps_every_value(spark, landed, tmp_path):
     df = landed(("btc", NOW, TWO_POINTS), ("007", NOW, "{}"), ("a/b:c", NOW, None))
     land(df, str(tmp_path))
     back = load_landed(spark, str(tmp_path))
-    assert back.schema.names == [*LANDED.names, "by_date"]
+    assert back.schema.names == [*LANDED.names, "by_date", "source_file", "corrupt"]
     assert rows(back.fillna("none", "payload"), *LANDED.names) == rows(df.fillna("none", "payload"))
 
 
 def test_folders_by_entity_and_date(spark, landed, tmp_path):
     land(landed(("btc", NOW, "{}", date(2024, 1, 5))), str(tmp_path))
-    assert len(list(tmp_path.glob("by_entity=btc/by_date=2024-01-05/*.json"))) == 1
+    assert len(list(tmp_path.glob("by_date=2024-01-05/by_entity=btc/*.json"))) == 1
 
 
 def test_landing_by_date_only(spark, landed, tmp_path):
@@ -58,7 +58,7 @@ def test_one_file_and_a_list_of_files(spark, tmp_path):
 def test_unknown_field_is_dropped_and_absent_field_is_null(spark, tmp_path):
     path = write_json(tmp_path / "x.json", entity="a", surprise=[1, 2], payload="{}")
     df = load_landed(spark, path)
-    assert df.columns == [*LANDED.names, "by_date"]
+    assert df.columns == [*LANDED.names, "by_date", "source_file", "corrupt"]
     assert rows(df, "entity", "days_requested", "ingestion_time") == [("a", None, None)]
 
 

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from tidemark.checks.queries import KEYWORD, NUDGE, SCALE, WEEK_DAYS
-from tidemark.checks.testbed import IDS_PER_ENVELOPE, OMITTED_IDS
+from tidemark.checks.queries import KEYWORD, NUDGE, SCALE, WEEK, WEEK_DAYS
+from tidemark.checks.testbed import BROKEN_DAY, IDS_PER_ENVELOPE, OMITTED_IDS, UNPRICED, UNPRICED_IDS
 
 def _cut(expression: str, name: str) -> str:
     """The same 6-digit cut as the Spark side."""
@@ -353,6 +353,47 @@ FROM sent WHERE caps > 0 AND run_date BETWEEN DATE '2024-01-10' AND DATE '2024-0
         "backfill_curated": f"WITH {LATEST}, {_daily('staging')} {_CURATED}",
         "incremental_curated": once,
         "stream_staging": merged,
+        "state_after_runs": """
+SELECT 'backfill' AS pipeline_name, CAST(max(ingested) AS DATE) AS last_processed_date, max(ingested) AS updated_at
+FROM (
+  SELECT TIMESTAMP '2024-02-01' AS ingested FROM events
+  UNION ALL SELECT TIMESTAMP '2024-02-02' FROM events
+) HAVING count(*) > 0""",
+        "packed_loads": f"""
+WITH {_ENVELOPES},
+stored AS (
+  SELECT CASE WHEN {_MISSING} IS NULL THEN 'loaded' ELSE 'rejected' END AS outcome, DATE '2024-01-31' AS ingestion_date, 'faulty' AS load_id
+  FROM envelopes
+  UNION ALL SELECT 'loaded', DATE '2024-01-31', 'stale' FROM envelopes
+  UNION ALL SELECT 'loaded', DATE '2024-02-01', unnest(['full', 'again']) FROM envelopes
+)
+SELECT *, count(*) AS row_count, 1::BIGINT AS folders FROM stored GROUP BY ALL""",
+        "load_broken_lines": f"""
+WITH {_ENVELOPES}, sent AS (SELECT run_date, day(run_date) = {BROKEN_DAY} AS broken, {_MISSING} IS NULL AS good FROM envelopes)
+SELECT run_date, count(*) FILTER (good AND NOT broken) AS rows_loaded,
+  count(*) FILTER (NOT good AND NOT broken) AS rows_rejected, count(*) FILTER (broken) AS rows_corrupt
+FROM sent GROUP BY ALL""",
+        "landed_week": f"""
+WITH {_ENVELOPES}
+SELECT entity, run_date, count(*) * CASE WHEN run_date >= DATE '2024-01-16' THEN 2 ELSE 1 END AS envelopes
+FROM envelopes WHERE run_date BETWEEN DATE '{WEEK}' AND DATE '{WEEK}' + {WEEK_DAYS - 1} GROUP BY entity, run_date""",
+        "staging_good_points": f"""
+WITH {POINTS},
+staging AS (
+  SELECT entity, event_time, price, market_cap, total_volume, TIMESTAMP '2024-02-01' AS ingestion_time FROM points
+  WHERE CAST(market_cap AS BIGINT) % {UNPRICED_IDS} <> 0
+  QUALIFY row_number() OVER (
+    PARTITION BY entity, event_time ORDER BY position DESC, price DESC, market_cap DESC, total_volume DESC
+  ) = 1
+) {_STAGING}""",
+        "points_quarantine": f"""
+WITH {POINTS}
+SELECT entity, TIMESTAMP '2024-02-01' AS ingestion_time, CAST(position AS INTEGER) AS position,
+  '{UNPRICED}' AS price_text, CAST(CAST(market_cap AS BIGINT) AS VARCHAR) AS market_cap_text
+FROM points WHERE CAST(market_cap AS BIGINT) % {UNPRICED_IDS} = 0""",
+        "configured_items": f"""
+SELECT entity, CAST(unnest(generate_series(DATE '{WEEK}', DATE '{WEEK}' + {WEEK_DAYS - 1}, INTERVAL 1 DAY)) AS DATE) AS run_date
+FROM (SELECT DISTINCT trim(c_mktsegment) AS entity FROM customer WHERE c_acctbal > 0 AND trim(c_mktsegment) <> '')""",
     }
 
 

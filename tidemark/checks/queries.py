@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, datetime
+from datetime import date, datetime, time, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,15 +36,15 @@ from tidemark.operators import (
 from tidemark.plans import backfill, build_curated, build_staging, incremental, staging_rows
 from tidemark.schemas import CURATED, STAGING, STATE
 from tidemark.session import configure, scratch_path
-from tidemark.sources import Tables, create_tables, land, load_landed
+from tidemark.sources import Tables, configured, create_tables, land, load_landed, load_landed_days
 from tidemark.streaming import incremental_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 FAULTS_INGESTED = datetime(2024, 1, 31)
-REPAIR_INGESTED = datetime(2024, 2, 1)
 BACKFILL_NOW = datetime(2024, 2, 1, 6)
 WEEK_DAYS = 7
+WEEK = date(2024, 1, 12)
 STATE_SPLIT = datetime(1999, 1, 1)
 WINDOW_AS_OF = date(2001, 7, 31)
 KEYWORD = "license"
@@ -223,8 +223,8 @@ def curated_upsert(spark, sf_dir):
     tables = _fresh_tables(spark)
     build_staging(tables, _raw(spark, sf_dir, bed.FULL), bed.AS_OF)
     build_curated(tables)
-    touched = build_staging(tables, _raw(spark, sf_dir, bed.CORRECTION), bed.AS_OF)
-    build_curated(tables, touched)
+    build = build_staging(tables, _raw(spark, sf_dir, bed.CORRECTION), bed.AS_OF)
+    build_curated(tables, build.touched)
     return tables.read("curated").select(*CURATED.names)
 
 
@@ -434,16 +434,97 @@ def backfill_curated(spark, sf_dir):
 
 @query
 def incremental_curated(spark, sf_dir):
-    """A first run with bad days stops the pointer; the next one picks up from there."""
+    """A first run with bad days stops the pointer; the next one, a day later, picks up from there."""
     tables = _fresh_tables(spark)
-    entities = bed.entities(spark, sf_dir)
-    first = bed.faulty_from_events(spark, sf_dir, FAULTS_INGESTED)
-    incremental(first, tables, entities, date(2024, 1, 31), first_run_days=30)
-    repaired = _raw(spark, sf_dir, bed.Delivery(REPAIR_INGESTED))
-    incremental(repaired, tables, entities, date(2024, 2, 1))
+    days = bed.event_days(spark, sf_dir)
+    if days:
+        first, last = days
+        entities, next_day = bed.entities(spark, sf_dir), last + timedelta(days=1)
+        faulty = bed.faulty_from_events(spark, sf_dir, datetime.combine(last, time()))
+        incremental(faulty, tables, entities, last, first_run_days=(last - first).days)
+        repaired = _raw(spark, sf_dir, bed.Delivery(datetime.combine(next_day, time())))
+        incremental(repaired, tables, entities, next_day)
     return tables.read("curated").select(*CURATED.names)
 
 
+@query
+def state_after_runs(spark, sf_dir):
+    """Two runs of one pipeline leave one row of state, that of the later one."""
+    tables = _fresh_tables(spark)
+    landed = _raw(spark, sf_dir, bed.FULL, bed.CORRECTION).withColumn("run_date", F.to_date("ingestion_time"))
+    entities = landed.select("entity").distinct()
+    for delivery in (bed.FULL, bed.CORRECTION):
+        sent = landed.filter(F.col("ingestion_time") == F.lit(delivery.ingested))
+        day, known = delivery.ingested.date(), entities.join(sent.select("entity").distinct(), "entity", "left_semi")
+        backfill(sent, tables, known, day, advance_state=True, now=delivery.ingested)
+    return tables.read("state").select(*STATE.names)
+
+
+@query
+def packed_loads(spark, sf_dir):
+    """Rows of each load after the loads were packed, and how many folders hold them."""
+    tables = _fresh_tables(spark)
+    tables.load(bed.faulty_from_events(spark, sf_dir, FAULTS_INGESTED), "faulty")
+    for name, delivery in (("stale", bed.STALE), ("full", bed.FULL), ("again", bed.FULL)):
+        tables.load(_raw(spark, sf_dir, delivery), name)
+    tables.pack()
+    stored = tables.read("intake")
+    folders = stored.groupBy("outcome", "ingestion_date").agg(F.countDistinct("batch").alias("folders"))
+    rows = stored.groupBy("outcome", "ingestion_date", "load_id").agg(F.count(F.lit(1)).alias("row_count"))
+    return rows.join(folders, ["outcome", "ingestion_date"])
+
+
+@query
+def load_broken_lines(spark, sf_dir):
+    """What each day's landed files came to: envelopes, rejected ones, and lines that break off."""
+    tables, path = _fresh_tables(spark), scratch_path(spark, "landing")
+    bed.land_broken(bed.faulty_from_events(spark, sf_dir, FAULTS_INGESTED), path)
+    tables.load(load_landed(spark, path, bad="keep"), "first")
+    day = F.to_date(F.regexp_extract("source_file", r"by_date=([0-9-]+)/", 1)).alias("run_date")
+    counts = [F.sum(c).alias(c) for c in ("rows_loaded", "rows_rejected", "rows_corrupt")]
+    return tables.files_of("first").groupBy(day).agg(*counts)
+
+
+@query
+def landed_week(spark, sf_dir):
+    """Envelopes of some days, from those days' folders alone."""
+    path = scratch_path(spark, "landing")
+    land(_raw(spark, sf_dir, bed.FULL, bed.CORRECTION), path)
+    days = load_landed_days(spark, path, WEEK, WEEK + timedelta(days=WEEK_DAYS - 1))
+    return days.groupBy("entity", "run_date").agg(F.count(F.lit(1)).alias("envelopes"))
+
+
+@query
+def staging_good_points(spark, sf_dir):
+    """Points that are no numbers do not keep the others from staging."""
+    tables = _unpriced(spark, sf_dir)
+    return tables.read("staging").select(*STAGING.names)
+
+
+@query
+def points_quarantine(spark, sf_dir):
+    """The points that were kept apart, each once however often its envelope was built from."""
+    tables = _unpriced(spark, sf_dir)
+    build_staging(tables, tables.raw(), bed.AS_OF, bad_points="quarantine")
+    shown = {"price_text": "prices", "market_cap_text": "market_caps"}
+    texts = [F.get_json_object("point", f"$.{array}[1]").alias(name) for name, array in shown.items()]
+    return tables.read("bad_points").select("entity", "ingestion_time", "position", *texts)
+
+
+def _unpriced(spark, sf_dir) -> Tables:
+    tables = _fresh_tables(spark)
+    tables.load(bed.unpriced_from_events(spark, sf_dir, bed.FULL.ingested), "first")
+    build_staging(tables, tables.raw(), bed.AS_OF, bad_points="quarantine")
+    return tables
+
+
+@query
+def configured_items(spark, sf_dir):
+    """Work items for the entities of a configuration table: customers' market segments."""
+    segments = configured(bed.read(spark, sf_dir, "customer"), "c_mktsegment", "c_acctbal > 0")
+    return work_items(segments, WEEK, WEEK + timedelta(days=WEEK_DAYS - 1))
+
+
 @query
 def stream_staging(spark, sf_dir):
     tables = _fresh_tables(spark)

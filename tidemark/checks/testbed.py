@@ -12,7 +12,7 @@ from datetime import date, datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions import points_json
+from tidemark.functions import iso_utc, points_json
 from tidemark.schemas import LANDED
 
 # An envelope holds points of one entity, one day and one run of this many event ids. Copies of an
@@ -21,6 +21,11 @@ from tidemark.schemas import LANDED
 IDS_PER_ENVELOPE = 16384
 # The short arrays of an uneven delivery leave out the events whose id is divisible by this number.
 OMITTED_IDS = 37
+# Faulty numbers: the price of the events whose id is divisible by this number is sent as text.
+UNPRICED_IDS = 41
+UNPRICED = "n/a"
+# On this day of the month a landed line breaks off in the middle.
+BROKEN_DAY = 7
 
 
 @dataclass(frozen=True)
@@ -143,6 +148,36 @@ def faulty_from_events(spark: SparkSession, sf_dir: str, ingested: datetime) ->
     return landed_from_events(spark, sf_dir, (Delivery(ingested),), faulty=True)
 
 
+def unpriced_from_events(spark: SparkSession, sf_dir: str, ingested: datetime) -> DataFrame:
+    """One delivery in which some prices are no numbers."""
+    def price(p):
+        unpriced = p["event_id"] % UNPRICED_IDS == 0
+        return F.when(unpriced, F.lit(f'"{UNPRICED}"')).otherwise(p["price"].cast("string"))
+
+    points = F.transform("points", lambda p: p.withField("price", price(p)))
+    sent = envelopes(spark, sf_dir).withColumn("points", points)
+    shown = {"prices": "price", "market_caps": "event_id", "total_volumes": "volume"}
+    members = {k: F.concat(F.lit(f'"{k}": '), points_json(F.col("points"), "ms", v)) for k, v in shown.items()}
+    rows = sent.select(
+        F.lit(ingested).alias("ingestion_time"), "entity", F.lit(90).cast("bigint").alias("days_requested"), "run_date",
+        _joined(members).alias("payload"),
+    )
+    return rows.select(*LANDED.names)
+
+
+def land_broken(envelopes: DataFrame, path: str) -> None:
+    """Landed lines as a writer that was stopped leaves them: those of one day break off in the middle."""
+    line = F.to_json(F.struct(iso_utc("ingestion_time").alias("ingestion_time"), "entity", "days_requested", "payload", "run_date"))
+    cut = F.when(F.dayofmonth("run_date") == BROKEN_DAY, F.left(line, F.floor(F.length(line) / 2).cast("int"))).otherwise(line)
+    envelopes.select(cut.alias("value"), F.col("run_date").alias("by_date")).write.partitionBy("by_date").text(path)
+
+
+def event_days(spark: SparkSession, sf_dir: str) -> tuple[date, date] | None:
+    """First and last day of the events; None without any."""
+    first, last = read(spark, sf_dir, "events").agg(F.to_date(F.min("ts")), F.to_date(F.max("ts"))).first()
+    return (first, last) if first else None
+
+
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "events").select(F.col("event_type").alias("entity")).distinct()
 

@@ -1,5 +1,5 @@
-from tidemark.operators.daily import changed_days, daily_metrics, with_change
-from tidemark.operators.merge import merge_rows, repeated_keys, require_unique
+from tidemark.operators.daily import changed_days, daily_metrics, nearest_days, with_change
+from tidemark.operators.merge import matched_versions, merge_rows, repeated_keys, require_unique
 from tidemark.operators.search import keyword_scan
 from tidemark.operators.series import complete_days, flatten_series, latest_per_key, recent
 from tidemark.operators.state import advance_to, last_processed, latest_state, run_window, state_row
@@ -22,7 +22,9 @@ __all__ = [
     "latest_state",
     "loaded_counts",
     "loaded_on",
+    "matched_versions",
     "merge_rows",
+    "nearest_days",
     "pending",
     "point_counts",
     "recent",

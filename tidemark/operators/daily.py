@@ -48,38 +48,39 @@ def with_change(daily: DataFrame) -> DataFrame:
     return changed.withColumn(CHANGE, pct_change(F.col("avg_price"), F.col("_prev"))).drop("_prev")
 
 
-def _last_day(known: DataFrame, metrics: list[str]) -> DataFrame:
-    """One row per entity, its last date, by map-side aggregation."""
-    at_last = [F.max_by(m, "date").alias(m) for m in metrics]
-    return known.groupBy("entity").agg(F.max("date").alias("date"), *at_last)
-
+def nearest_days(
+    known: DataFrame, entities: DataFrame, bound: date, before: bool, metrics: list[str]
+) -> DataFrame:
+    """One row for each of the ``entities``: its last date before ``bound``, or its first one after it.
 
-def _first_day(known: DataFrame, metrics: list[str]) -> DataFrame:
-    at_first = [F.min_by(m, "date").alias(m) for m in metrics]
-    return known.groupBy("entity").agg(F.min("date").alias("date"), *at_first)
+    Aggregated in the map tasks, so a long history sends one row per entity and task.
+    """
+    day, pick = F.col("date"), F.max_by if before else F.min_by
+    side = known.filter(day < bound if before else day > bound).join(entities, "entity", "left_semi")
+    date_of = (F.max if before else F.min)("date").alias("date")
+    return side.groupBy("entity").agg(date_of, *[pick(m, "date").alias(m) for m in metrics])
 
 
 def changed_days(
-    fresh: DataFrame, known: DataFrame, undated: DataFrame, first: date, last: date
+    fresh: DataFrame, known: DataFrame, undated: DataFrame, first: date, last: date, before: DataFrame, after: DataFrame
 ) -> DataFrame:
     """Rows of the daily table that differ after the days in ``fresh`` were recomputed.
 
     ``known``: daily rows of all other dates. ``undated``: current rollup of rows without an event
     time, which sorts before every date. ``first``/``last``: smallest and largest recomputed date.
+    ``before``/``after``: the nearest day of each entity on either side, see ``nearest_days``.
     A day's change looks back one present date, so the answer is the fresh days plus the next
     present day of each entity. Outside [first, last] one neighbour per entity is enough; the
     window runs over those and the days in between, not over the whole history.
     """
     metrics = [c for c in fresh.columns if c not in ("entity", "date")]
-    day, month = F.col("date"), F.col("month") if "month" in known.columns else F.trunc("date", "month")
-    first_month, last_month = first.replace(day=1), last.replace(day=1)
-    # The months only prune partitions. Of the day before, nothing but the average price is used.
-    before = _last_day(known.filter((month <= first_month) & (day < first)), ["avg_price"])
-    before = before.select("*", *[F.lit(None).cast(fresh.schema[m].dataType).alias(m) for m in metrics if m != "avg_price"])
-    between = known.filter(month.between(first_month, last_month) & day.between(first, last))
-    after = _first_day(known.filter((month >= last_month) & (day > last)), metrics)
+    between = known.filter(F.col("date").between(first, last))
+    if "month" in known.columns:  # prunes partitions
+        between = between.filter(F.col("month").between(first.replace(day=1), last.replace(day=1)))
+    # Of the day before, nothing but the average price is used.
+    unused = [F.lit(None).cast(fresh.schema[m].dataType).alias(m) for m in metrics if m != "avg_price"]
     rows = fresh.withColumn("_fresh", F.lit(True))
-    for context in (undated, before, between, after):
+    for context in (undated, before.select("entity", "date", "avg_price", *unused), between, after):
         part = context.select(*fresh.columns)
         rows = rows.unionByName(part.withColumn("_fresh", F.lit(False)))
     marked = rows.withColumn("_follows", F.coalesce(_previous("_fresh"), F.lit(False)))

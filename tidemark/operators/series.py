@@ -69,7 +69,8 @@ def flatten_series(
     positional join needs no shuffle.
 
     ``bad`` says what happens to text that is no number: ``raise`` fails the job, ``null`` reads it
-    as null, ``flag`` does that and adds a boolean ``is_bad``, to keep such points elsewhere.
+    as null, ``flag`` does that and adds a boolean ``is_bad``, to keep such points elsewhere, and
+    ``bad_text``, the JSON text of what the arrays hold there.
     """
     if bad not in ("raise", "null", "flag"):
         raise ValueError("bad must be raise, null or flag")
@@ -98,7 +99,8 @@ def flatten_series(
     ]
     if bad == "flag":
         tests = [bad_millis(point[names[0]]), *[bad_double(point[n]) for n in names]]
-        columns.append(reduce(Column.__or__, tests).alias("is_bad"))
+        is_bad = reduce(Column.__or__, tests)
+        columns += [is_bad.alias("is_bad"), F.when(is_bad, F.to_json("_point")).alias("bad_text")]
     return exploded.select(*columns)
 
 

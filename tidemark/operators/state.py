@@ -16,15 +16,19 @@ def state_row(spark: SparkSession, pipeline_name: str, processed: date, now: dat
 
 
 def last_processed(state: DataFrame, pipeline_name: str) -> date | None:
-    """The newest pointer of one pipeline; None on its first run."""
+    """The newest pointer of one pipeline, of equally new ones the later date; None on its first run."""
     mine = state.filter(F.col("pipeline_name") == F.lit(pipeline_name))
-    newest = mine.orderBy(F.col("updated_at").desc()).select("last_processed_date").head(1)
+    order = (F.col("updated_at").desc(), F.col("last_processed_date").desc())
+    newest = mine.orderBy(*order).select("last_processed_date").head(1)
     return newest[0][0] if newest else None
 
 
 def latest_state(state: DataFrame) -> DataFrame:
-    """The newest pointer of every pipeline; a missing ``updated_at`` counts as oldest."""
-    age = F.coalesce(F.unix_micros("updated_at"), F.lit(-(2**63)))
+    """The newest pointer of every pipeline, of equally new ones the later date.
+
+    A missing ``updated_at`` counts as oldest, a missing date as earliest.
+    """
+    age = F.struct(F.coalesce(F.unix_micros("updated_at"), F.lit(-(2**63))), "last_processed_date")
     return state.groupBy("pipeline_name").agg(
         F.max_by("last_processed_date", age).alias("last_processed_date"),
         F.max("updated_at").alias("updated_at"),

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,9 +46,26 @@ def loaded_counts(
 
 
 def pending(
-    items: DataFrame, raw: DataFrame, entity: str = "entity", ingestion_time: str = "ingestion_time"
+    items: DataFrame,
+    raw: DataFrame,
+    entity: str = "entity",
+    ingestion_time: str = "ingestion_time",
+    between: tuple[date, date] | None = None,
 ) -> DataFrame:
-    """Work items without a load of that entity on that UTC day."""
+    """Work items without a load of that entity on that UTC day.
+
+    Only loads of the items' dates are read. The caller names these by ``between``; else the smallest
+    and the largest one are looked up first. The bounds prune ``ingestion_date`` partitions where the
+    table has them, and reach the scan as a filter on the time in any case.
+    """
+    first, last = between or items.agg(F.min("run_date"), F.max("run_date")).first()
+    if first is None:
+        return items
+    if "ingestion_date" in raw.columns:
+        raw = raw.filter(F.col("ingestion_date").between(first, last))
+    # Bounds on the time itself, as scans push those down.
+    time = F.col(ingestion_time)
+    raw = raw.filter((time >= F.lit(first)) & (time < F.lit(last + timedelta(days=1))))
     loads = _loads(raw, entity, ingestion_time).distinct()
     return items.join(loads, ["entity", "run_date"], "left_anti")
 

@@ -6,7 +6,6 @@ from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame
 
-from tidemark.operators.state import state_row
 from tidemark.operators.work import loaded_on, work_items
 from tidemark.plans.results import (
     RunResult,
@@ -32,6 +31,7 @@ def backfill(
     advance_state: bool = False,
     now: datetime | None = None,
     pipeline_name: str = PIPELINE_NAME,
+    bad_points: str = "raise",
 ) -> RunResult:
     """Run the backfill of UTC day ``as_of``.
 
@@ -48,10 +48,11 @@ def backfill(
     with materialized(todo, "backfill-items") as items:
         load = load_entities(tables, landed_between(landed, as_of, as_of), items, run_id)
         status = record_status(tables, items, pipeline_name, run_id)
-    transform(tables, as_of, lookback_days)
+    bad = transform(tables, as_of, lookback_days, bad_points)
     count, failures, ok = totals(status)
     resume_date = None
     if advance_state and ok:
-        resume_date = as_of
-        tables.append("state", state_row(tables.spark, pipeline_name, as_of, now or datetime.now(timezone.utc)))
-    return RunResult(pipeline_name, run_id, as_of, as_of, ok, count, failures, load, resume_date)
+        # A backfill sets its pointer to its day, be that earlier than the one before.
+        seen = tables.pointer(pipeline_name)
+        resume_date = tables.move_pointer(pipeline_name, seen, as_of, now or datetime.now(timezone.utc)).processed
+    return RunResult(pipeline_name, run_id, as_of, as_of, ok, count, failures, load, resume_date, bad)

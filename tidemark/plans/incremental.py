@@ -6,7 +6,6 @@ from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 
-from tidemark.operators.state import advance_to, last_processed
 from tidemark.operators.status import resume_point
 from tidemark.operators.work import work_items
 from tidemark.plans.results import (
@@ -34,6 +33,7 @@ def incremental(
     policy: str = "contiguous",
     now: datetime | None = None,
     pipeline_name: str = PIPELINE_NAME,
+    bad_points: str = "raise",
 ) -> RunResult:
     """Process every (entity, day) between the resume pointer and the day before ``as_of``.
 
@@ -42,8 +42,9 @@ def incremental(
     every date failed.
     """
     tables.create()
-    pointer = last_processed(tables.read("state"), pipeline_name)
-    start = pointer + timedelta(days=1) if pointer else as_of - timedelta(days=first_run_days)
+    pointer = tables.pointer(pipeline_name)
+    last = pointer.processed
+    start = last + timedelta(days=1) if last else as_of - timedelta(days=first_run_days)
     end = as_of - timedelta(days=1)
     if start > end:
         return RunResult(pipeline_name, None, start, end)
@@ -52,13 +53,13 @@ def incremental(
     items = work_items(entities.select("entity").distinct(), start, end)
     load = load_entities(tables, landed_between(landed, start, end), entities, run_id)
     status = record_status(tables, items, pipeline_name, run_id)
-    transform(tables, as_of, lookback_days)
+    bad = transform(tables, as_of, lookback_days, bad_points)
 
-    resume = resume_point(status, policy)
-    moved = advance_to(resume, now or datetime.now(timezone.utc))
-    tables.append("state", moved)
-    resume_date = last_processed(tables.read("state"), pipeline_name)
+    resume = resume_point(status, policy).first()
     count, failures, ok = totals(status)
-    if resume_date == pointer:
-        resume_date = None
-    return RunResult(pipeline_name, run_id, start, end, ok, count, failures, load, resume_date)
+    resume_date = resume.resume_date if resume else None
+    if resume_date:
+        # A run beside this one may have moved the pointer further; it never goes back.
+        moved = tables.move_pointer(pipeline_name, pointer, resume_date, now or datetime.now(timezone.utc))
+        resume_date = moved.processed
+    return RunResult(pipeline_name, run_id, start, end, ok, count, failures, load, resume_date, bad)

@@ -30,6 +30,7 @@ class RunResult:
     failures: int = 0
     load: LoadReport | None = None
     resume_date: date | None = None
+    bad_points: int = 0
 
     def __bool__(self) -> bool:
         return self.ok
@@ -47,17 +48,23 @@ def load_entities(
     The caller has bounded the dates. Joining on the entity alone keeps the small side one row per
     entity instead of one per entity and day. The entities are written once and counted, so that they
     are broadcast by their true number and payloads stay where they are; only more than
-    ``BROADCAST_ENTITIES`` of them are joined by a shuffle.
+    ``BROADCAST_ENTITIES`` of them are joined by a shuffle. A broken line names no entity and comes along.
     """
     with materialized(entities.select("entity").distinct(), "entities") as wanted:
         if wanted.count() <= BROADCAST_ENTITIES:
             wanted = F.broadcast(wanted)
-        return tables.load(landed.join(wanted, "entity", "left_semi"), run_id)
+        if "corrupt" in landed.columns:
+            met = landed.join(wanted.withColumn("_wanted", F.lit(True)), "entity", "left")
+            chosen = met.filter("_wanted OR corrupt IS NOT NULL").select(landed.columns)
+        else:
+            chosen = landed.join(wanted, "entity", "left_semi")
+        return tables.load(chosen, run_id)
 
 
 def record_status(tables: Tables, items: DataFrame, pipeline_name: str, run_id: str) -> DataFrame:
     """Write one status row per work item and return this run's rows."""
-    outcomes = tables.read("intake").filter(F.col("load_id") == run_id)
+    # A line that is no envelope names no entity.
+    outcomes = tables.of_load(run_id).filter("corrupt IS NULL")
     status = run_status(items, outcomes).withColumns(
         {"pipeline_name": F.lit(pipeline_name), "run_id": F.lit(run_id)}
     )
@@ -71,7 +78,11 @@ def totals(status: DataFrame) -> tuple[int, int, bool]:
     return tuple(run_summary(status).first())
 
 
-def transform(tables: Tables, as_of: date, lookback_days: int | None) -> None:
-    """Both layer builds in order; an error in the first one keeps the second from running."""
-    touched = build_staging(tables, tables.raw(), as_of, lookback_days)
-    build_curated(tables, touched)
+def transform(tables: Tables, as_of: date, lookback_days: int | None, bad_points: str = "raise") -> int:
+    """Both layer builds in order, and how many bad points were kept apart.
+
+    An error in the first one keeps the second from running.
+    """
+    build = build_staging(tables, tables.raw(), as_of, lookback_days, bad_points=bad_points)
+    build_curated(tables, build.touched)
+    return build.bad_points

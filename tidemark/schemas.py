@@ -9,6 +9,7 @@ from pyspark.sql.types import (
     BooleanType,
     DateType,
     DoubleType,
+    IntegerType,
     LongType,
     StringType,
     StructField,
@@ -35,7 +36,16 @@ RAW = _schema(
     payload=StringType(),
 )
 LANDED = StructType([*RAW.fields, StructField("run_date", DateType(), True)])
-INTAKE = StructType([*LANDED.fields, StructField("missing", ArrayType(StringType()), True)])
+# What a reader of landed files adds: the file, and the text of a line that is no envelope.
+ORIGIN = _schema(source_file=StringType(), corrupt=StringType())
+INTAKE = StructType(
+    [
+        *LANDED.fields,
+        *ORIGIN.fields,
+        StructField("missing", ArrayType(StringType()), True),
+        StructField("load_id", StringType(), True),
+    ]
+)
 STAGING = _schema(
     entity=StringType(),
     event_time=TimestampType(),
@@ -44,6 +54,14 @@ STAGING = _schema(
     total_volume=DoubleType(),
     ingestion_time=TimestampType(),
 )
+# ``point`` is the JSON text of what the arrays hold at the position.
+BAD_POINTS = _schema(
+    entity=StringType(),
+    ingestion_time=TimestampType(),
+    payload_key=LongType(),
+    position=IntegerType(),
+    point=StringType(),
+)
 CURATED = _schema(
     entity=StringType(),
     date=DateType(),
@@ -81,14 +99,15 @@ class TableSpec:
         )
 
 
-# ``outcome`` keeps the loaded envelopes (the raw table) and the rejected ones in one layout, so
-# that a single pass over the landed files writes both.
+# ``outcome`` keeps the loaded envelopes (the raw table), the rejected ones and broken lines in one
+# layout, so that a single pass over the landed files writes all of them. A load has the ``batch`` of
+# its own id until it is packed with others.
 INTAKE_TABLE = TableSpec(
     "intake",
     INTAKE,
-    partitions={"outcome": "string", "ingestion_date": "date", "load_id": "string"},
+    partitions={"outcome": "string", "ingestion_date": "date", "batch": "string"},
     derived={
-        "outcome": "if(size(missing) = 0, 'loaded', 'rejected')",
+        "outcome": "CASE WHEN corrupt IS NOT NULL THEN 'corrupt' WHEN size(missing) = 0 THEN 'loaded' ELSE 'rejected' END",
         "ingestion_date": "to_date(ingestion_time)",
     },
 )
@@ -99,6 +118,13 @@ STAGING_TABLE = TableSpec(
     partitions={"event_date": "date"},
     derived={"event_date": "to_date(event_time)"},
 )
+BAD_POINTS_TABLE = TableSpec(
+    "bad_points",
+    BAD_POINTS,
+    keys=("entity", "ingestion_time", "payload_key", "position"),
+    partitions={"ingestion_date": "date"},
+    derived={"ingestion_date": "to_date(ingestion_time)"},
+)
 CURATED_TABLE = TableSpec(
     "curated",
     CURATED,
@@ -119,5 +145,5 @@ STATUS_TABLE = TableSpec(
 
 TABLES = {
     spec.name: spec
-    for spec in (INTAKE_TABLE, STAGING_TABLE, CURATED_TABLE, STATE_TABLE, STATUS_TABLE)
+    for spec in (INTAKE_TABLE, STAGING_TABLE, BAD_POINTS_TABLE, CURATED_TABLE, STATE_TABLE, STATUS_TABLE)
 }

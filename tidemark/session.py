@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,8 +68,29 @@ def folder(spark: SparkSession, path: str):
     return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def listed(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that match a pattern; none if its folder does not exist."""
+    place, files = folder(spark, pattern)
+    return [str(status.getPath().toString()) for status in files.globStatus(place) or []]
+
+
+def data_files(spark: SparkSession, path: str) -> dict[str, int]:
+    """Data files below a folder by their path inside it, with their sizes."""
+    place, files = folder(spark, path)
+    if not files.exists(place):
+        return {}
+    start = len(files.makeQualified(place).toString()) + 1
+    found, walk = {}, files.listFiles(place, True)
+    while walk.hasNext():
+        status = walk.next()
+        inside = status.getPath().toString()[start:]
+        if not inside.rsplit("/", 1)[-1].startswith(("_", ".")):
+            found[inside] = status.getLen()
+    return found
+
+
 @contextmanager
-def materialized(df: DataFrame, label: str) -> Iterator[DataFrame]:
+def materialized(df: DataFrame, label: str, partition_by: Sequence[str] = ()) -> Iterator[DataFrame]:
     """Write ``df`` once to the shared folder and hand back the written table.
 
     For plans that several later jobs read: the work behind ``df`` runs once, survives executor
@@ -77,7 +98,7 @@ def materialized(df: DataFrame, label: str) -> Iterator[DataFrame]:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     try:
         yield spark.read.schema(df.schema).parquet(path)
     finally:

@@ -2,16 +2,30 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+from collections.abc import Sequence
+from contextlib import ExitStack
 from dataclasses import dataclass
+from datetime import date, datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators.merge import merge_rows, require_unique
+from tidemark.operators.merge import matched_versions, merge_rows, require_unique
+from tidemark.operators.state import last_processed, latest_state
 from tidemark.operators.validate import with_missing
-from tidemark.schemas import RAW, TABLES, TableSpec
-from tidemark.session import folder, materialized
+from tidemark.schemas import ORIGIN, RAW, STATE, TABLES, TableSpec
+from tidemark.session import data_files, folder, listed, materialized
+from tidemark.sources import commits, pointers
+from tidemark.sources.pointers import Pointer
+
+PACKED = "packed-"
+PACKED_BYTES = 128 << 20
+"""Files of this size are packed well enough."""
+LOAD_ID = re.compile(rf"(?!{PACKED})[\w.-]+")
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 @dataclass(frozen=True)
@@ -22,6 +36,7 @@ class LoadReport:
     load_id: str
     rows_loaded: int
     rows_rejected: int
+    rows_corrupt: int = 0
 
 
 def in_partitions(column: str, values: list) -> Column:
@@ -55,9 +70,38 @@ class Tables:
         return self
 
     def read(self, name: str) -> DataFrame:
-        """The whole table with its partition columns, for pruning."""
+        """The whole table with its partition columns, for pruning.
+
+        The state is one row for each pipeline: the newest of what was merged into the table and of
+        the pointers that runs have moved.
+        """
+        return self._state() if name == "state" else self._stored(name)
+
+    def _stored(self, name: str) -> DataFrame:
         return self.spark.read.schema(TABLES[name].full_schema).parquet(self.path(name))
 
+    def _state(self) -> DataFrame:
+        rows = self._stored("state").select(*STATE.names)
+        moves = listed(self.spark, f"{self._pointers()}/*")
+        if moves:
+            written = self.spark.read.schema(STATE).json(moves).filter("pipeline_name IS NOT NULL")
+            rows = rows.unionByName(written)
+        return self._laid_out(TABLES["state"], latest_state(rows))
+
+    def _pointers(self) -> str:
+        return f"{self.root}/pointers"
+
+    def pointer(self, pipeline_name: str) -> Pointer:
+        """Where a pipeline stands: its last move, or what was merged into the state before the first."""
+        seen = pointers.read(self.spark, self._pointers(), pipeline_name)
+        if seen.processed:
+            return seen
+        return Pointer(seen.number, last_processed(self._stored("state"), pipeline_name))
+
+    def move_pointer(self, pipeline_name: str, seen: Pointer, processed: date, now: datetime) -> Pointer:
+        """Move a pipeline's pointer; see ``pointers.move`` for what happens beside another run."""
+        return pointers.move(self.spark, self._pointers(), pipeline_name, seen, processed, now)
+
     def raw(self) -> DataFrame:
         """Loaded envelopes."""
         loaded = self.read("intake").filter("outcome = 'loaded'")
@@ -65,7 +109,34 @@ class Tables:
 
     def rejected(self) -> DataFrame:
         """Quarantined envelopes and what each one lacks."""
-        return self.read("intake").filter("outcome = 'rejected'").drop("outcome")
+        return self.read("intake").filter("outcome = 'rejected'").drop("outcome", "batch", "corrupt")
+
+    def corrupt(self) -> DataFrame:
+        """Lines of landed files that are no envelopes, with their files."""
+        return self.read("intake").filter("outcome = 'corrupt'").select("load_id", "source_file", "corrupt")
+
+    def months(self) -> list[date]:
+        """The months that the curated table has a partition of."""
+        names = (path.rpartition("=")[2] for path in listed(self.spark, f"{self.path('curated')}/month=*"))
+        return [date.fromisoformat(name) for name in names if name != NO_VALUE]
+
+    def of_load(self, load_id: str) -> DataFrame:
+        """What one load stored, with its outcomes. Until the load is packed, only its own folders are listed."""
+        spec = TABLES["intake"]
+        own = listed(self.spark, f"{self.path('intake')}/outcome=*/ingestion_date=*/batch={load_id}")
+        if own:
+            reader = self.spark.read.schema(spec.full_schema).option("basePath", self.path("intake"))
+            return reader.parquet(*own)
+        return self.read("intake").filter(F.col("batch").startswith(PACKED) & (F.col("load_id") == load_id))
+
+    def files_of(self, load_id: str) -> DataFrame:
+        """The landed files of one load and how many rows of each came to which outcome."""
+        outcome = F.col("outcome")
+        return self.of_load(load_id).groupBy("source_file").agg(
+            F.count_if(outcome == "loaded").alias("rows_loaded"),
+            F.count_if(outcome == "rejected").alias("rows_rejected"),
+            F.count_if(outcome == "corrupt").alias("rows_corrupt"),
+        )
 
     def _laid_out(self, spec: TableSpec, df: DataFrame) -> DataFrame:
         derived = {c: F.expr(expression) for c, expression in spec.derived.items()}
@@ -82,21 +153,53 @@ class Tables:
         writer.parquet(self.path(name))
 
     def load(self, landed: DataFrame, load_id: str, replace: bool = False) -> LoadReport:
-        """Check every landed envelope and store it as loaded or rejected, in one pass.
+        """Check every landed envelope and store it as loaded, rejected or corrupt, in one pass.
 
         ``load_id`` gets its own partitions. A caller that can repeat a load with the same rows and
         id (a stream after a restart) sets ``replace`` to make it idempotent.
         """
-        checked = with_missing(landed).withColumn("load_id", F.lit(load_id))
+        if not LOAD_ID.fullmatch(load_id):
+            raise ValueError(f"a load id is made of letters, digits and . _ -, and does not start with {PACKED}: {load_id!r}")
+        origin = {f.name: F.lit(None).cast(f.dataType) for f in ORIGIN.fields if f.name not in landed.columns}
+        named = {"load_id": F.lit(load_id), "batch": F.lit(load_id)}
+        checked = with_missing(landed.withColumns(origin)).withColumns(named)
         counts = Observation()
+        is_corrupt, lacks = F.col("corrupt").isNotNull(), F.array_size("missing") > 0
         observed = checked.observe(
             counts,
-            F.count_if(F.array_size("missing") == 0).alias("loaded"),
-            F.count_if(F.array_size("missing") > 0).alias("rejected"),
+            F.count_if(~is_corrupt & ~lacks).alias("loaded"),
+            F.count_if(~is_corrupt & lacks).alias("rejected"),
+            F.count_if(is_corrupt).alias("corrupt"),
         )
         self.append("intake", observed, replace)
         rows = counts.get
-        return LoadReport(self.path("intake"), load_id, rows["loaded"], rows["rejected"])
+        return LoadReport(self.path("intake"), load_id, rows["loaded"], rows["rejected"], rows["corrupt"])
+
+    def pack(self, until: date | None = None, keep: Sequence[str] = (), least: int = 2) -> int:
+        """Merge the small files of many loads into few of each outcome and ingestion date.
+
+        Rows keep their ``load_id``. Dates after ``until`` stay as they are, so do the loads in
+        ``keep`` (a load that may still be repeated), days with fewer than ``least`` small batches,
+        and files of ``PACKED_BYTES`` and more. Returns the number of files that went.
+        """
+        self.finish("intake")
+        small: dict[str, list[str]] = {}
+        for name, size in data_files(self.spark, self.path("intake")).items():
+            day, _, batch = name.rpartition("/")[0].rpartition("/batch=")
+            when = day.rpartition("ingestion_date=")[2]
+            late = until is not None and (when == NO_VALUE or date.fromisoformat(when) > until)
+            if size < PACKED_BYTES and batch not in keep and not late:
+                small.setdefault(day, []).append(name)
+        chosen = [f for names in small.values() if len({f.rpartition("/")[0] for f in names}) >= least for f in names]
+        if not chosen:
+            return 0
+        spec = TABLES["intake"]
+        reader = self.spark.read.schema(spec.full_schema).option("basePath", self.path("intake"))
+        rows = reader.parquet(*[f"{self.path('intake')}/{f}" for f in chosen])
+        rows = rows.withColumn("batch", F.lit(f"{PACKED}{uuid.uuid4().hex}"))
+        packed = rows.hint("rebalance", "outcome", "ingestion_date").sortWithinPartitions(*spec.partitions, "load_id")
+        self._replace("intake", packed, chosen)
+        return len(chosen)
 
     def upsert(
         self,
@@ -108,48 +211,52 @@ class Tables:
         """Merge ``source`` into a keyed table; returns the values of the partitions it touched.
 
         Parquet has no MERGE. The partitions that hold a source row are read, merged and replaced;
-        the others are neither read nor written. A key never changes its partition, because the
-        partition column is computed from the key. ``unique_source`` skips the repeated-key check
-        for a source that is one row per key by construction.
+        the others are neither read nor written, and each merged row is written once. A key never
+        changes its partition, because the partition column is computed from the key.
+        ``unique_source`` skips the repeated-key check for a source that is one row per key by
+        construction.
         """
         spec = TABLES[name]
         (partition,) = spec.partitions
         self.finish(name)
-        with materialized(self._laid_out(spec, source), f"upsert-{name}") as rows:
+        with ExitStack() as stack:
+            rows = stack.enter_context(materialized(self._laid_out(spec, source), f"upsert-{name}"))
             if not unique_source:
                 require_unique(rows, spec.keys)
             # At most one value per partition folder, which the driver lists anyway.
             touched = [row[0] for row in rows.select(partition).distinct().collect()]
             if touched:
-                target = self.read(name).filter(in_partitions(partition, touched))
-                merged = merge_rows(target, rows, spec.keys, only_if_newer)
+                target = self._stored(name).filter(in_partitions(partition, touched))
+                matches = None
+                if only_if_newer:
+                    # Both sides of the merge ask for them, so they are found once.
+                    found = matched_versions(target, rows, spec.keys, only_if_newer)
+                    matches = stack.enter_context(materialized(found, f"matches-{name}"))
+                merged = merge_rows(target, rows, spec.keys, only_if_newer, matches)
                 # Rebalancing packs a partition into few files and splits a hot one.
-                writer = merged.hint("rebalance", partition).write.partitionBy(partition)
-                writer.mode("overwrite").parquet(self._pending(name))
-                self.finish(name)
+                self._replace(name, merged.hint("rebalance", partition))
         return touched
 
     def _pending(self, name: str) -> str:
         return f"{self.root}/_pending-{name}"
 
+    def _replace(self, name: str, rows: DataFrame, files: Sequence[str] | None = None) -> None:
+        """Put ``rows`` in the place of the given files, or of all files in the partitions they fall into."""
+        pending = self._pending(name)
+        rows.write.partitionBy(*TABLES[name].partitions).mode("overwrite").parquet(pending)
+        if files is None:
+            folders = {f.rpartition("/")[0] for f in data_files(self.spark, pending)}
+            files = [f"{inside}/{f}" for inside in folders for f in data_files(self.spark, f"{self.path(name)}/{inside}")]
+        commits.decide(self.spark, pending, files)
+        self.finish(name)
+
     def finish(self, name: str) -> bool:
-        """Put the partitions that an upsert has merged and stored into the table; True if there were any.
+        """Complete a change of the table's files that was decided but not applied; True if there was one.
 
-        The stored copy stays until the table holds all of it. An upsert that was stopped between two
-        partitions is thus completed by the next ``create`` or ``upsert``; one that was stopped before
-        its copy was complete has not changed the table and is forgotten.
+        Every ``create``, ``upsert`` and ``pack`` begins with this, so that one that was stopped at
+        any moment is either complete or has not happened.
         """
-        spec = TABLES[name]
-        place, files = folder(self.spark, self._pending(name))
-        if not files.exists(place):
-            return False
-        complete, _ = folder(self.spark, f"{self._pending(name)}/_SUCCESS")
-        if found := files.exists(complete):
-            rows = self.spark.read.schema(spec.full_schema).parquet(self._pending(name))
-            writer = rows.write.partitionBy(*spec.partitions).option("partitionOverwriteMode", "dynamic")
-            writer.mode("overwrite").parquet(self.path(name))
-        files.delete(place, True)
-        return found
+        return commits.apply(self.spark, self._pending(name), self.path(name))
 
 
 def create_tables(spark: SparkSession, root: str) -> Tables:
