@@ -284,54 +284,65 @@ def _build(rows: pa.Table) -> pa.Table:
     return pa.Table.from_arrays(columns, [c.split()[0] for c in TRIES.split(", ")])
 
 
-def _counted(shared, length: int):
-    """Blocks to (state, n): a task adds up its blocks before it tells."""
+SEEN = "state long, n long, block string, m long, steps binary"
+
+
+def _counted(shared, length: int, places: bool):
+    """Blocks to (state, n), a task adds up its blocks before it tells; and, if asked for, where phrases start in each block."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = Trie.unpacked(*shared.value)
         total = np.zeros(len(trie.base), np.int64)
         for batch in batches:
             for row in rows_of(batch):
-                _, states = trie.advanced(*tokens_of(row), length)
+                at, states = trie.advanced(*tokens_of(row), length)
                 total += np.bincount(states, minlength=len(total))
+                if places:
+                    yield _seen([], [], [row["block"]], [len(at)], [squeezed(np.diff(at, prepend=0).astype("<u4"))])
         seen = np.flatnonzero(total)
         for at in range(0, len(seen), EMIT):
             part = seen[at : at + EMIT]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(total[part])], ["state", "n"])
+            yield _seen(part, total[part], [], [], [])
 
     return count
 
 
+def _seen(*columns) -> pa.RecordBatch:
+    n = max(map(len, columns))
+    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary())
+    arrays = [pa.array(c if len(c) else [None] * n, k) for c, k in zip(columns, kinds)]
+    return pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in SEEN.split(", ")])
+
+
 def names(length: int) -> list[str]:
     return [f"h{k + 1}" for k in range(length)]
 
 
-def counted(blocks: DataFrame, candidates: DataFrame, length: int, least: int) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Columns h1.. and a, the exact count, of every candidate that occurs ``least`` times; the tries; the folders."""
+def counted(
+    blocks: DataFrame, candidates: DataFrame, length: int, least: int, places: bool = False
+) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Columns h1.. and a, the exact count, of every candidate that occurs ``least`` times; block, m and steps
+    of the places where candidates start, if asked for; the folders used."""
     spark, h = blocks.sparkSession, names(length)
     shards = candidates.count() // ENTRIES + 1
     dealt = candidates.select(F.pmod(F.xxhash64(*h), F.lit(shards)).cast("int").alias("shard"), *h)
     tries, folder = stored(dealt.groupBy("shard").applyInArrow(_build, TRIES), "tries")
-    parts, folders = [], [folder]
+    seen, folders = spark.createDataFrame([], f"{SEEN}, shard int"), [folder]
     for shard in range(shards):
         row = tries.where(F.col("shard") == shard).select(*PACKED).first()
         if row is None:
             continue
         shared = spark.sparkContext.broadcast(tuple(row))  # one shard: about ENTRIES phrases
-        sums = blocks.select("tokens", "size", "hashes", "n").mapInArrow(_counted(shared, length), "state long, n long")
-        part, folder = stored(sums.groupBy("state").agg(F.sum("n").alias("a")).withColumn("shard", F.lit(shard)), "trie-counts")
+        found = blocks.select("block", "tokens", "size", "hashes", "n").mapInArrow(_counted(shared, length, places), SEEN)
+        part, folder = stored(found, "trie-counts")
         shared.unpersist()
-        parts.append(part)
+        seen = seen.unionByName(part.withColumn("shard", F.lit(shard)))
         folders.append(folder)
-    if not parts:
-        return spark.createDataFrame([], ", ".join(f"{c} long" for c in [*h, "a"])), tries, folders
-    sums = parts[0]
-    for part in parts[1:]:
-        sums = sums.unionByName(part)
+    sums = seen.where("state IS NOT NULL").groupBy("shard", "state").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
     each = F.transform("states", lambda s, i: F.struct(s.alias("state"), *[F.get("words_of", i * length + k).alias(c) for k, c in enumerate(h)]))
     phrases = tries.select("shard", F.explode(each).alias("p")).select("shard", "p.*")
-    out, folder = stored(sums.join(phrases, ["shard", "state"]).where(F.col("a") >= least).select(*h, "a"), f"phrases-{length}")
-    return out, tries, [*folders, folder]
+    out, folder = stored(sums.join(phrases, ["shard", "state"]).select(*h, "a"), f"phrases-{length}")
+    return out, seen.where("block IS NOT NULL").select("block", "m", "steps"), [*folders, folder]
 
 
 def _rows(hashes: list[np.ndarray], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -360,22 +371,8 @@ def _pairs(shared):
     return pairs
 
 
-def _pair_places(shared):
-    """Blocks to (block, places): where a pair of the shard starts."""
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = Trie.unpacked(*shared.value)
-        for batch in batches:
-            for row in rows_of(batch):
-                places, _ = trie.advanced(*tokens_of(row), 2)
-                steps = squeezed(np.diff(places, prepend=0).astype("<u4"))
-                yield pa.RecordBatch.from_arrays([pa.array([row["block"]]), pa.array([len(places)], pa.int64()), pa.array([steps], pa.binary())], ["block", "m", "steps"])
-
-    return mark
-
-
 def _triples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks with the places of frequent pairs, by shard, to their distinct triples of two such pairs."""
+    """Blocks with the places of pairs, by shard, to their distinct triples of two such pairs."""
     for batch in batches:
         for row in rows_of(batch):
             tokens, hashes = tokens_of(row)
@@ -417,25 +414,13 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP) -> DataFra
     found = coded.mapInArrow(_pairs(shared), "h1 long, h2 long, n long")
     candidates, folder = stored(often(found, least), "pair-candidates")
     shared.unpersist()
-    pairs, tries, used = counted(blocks, candidates, 2, least)
+    pairs, places, used = counted(coded, candidates, 2, least, places=True)
     folders += [folder, *used]
 
-    marks = []
-    for row in tries.select("shard").collect():
-        trie = tries.where(F.col("shard") == row.shard).select(*PACKED).first()
-        mark, folder = stored(coded.mapInArrow(_pair_places(spark.sparkContext.broadcast(tuple(trie))), "block string, m long, steps binary"), "pair-places")
-        marks.append(mark)
-        folders.append(folder)
-    if marks:
-        every = marks[0]
-        for mark in marks[1:]:
-            every = every.unionByName(mark)
-        every = every.groupBy("block").agg(F.collect_list(F.struct("m", "steps")).alias("marks"))
-        found = coded.join(every, "block").drop("block").mapInArrow(_triples, "h1 long, h2 long, h3 long, n long")
-    else:
-        found = spark.createDataFrame([], "h1 long, h2 long, h3 long, n long")
+    marks = places.groupBy("block").agg(F.collect_list(F.struct("m", "steps")).alias("marks"))
+    found = coded.join(marks, "block").drop("block").mapInArrow(_triples, "h1 long, h2 long, h3 long, n long")
     candidates, folder = stored(often(found, least), "triple-candidates")
-    triples, _, used = counted(blocks, candidates, 3, least)
+    triples, _, used = counted(coded, candidates, 3, least)
     folders += [folder, *used]
 
     best = _ranked(words, pairs, triples, top).join(per_lang, "lang")
@@ -462,4 +447,6 @@ def _ranked(words: DataFrame, pairs: DataFrame, triples: DataFrame, top: int) ->
     free = two.join(inside, ["h1", "h2"], "left").where(F.col("longer").isNull() | (100 * F.col("longer") < 50 * F.col("a")))
     scored = free.select("lang", "phrase", "a", "l", "r").unionByName(three).withColumn("score", _ratio(F.col("l"), F.col("r")))
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return scored.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= top)
+    # Compared before the cast, so that map tasks drop what cannot be among the first.
+    best = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    return best.withColumn("rank", F.col("rank").cast("long"))
