@@ -80,3 +80,15 @@ def test_long_texts_stay_linear(documents):
 
 def test_empty_table(documents):
     assert digest(personal_data(documents())).count() == 0
+
+
+def test_an_iban_ends_where_its_checksum_does(spark):
+    """A word in capitals behind the number is no part of it; of several ends the longest valid one counts."""
+    texts = {
+        1: "account BE68 5390 0754 7034 EUR paid", 2: "account BE68 5390 0754 7034", 3: "bank DE89 3704 0044 0532 0130 00 BIC",
+        4: "account BE68 5390 0754 7035 EUR", 5: "konto BE68539007547034 und BE68 5390 0754 7034 CHF",
+    }
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.iban] for r in personal_data(docs).collect()}
+    number = "BE68 5390 0754 7034"
+    assert found == {1: [number], 2: [number], 3: ["DE89 3704 0044 0532 0130 00"], 4: [], 5: [number.replace(" ", ""), number]}

@@ -105,3 +105,27 @@ def test_one_row_of_each_group_stays(documents, prose):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [3, 7, 9]
     assert without_near_duplicates(documents()).count() == near_duplicates(documents()).count() == 0
+
+
+@pytest.mark.parametrize("words, distance", [(5, 6), (2, 1), (3, 3)])
+def test_other_shingles_and_distances(documents, prose, words, distance):
+    """Groups of the arguments' own shingle length and distance, against all pairs."""
+    pairs = []
+    for k in range(8):
+        text = prose(k, 200).split()
+        for j in range(4):
+            changed = list(text)
+            for at in range(j):
+                changed[17 + 40 * at] = f"new{j}"
+            pairs.append((10 * k + j, " ".join(changed)))
+    print_of = {i: plain(t, words) for i, t in pairs}
+    root = {i: i for i in print_of}
+    for _ in root:
+        for a in root:
+            for b in root:
+                if (print_of[a] ^ print_of[b]).bit_count() <= distance:
+                    root[a] = root[b] = min(root[a], root[b])
+    got = {r.doc_id: r.component_id for r in near_duplicates(documents(*pairs), words, distance).collect()}
+    assert got == root
+    kept = {r.doc_id for r in without_near_duplicates(documents(*pairs), words, distance).collect()}
+    assert kept == set(root.values())

@@ -9,9 +9,10 @@ exactly: every shingle of the window at its own place.
 
 A window's text is its identity, so windows that several items share are looked for once.
 
-Defined cases: a null or wordless text has no words, a null or wordless item no windows; repeated
-document rows get equal rows of their own; items that repeat an id count once; an empty table on
-either side gives no hits; other columns are ignored.
+Defined cases: a null or wordless text has no words, a null or wordless item no windows; a very long
+text is one list of words in its task and is looked through whole; repeated document rows get equal
+rows of their own; items that repeat an id count once; an empty table on either side gives no hits;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -165,5 +166,7 @@ def digest(found: DataFrame) -> DataFrame:
 def without_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no window of any item."""
     hit = contaminated(docs, items).where("n_hit > 0").select(F.col("doc_id").alias("_id"), F.col("key").alias("_key"))
-    same = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(whole(docs["text"])) == F.col("_key"))
-    return docs.join(hit, same, "left_anti")
+    # The row travels as one column, so that its own names cannot meet these.
+    named = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_doc"), F.xxhash64(whole(F.col("text"))).alias("_hash"))
+    left = named.join(hit, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_key")), "left_anti")
+    return left.select(*[F.col("_row")[c].alias(c) for c in docs.columns])

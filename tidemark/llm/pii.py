@@ -8,8 +8,9 @@ Spans of the four base kinds (email, ip, card, phone) are always reported. Two k
 their score reaches ``THRESHOLD``: ``iban`` (needs its mod-97 checksum) and ``local_phone`` (a number
 without country code, needs a context word nearby and no overlap with a base span).
 
-Defined cases: a null text counts as empty and has no spans; repeated rows keep a row each; an empty
-table gives no rows; other columns are ignored.
+Defined cases: a null text counts as empty and has no spans; a very long text is scanned whole, in time
+linear in its length; repeated rows keep a row each; an empty table gives no rows; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -109,6 +110,18 @@ def _valid(kind: Kind, match: Column) -> Column:
     return F.lit(True)
 
 
+def _confirmed(kind: Kind, match: Column) -> Column:
+    """What of a match passes, null if nothing does: all of it, or of an IBAN the most groups that do.
+
+    The last groups of an IBAN's pattern may be a word in capitals behind the number.
+    """
+    if kind is not IBAN:
+        return F.when(_valid(kind, match), match)
+    groups = F.split(match, " ")
+    ends = F.transform(F.sequence(F.lit(1), F.size(groups)), lambda n: F.array_join(F.slice(groups, 1, n), " "))
+    return F.get(F.reverse(F.filter(ends, lambda m: _valid(kind, m))), F.lit(0))
+
+
 def _scanned(text: Column, kind: Kind) -> list[Column]:
     """The matches of the pattern, and the pieces between them."""
     guard = F.contains(text, F.lit(kind.guard)) if len(kind.guard) == 1 else text.rlike(kind.guard)
@@ -143,7 +156,8 @@ def _placed(proposed: Column, kind: Kind) -> Column:
         proposed, ends,
         lambda p, e: F.struct(p["match"].alias("match"), (e + p["gap"]).alias("start"), p["before"].alias("before"), p["after"].alias("after")),
     )
-    found = F.filter(met, lambda p: p["match"].isNotNull())  # there is one end more than matches
+    # There is one end more than matches.
+    found = F.transform(met, lambda p: p.withField("match", F.when(p["match"].isNotNull(), _confirmed(kind, p["match"]))))
     checked = kind in (IP, CARD, IBAN)
 
     def scored(p):
@@ -156,7 +170,7 @@ def _placed(proposed: Column, kind: Kind) -> Column:
             F.least(score, F.lit(1.0)).alias("score"),
         )
 
-    return F.transform(F.filter(found, lambda p: _valid(kind, p["match"])), scored)
+    return F.transform(F.filter(found, lambda p: p["match"].isNotNull()), scored)
 
 
 def _listed(spans: Column) -> Column:

@@ -9,8 +9,8 @@ Equal fingerprints count once, so a group of copies costs one row. Under a key,
 fingerprints to a spanning forest instead of listing pairs; components are then joined by
 alternating star contraction on written tables.
 
-Defined cases: a null or blank text has fingerprint zero and links like any other; repeated rows
-keep a row each; a null doc_id takes part and is never the smallest unless a component has no
+Defined cases: a null or blank text has fingerprint zero and links like any other; a very long text
+is hashed whole, its bits counted piece by piece; repeated rows keep a row each; a null doc_id takes part and is never the smallest unless a component has no
 other; an empty table gives no rows; other columns are ignored.
 """
 
@@ -54,17 +54,20 @@ def fingerprint(text: str | None, words: int = SHINGLE) -> int:
     return int(np.packbits(2 * set_bits > n, bitorder="little").view("<u8")[0])
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        values = np.fromiter((fingerprint(t.as_py()) for t in batch.column(2)), np.uint64, batch.num_rows)
-        columns = [batch.column(0), batch.column(1), pa.array(values.view(np.int64))]
-        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "print"])
+def _fingerprints(words: int):
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = np.fromiter((fingerprint(t.as_py(), words) for t in batch.column(2)), np.uint64, batch.num_rows)
+            columns = [batch.column(0), batch.column(1), pa.array(values.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "print"])
+
+    return prints
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     """doc_id, key (hash of the text) and print (the 64 bits as a signed long) of every row."""
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(whole(F.col("text"))).alias("key"), F.col("text").cast("string"))
-    return rows.mapInArrow(_fingerprints, "doc_id long, key long, print long")
+    return rows.mapInArrow(_fingerprints(words), "doc_id long, key long, print long")
 
 
 def masks(blocks: int = BLOCKS, distance: int = DISTANCE) -> list[int]:
@@ -112,7 +115,7 @@ def close_links(prints: np.ndarray, distance: int = DISTANCE) -> np.ndarray:
     return np.stack([prints[top[linked]], prints[linked]], axis=1) if len(linked) else np.empty((0, 2), np.uint64)
 
 
-def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.RecordBatch]:
     """Rows (mask number, key, print) sorted by all three to links; a key may span batches."""
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
@@ -121,7 +124,7 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.clear()
         new = np.concatenate([[True], (which[1:] != which[:-1]) | (key[1:] != key[:-1])])
         starts = np.concatenate([np.flatnonzero(new), [len(new)]])
-        found = [close_links(np.unique(prints[a:b].view(np.uint64))) for a, b in zip(starts, starts[1:]) if b - a > 1]
+        found = [close_links(np.unique(prints[a:b].view(np.uint64)), distance) for a, b in zip(starts, starts[1:]) if b - a > 1]
         pairs = np.concatenate([*found, np.empty((0, 2), np.uint64)]).view(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0].copy()), pa.array(pairs[:, 1].copy())], ["a", "b"])
 
@@ -140,14 +143,17 @@ def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush()
 
 
-def links(prints: DataFrame) -> DataFrame:
-    """Links (a, b) between distinct fingerprints, a spanning forest under each key."""
+def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
+    """Links (a, b) between distinct fingerprints, a spanning forest under each key.
+
+    There are ``distance`` more blocks than a key has, so that the keys of any distance have three.
+    """
     keyed = prints.select("print").distinct().select(
         "print",
-        F.posexplode(F.array(*[F.col("print").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) for m in masks()])).alias("which", "key"),
+        F.posexplode(F.array(*[F.col("print").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) for m in masks(distance + BLOCKS - DISTANCE, distance)])).alias("which", "key"),
     )
     dealt = keyed.select("which", "key", "print").repartition("which", "key").sortWithinPartitions("which", "key", "print")
-    return dealt.mapInArrow(_links, "a long, b long").distinct()
+    return dealt.mapInArrow(lambda batches: _links(batches, distance), "a long, b long").distinct()
 
 
 def components(edges: DataFrame, label: str = "components") -> tuple[DataFrame, list[str]]:
@@ -183,11 +189,11 @@ def components(edges: DataFrame, label: str = "components") -> tuple[DataFrame,
         stars = now
 
 
-def grouped(docs: DataFrame) -> DataFrame:
+def grouped(docs: DataFrame, words: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """doc_id, key, print and component (the smallest print of the group) of every row, stored."""
     spark = docs.sparkSession
-    prints, path = stored(fingerprints(docs), "prints")
-    edges, folder = stored(links(prints), "links")
+    prints, path = stored(fingerprints(docs, words), "prints")
+    edges, folder = stored(links(prints, distance), "links")
     roots, folders = components(edges)
     out, _ = stored(
         prints.join(roots, prints["print"] == roots["node"], "left").select(
@@ -199,9 +205,9 @@ def grouped(docs: DataFrame) -> DataFrame:
     return out
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, words: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id of every row of ``docs``."""
-    rows = grouped(docs)
+    rows = grouped(docs, words, distance)
     # Stored, so that the join is a stage of its own, in which Spark can split a large component.
     smallest, _ = stored(rows.groupBy("component").agg(F.min("doc_id").alias("component_id")), "smallest")
     return rows.join(smallest, "component").select(
@@ -209,18 +215,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def without_near_duplicates(docs: DataFrame) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, words: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row of ``docs`` for each group: the smallest doc_id, of equal ids the smallest text hash."""
-    rows = grouped(docs)
+    rows = grouped(docs, words, distance)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "key")).alias("first")
     chosen = rows.groupBy("component").agg(first).select(F.col("first.doc_id").alias("_id"), F.col("first.key").alias("_key"))
-    copies = rows.groupBy(F.col("doc_id").alias("_id"), F.col("key").alias("_key")).agg(F.count(F.lit(1)).alias("_copies"))
-    same = copies["_id"].eqNullSafe(chosen["_id"]) & (copies["_key"] == chosen["_key"])
+    copies = rows.groupBy(F.col("doc_id").alias("_of"), F.col("key").alias("_with")).agg(F.count(F.lit(1)).alias("_copies"))
+    same = F.col("_of").eqNullSafe(F.col("_id")) & (F.col("_with") == F.col("_key"))
     chosen = copies.join(chosen, same, "left_semi")
-    at = docs["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(whole(docs["text"])) == F.col("_key"))
-    kept = docs.join(chosen, at)
-    once = kept.where("_copies = 1").select(docs.columns)
+    # The row travels as one column, so that its own names cannot meet these.
+    named = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_doc"), F.xxhash64(whole(F.col("text"))).alias("_hash"))
+    kept = named.join(chosen, F.col("_doc").eqNullSafe(F.col("_of")) & (F.col("_hash") == F.col("_with")))
+    columns = [F.col("_row")[c].alias(c) for c in docs.columns]
+    once = kept.where("_copies = 1").select(*columns)
     if chosen.where("_copies > 1").isEmpty():
         return once
     # Rows that are equal in id and text, seldom any: one of each.
-    return once.unionByName(kept.where("_copies > 1").dropDuplicates(["_id", "_key"]).select(docs.columns))
+    return once.unionByName(kept.where("_copies > 1").dropDuplicates(["_of", "_with"]).select(*columns))
