@@ -45,6 +45,8 @@ ENTRIES = 250_000
 BITS = 26
 """The frequent words' bit set holds 2**BITS bits."""
 EMIT = 100_000
+PARTS = 64
+"""Parts that the phrases of a language are ranked in before the best of all parts are."""
 DIGIT = 11
 """A word is two steps in a trie, of so many bits each: no state has more than 2**DIGIT children."""
 TRIED = 16_384
@@ -446,7 +448,9 @@ def _ranked(words: DataFrame, pairs: DataFrame, triples: DataFrame, top: int) ->
     inside = inside.groupBy("p.h1", "p.h2").agg(F.max("a").alias("longer"))
     free = two.join(inside, ["h1", "h2"], "left").where(F.col("longer").isNull() | (100 * F.col("longer") < 50 * F.col("a")))
     scored = free.select("lang", "phrase", "a", "l", "r").unionByName(three).withColumn("score", _ratio(F.col("l"), F.col("r")))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    # Compared before the cast, so that map tasks drop what cannot be among the first.
-    best = scored.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # A phrase among a language's first is among the first of its part, so no task ranks a whole language.
+    best = scored.withColumn("_part", F.pmod(F.xxhash64("phrase"), F.lit(PARTS)))
+    for by in (["lang", "_part"], ["lang"]):
+        order = Window.partitionBy(*by).orderBy(F.desc("score"), F.desc("a"), "phrase")
+        best = best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
     return best.withColumn("rank", F.col("rank").cast("long"))
