@@ -1,8 +1,11 @@
+import functools
 import zlib
 
 import numpy as np
 import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from odd_rows import ODD
@@ -29,6 +32,39 @@ def test_units_encode_like_the_whole(prose):
     assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)] == whole
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet=" .,'ab sX1é\u0301ʰªß\u00a0!-\n٣中😀", max_size=12), max_size=4))
+def test_any_text_encodes_like_the_library(texts):
+    encoder, whole = Encoder.of_process(VOCABULARY, 2), _library()
+    want = [whole.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert [np.frombuffer(x, "<u2").tolist() for x in encoder.encode(texts)] == want
+
+
+@functools.cache
+def _library():
+    return Tokenizer.from_file(VOCABULARY)
+
+
+def test_what_is_used_again_outlives_a_generation():
+    asked = []
+    known = token_store.Remembered(3, lambda unit: asked.append(unit) or unit.encode())
+    for round_ in ("abcd", "ax", "ayzw", "a"):
+        assert [known[u] for u in round_] == [u.encode() for u in round_]
+        known.age()
+    assert asked == list("abcdxyzw")
+
+
+def test_empty_texts_and_equal_rows_fill_several_shards(monkeypatch, documents):
+    monkeypatch.setattr(token_store, "SHARD_ROWS", 50)
+    store = check(documents, [(k, None) for k in range(120)] + [(None, "")] * 130 + [(7, "same")] * 90)
+    sizes = [r.rows for r in store.files.collect()]
+    assert len(sizes) >= 5 and max(sizes) <= 150
+
+
+def test_a_very_long_text_is_encoded_whole(documents, prose):
+    check(documents, [(1, prose(1, 50) + " " + "word, " * 200_000 + "end"), (2, "short")])
+
+
 def expected(pairs):
     tokenizer = Tokenizer.from_file(VOCABULARY)
     return {t: np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [2], "<u4").tobytes() for _, t in pairs}

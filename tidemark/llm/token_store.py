@@ -5,7 +5,7 @@ another, raw and little-endian, documents in ascending doc_id order within a sha
 shard; an id takes two bytes if the vocabulary allows, else four. ``shard-*.off`` holds, in eight bytes
 each, the first id of every document of the shard, and the shard's id count. ``index-*.bin`` holds one
 part of the index: the minimal perfect hash of the keys that fall into the part, and in the slot of each
-key a fingerprint and where the key's documents are (shard, row, rows). A lookup hashes the key to its
+key a fingerprint and where the key's documents are (first and last shard, row, rows). A lookup hashes the key to its
 part and slot, compares the fingerprint and reads one range: constant time, whatever the store holds.
 
 The hash is a cascade of bit arrays: a key takes the first level where no other key shares its
@@ -16,13 +16,13 @@ so a lost executor or a second attempt leaves no trace in the result. Files are
 pyarrow's file systems, which cover shared mounts and object stores.
 
 Defined cases: a null text counts as empty and has the end id alone; a null doc_id comes first and
-is not indexed (``unkeyed`` names those rows); rows that repeat an id lie next to each other and the key finds them all; an empty
-table gives no files and no rows; other columns are ignored.
+is not indexed (``unkeyed`` names those rows); a text of any length is encoded whole and is one row of
+one shard; rows that repeat an id lie next to each other and the key finds them all; an empty table
+gives no files and no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 import struct
 import sys
 import types
@@ -37,20 +37,22 @@ import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stored, whole
+from tidemark.llm.common import dropped, stored, whole
 from tidemark.session import scratch_path
 
 END = 2
 SHARD_CHARS = 24_000_000
 """Characters of text that a shard holds, about."""
+SHARD_ROWS = 500_000
+"""Documents that a shard holds, about, however short."""
 PART_KEYS = 50_000
 """Keys of one part of the index, about."""
 SPREAD = 2
 """Bits of a level for each key that reaches it."""
-CACHED = 200_000
-"""Units of text, and parts of them, that a worker remembers the ids of in each of two generations."""
+CACHED = 400_000
+"""Units of text and parts of them that a worker remembers the ids of in each of two generations."""
 
-SLOT = np.dtype([("print", "<u4"), ("shard", "<u4"), ("row", "<u8"), ("rows", "<u8")])
+SLOT = np.dtype([("print", "<u4"), ("shard", "<u4"), ("last", "<u4"), ("row", "<u8"), ("rows", "<u8")])
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -126,20 +128,27 @@ def read_part(data: bytes) -> tuple[PerfectHash, np.ndarray]:
     return PerfectHash(levels), np.frombuffer(data, SLOT, offset=at)
 
 
-class Remembered:
-    """A bounded memory in two generations: what is used again outlives a change of generation."""
+class Remembered(dict):
+    """The ids of units and of their parts, worked out when first asked for.
 
-    def __init__(self, limit: int):
-        self.limit, self.young, self.old = limit, {}, {}
+    Bounded in two generations: what is used again outlives a change of generation.
+    """
+
+    def __init__(self, limit: int, ids_of):
+        super().__init__()
+        self.limit, self.ids_of, self.old = limit, ids_of, {}
+
+    def __missing__(self, unit: str) -> bytes:
+        found = self.old.get(unit)
+        if found is None:
+            found = self.ids_of(unit)
+        self[unit] = found
+        return found
 
-    def missing(self, keys: set) -> set:
-        """The keys that are not remembered; the others are in ``young`` afterwards."""
-        if len(self.young) > self.limit:
-            self.young, self.old = {}, self.young
-        keys = keys - self.young.keys()
-        again = keys & self.old.keys()
-        self.young.update((k, self.old[k]) for k in again)
-        return keys - again
+    def age(self) -> None:
+        if len(self) > self.limit:
+            self.old = dict(self)
+            self.clear()
 
 
 class Encoder:
@@ -148,9 +157,10 @@ class Encoder:
     A unit is a run of blanks with the word behind it. The tokenizer always cuts between a character
     and white space after it, so the ids of a text are the ids of its units. A unit is cut further by
     the vocabulary's own pattern and its parts go to the tokenizer's model, which is twice as fast as
-    the way of a whole text. Texts with white space of other kinds next to blanks, or with a special
-    token, are encoded whole, and so are units with characters from U+0590 on, where the versions of
-    Unicode that the pattern and the tokenizer know may differ.
+    the way of a whole text. Letters behind a blank or none are one part, and a point or comma behind
+    them another; the pattern need not be asked for these. Texts with white space of other kinds next
+    to blanks, or with a special token, are encoded whole, and so are units with characters from
+    U+0590 on, where the versions of Unicode that the pattern and the tokenizer know may differ.
     """
 
     def __init__(self, vocabulary: str, end: int):
@@ -161,12 +171,14 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content]
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
         self.end = self.packed([end])
-        self.units_known, self.parts_known = Remembered(CACHED), Remembered(CACHED)
+        # Nearly all words stand behind one blank: they are looked up without it.
+        self.known, self.behind_blank = Remembered(CACHED // 4, self.ids_of), Remembered(CACHED, lambda word: self.ids_of(" " + word))
         self.pattern = regex.compile(public_tokenizers.PATTERN)
         # Byte-level vocabularies write bytes as printable characters: those that are none follow U+0100.
         shown = [b for b in range(256) if chr(b).isprintable() and b != 32]
         hidden = [b for b in range(256) if b not in shown]
         self.letters = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+        self.blank = self.letters[32]
 
     @classmethod
     def of_process(cls, vocabulary: str, end: int) -> Encoder:
@@ -180,53 +192,66 @@ class Encoder:
     def packed(self, ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}{'H' if self.width == 2 else 'I'}", *ids)
 
-    @staticmethod
-    def units(text: str) -> list[str]:
-        """The units of a text that AWKWARD does not match; U+001C is white space and thus not in it."""
-        if "  " not in text:
-            out = text.replace(" ", "\x1c ").split("\x1c")
-            return out if out[0] else out[1:]
-        first, *others = text.split(" ")
-        out, blanks = [first] if first else [], ""
-        for part in others:
-            blanks += " "
-            if part:
-                out.append(blanks + part)
-                blanks = ""
-        return [*out, blanks] if blanks else out
-
-    def remember(self, units: set[str]) -> None:
-        """Encode the units that are not remembered."""
-        fresh = self.units_known.missing(units)
-        late = [u for u in fresh if not u.isascii() and max(u) >= "\u0590"]
-        cut = {u: self.pattern.findall(u) for u in fresh.difference(late)}
-        for part in self.parts_known.missing({p for parts in cut.values() for p in parts}):
+    def ids_of(self, unit: str) -> bytes:
+        """The ids of a unit that is not remembered."""
+        if not unit.isascii() and max(unit) >= "\u0590":
+            return self.packed(self.tokenizer.encode(unit, add_special_tokens=False).ids)
+        blank = unit[0] == " "
+        body = unit[1:] if blank else unit
+        if body.isalpha():
+            return self.part(unit)
+        if unit[-1] in MARKS and body[:-1].isalpha():
+            word = self.behind_blank[body[:-1]] if blank else self.known[body[:-1]]
+            return word + self.known[unit[-1]]
+        parts = self.pattern.findall(unit)
+        return self.part(unit) if len(parts) == 1 else b"".join([self.known[p] for p in parts])
+
+    def part(self, part: str) -> bytes:
+        """The ids of what the pattern leaves in one piece."""
+        if part.isascii() and part.isalnum():
+            written = part
+        elif part[0] == " " and part.isascii() and part[1:].isalnum():
+            written = self.blank + part[1:]
+        else:
             written = part.encode().decode("latin-1").translate(self.letters)
-            self.parts_known.young[part] = self.packed([t.id for t in self.model.tokenize(written)])
-        ids = self.parts_known.young.__getitem__
-        self.units_known.young.update((u, b"".join(map(ids, parts))) for u, parts in cut.items())
-        for unit, found in zip(late, self.tokenizer.encode_batch_fast(late, add_special_tokens=False)):
-            self.units_known.young[unit] = self.packed(found.ids)
+        return self.packed([t.id for t in self.model.tokenize(written)])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text and the end id."""
-        split = [None if AWKWARD.search(t) or any(s in t for s in self.special) else self.units(t) for t in texts]
-        self.remember({u for units in split if units for u in units})
-        ids = self.units_known.young.__getitem__
-        whole_text = lambda t: self.packed(self.tokenizer.encode(t, add_special_tokens=False).ids)
-        return [(whole_text(t) if u is None else b"".join(map(ids, u))) + self.end for t, u in zip(texts, split)]
+        self.known.age()
+        self.behind_blank.age()
+        return [self.text(t) + self.end for t in texts]
+
+    def text(self, text: str) -> bytes:
+        if any(c in text for c in ODD_SPACE) or any(s in text for s in self.special):
+            return self.packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        first, *words = text.split(" ")
+        ids = self.known[first] if first else b""
+        if "" not in words:
+            return ids + b"".join(map(self.behind_blank.__getitem__, words))
+        units, blanks = [], ""
+        for word in words:
+            blanks += " "
+            if word:
+                units.append(blanks + word)
+                blanks = ""
+        return ids + b"".join([self.known[u] for u in [*units, blanks] if u])
 
 
-AWKWARD = re.compile(r"[^\S \n]| \n|\n ")
+MARKS = ".,"
+ODD_SPACE = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"] + [" \n", "\n "]
+"""What makes a text one that is encoded whole: other white space, and line feeds next to blanks."""
 
 
 def write_store(docs: DataFrame, vocabulary: str, end: int = END) -> TokenStore:
     """Encode ``docs`` (doc_id, text) and write shards and index to the shared folder."""
     path = scratch_path(docs.sparkSession, "tokens")
     rows = docs.select(F.col("doc_id").cast("long"), whole(F.col("text").cast("string")).alias("text"))
-    shards = int((rows.agg(F.sum(F.length("text"))).first()[0] or 0) // SHARD_CHARS) + 1
-    # The hash of the text splits an id that many rows share; the shards stay in doc_id order.
-    dealt = rows.repartitionByRange(shards, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
+    size = rows.agg(F.sum(F.length("text")).alias("chars"), F.count(F.lit(1)).alias("rows")).first()
+    shards = max(int((size.chars or 0) // SHARD_CHARS), size.rows // SHARD_ROWS) + 1
+    # The hash of the text splits an id that many rows share, the row's number equal rows; the shards stay in doc_id order.
+    dealt = rows.repartitionByRange(shards, "doc_id", F.xxhash64("text"), F.monotonically_increasing_id())
+    dealt = dealt.sortWithinPartitions("doc_id", F.xxhash64("text"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -255,7 +280,7 @@ def write_store(docs: DataFrame, vocabulary: str, end: int = END) -> TokenStore:
                 lengths.write(np.concatenate(offsets).astype("<u8").tobytes())
 
     schema = "doc_id long, file string, shard int, row long, ids long, width int"
-    manifest, _ = stored(dealt.mapInArrow(write, schema), "token-rows")
+    manifest, manifest_path = stored(dealt.mapInArrow(write, schema), "token-rows")
     # One row a shard from here.
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     files = manifest.groupBy("shard", "file", "width").agg(F.sum("ids").alias("ids"), F.count(F.lit(1)).alias("rows"))
@@ -264,8 +289,9 @@ def write_store(docs: DataFrame, vocabulary: str, end: int = END) -> TokenStore:
 
     # A key's rows lie next to each other; a key that very many rows share may fill several shards.
     spans = manifest.groupBy("doc_id", "shard").agg(F.min("row").alias("row"), F.count(F.lit(1)).alias("rows"))
-    keys = spans.groupBy("doc_id").agg(F.min(F.struct("shard", "row")).alias("at"), F.sum("rows").alias("rows"))
-    keys, _ = stored(keys.select("doc_id", F.col("at.shard").alias("shard"), F.col("at.row").alias("row"), "rows"), "token-keys")
+    keys = spans.groupBy("doc_id").agg(F.min(F.struct("shard", "row")).alias("at"), F.max("shard").alias("last"), F.sum("rows").alias("rows"))
+    keys, _ = stored(keys.select("doc_id", F.col("at.shard").alias("shard"), "last", F.col("at.row").alias("row"), "rows"), "token-keys")
+    dropped(docs.sparkSession, manifest_path)
     parts = keys.count() // PART_KEYS + 1
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -273,7 +299,7 @@ def write_store(docs: DataFrame, vocabulary: str, end: int = END) -> TokenStore:
         for number, part in runs(batches):
             keys = part.column("doc_id").to_numpy()
             slots = np.empty(len(keys), SLOT)
-            for c in ("shard", "row", "rows"):
+            for c in ("shard", "last", "row", "rows"):
                 slots[c] = part.column(c).to_numpy()
             slots["print"] = mixed(keys, FINGERPRINT_SALT) >> np.uint64(32)
             name = f"index-{number:06d}-{uuid.uuid4().hex}.bin"
@@ -281,7 +307,7 @@ def write_store(docs: DataFrame, vocabulary: str, end: int = END) -> TokenStore:
                 sink.write(part_bytes(keys, slots))
             yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([name])], ["part", "file"])
 
-    numbered = _with_part(keys.where("doc_id IS NOT NULL"), parts).select("part", "doc_id", "shard", "row", "rows")
+    numbered = _with_part(keys.where("doc_id IS NOT NULL"), parts).select("part", "doc_id", "shard", "last", "row", "rows")
     built = numbered.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(index, "part int, file string")
     built, _ = stored(built, "token-index")
     return TokenStore(path, files, built, parts, keys.where("doc_id IS NULL"))
@@ -315,7 +341,7 @@ class TokenStore:
         self.path, self.files, self.index, self.parts, self.unkeyed = path, files, index, parts, unkeyed
 
     def locate(self, keys: DataFrame) -> DataFrame:
-        """doc_id, shard, row, rows of the distinct ``keys`` (doc_id) that the index knows."""
+        """doc_id, shard, last, row, rows of the distinct ``keys`` (doc_id) that the index knows."""
         path = self.path
 
         def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -327,28 +353,27 @@ class TokenStore:
                 at = table.slots(asked)
                 asked, got = asked[at >= 0], slots[at[at >= 0]]
                 right = got["print"] == (mixed(asked, FINGERPRINT_SALT) >> np.uint64(32)).astype(np.uint32)
-                columns = [got[c][right].astype(kind) for c, kind in (("shard", np.int32), ("row", np.int64), ("rows", np.int64))]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (asked[right], *columns)], ["doc_id", "shard", "row", "rows"])
+                columns = [got[c][right].astype(kind) for c, kind in (("shard", np.int32), ("last", np.int32), ("row", np.int64), ("rows", np.int64))]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (asked[right], *columns)], ["doc_id", "shard", "last", "row", "rows"])
 
         asked = keys.select(F.col("doc_id").cast("long")).where("doc_id IS NOT NULL").distinct()
         named = _with_part(asked, self.parts).join(self.index, "part").select("file", "doc_id")
         dealt = named.repartition(self.parts, "file").sortWithinPartitions("file")
-        return dealt.mapInArrow(find, "doc_id long, shard int, row long, rows long")
+        return dealt.mapInArrow(find, "doc_id long, shard int, last int, row long, rows long")
 
     def read(self, places: DataFrame) -> DataFrame:
         """doc_id, start (ids of all documents before), ids (binary, four little-endian bytes each) of
         every row at ``places``, which come from ``locate`` or ``unkeyed``."""
         path = self.path
-        own = places.join(self.files.withColumnRenamed("rows", "held"), "shard")
-        fits = F.col("row") + F.col("rows") <= F.col("held")
-        columns = ["file", "row", "rows", "width", "ids_before", "doc_id"]
-        # Only a key that very many rows share runs on into the next shards.
-        over = own.where(~fits).select("doc_id", (F.col("rows_before") + F.col("row")).alias("a"), (F.col("rows_before") + F.col("row") + F.col("rows")).alias("b"))
-        ends = F.col("rows_before") + F.col("rows")
-        met = over.join(self.files, (F.col("rows_before") < F.col("b")) & (ends > F.col("a")))
-        across = met.select(
-            "file", F.greatest(F.col("a") - F.col("rows_before"), F.lit(0)).alias("row"),
-            (F.least("b", ends) - F.greatest("a", "rows_before")).alias("rows"), "width", "ids_before", "doc_id",
+        # Seldom more than one shard; a key that very many rows share runs on into the next ones.
+        spread = places.withColumn("each", F.explode(F.sequence("shard", "last")))
+        first = self.files.select(F.col("shard").alias("first_shard"), (F.col("rows_before")).alias("first_before"))
+        own = spread.join(self.files.withColumnRenamed("rows", "held").withColumnRenamed("shard", "each"), "each")
+        own = own.join(first, F.col("shard") == F.col("first_shard"))
+        a, b = F.col("first_before") + F.col("row"), F.col("first_before") + F.col("row") + F.col("rows")
+        start, end = F.greatest(a, F.col("rows_before")), F.least(b, F.col("rows_before") + F.col("held"))
+        every = own.select(
+            "file", (start - F.col("rows_before")).alias("row"), (end - start).alias("rows"), "width", "ids_before", "doc_id"
         )
 
         def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -372,7 +397,6 @@ class TokenStore:
                     if out[0]:
                         yield _rows(out)
 
-        every = own.where(fits).select(columns).unionByName(across)
         return every.repartition("file").sortWithinPartitions("file", "row").mapInArrow(read, "doc_id long, start long, ids binary")
 
 
