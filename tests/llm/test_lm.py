@@ -92,3 +92,53 @@ def test_nothing_to_learn_from(documents):
     assert score_texts(documents(), every_seventh(F.col("doc_id"))).count() == 0
     row = score_texts(documents((1, "a b")), F.lit(True)).first()
     assert (row.n_tokens, row.n_known, row.train_tokens, row.base_score, row.score) == (3, 0, 0, 0.0, 0.0)
+
+
+def test_few_hashes_and_very_many_ranges(documents, prose, monkeypatch):
+    """A block loops over the ranges it has hashes of, not over all of them."""
+    block = next(lm._blocks([_batch([(1, False, prose(1, 20)), (2, True, "a b")])])).to_pylist()[0]
+    asked = list(lm.Block(block).questions(10**7))
+    assert 1 < len(asked) < 100 and all(len(h) for _, _, h, _ in asked)
+    few = {(kind, int(h)): int(c) for kind, _, hashes, counts in lm.Block(block).questions(3) for h, c in zip(hashes, counts)}
+    assert few == {(kind, int(h)): int(c) for kind, _, hashes, counts in asked for h, c in zip(hashes, counts)}
+
+
+def _batch(rows):
+    import pyarrow as pa
+
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], ["doc_id", "held_out", "text"])
+
+
+def token_level(pairs):
+    """The model by its formula alone: EM over single tokens taken out of all counts, no histograms, nothing shared."""
+    words, both, tokens = counts(pairs)
+    n, v = sum(words.values()), len(words)
+    training = [(a, b) for k, (i, _) in enumerate(pairs) if not is_held(i) for a, b in zip([b"", *tokens[k]], tokens[k])]
+    known = 0.9
+    for _ in range(60):
+        parts = [known * (words[b] - 1) / (n - 1) for _, b in training]
+        known = sum(p / (p + (1 - known) / (v + 1)) for p in parts) / n
+    alone = lambda w, less: known * (words[w] - less) / (n - less) + (1 - known) / (v + 1)
+    bucket = lambda c: c.bit_length()
+    groups = {}
+    for a, b in training:
+        if words[a] > 1:
+            groups.setdefault(bucket(words[a] - 1), []).append(((both[a, b] - 1) / (words[a] - 1), alone(b, 1)))
+    weights = {0: 0.0}
+    for k, found in groups.items():
+        weight = 0.5
+        for _ in range(60):
+            weight = sum(weight * p / (weight * p + (1 - weight) * q) for p, q in found) / len(found)
+            weight = min(max(weight, 1e-6), 1 - 1e-6)
+        weights[k] = weight
+    for k in range(1, 60):
+        weights.setdefault(k, weights[k - 1])
+    score = lambda a, b: math.log10(weights[bucket(words[a])] * both[a, b] / max(words[a], 1) + (1 - weights[bucket(words[a])]) * alone(b, 0))
+    return {i: sum(score(a, b) for a, b in zip([b"", *tokens[k]], tokens[k])) for k, (i, _) in enumerate(pairs)}
+
+
+def test_weights_match_em_over_single_tokens(documents, prose):
+    pairs = [(k, " ".join(prose(k % 7 + j, 12) + f" own{k % 11}" for j in range(6))) for k in range(120)]
+    want = token_level(pairs)
+    rows = score_texts(documents(*pairs), every_seventh(F.col("doc_id"))).collect()
+    assert len(rows) == len(want) and all(r.score == pytest.approx(want[r.doc_id], rel=5e-3) for r in rows)

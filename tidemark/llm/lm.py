@@ -17,7 +17,8 @@ sorted, compressed list of hashes for each range of hashes. The owner of a range
 blocks hold and answers each list in its order. A word that a third of all documents hold is one
 entry in each block's list.
 
-Defined cases: a null text counts as empty and is its end token alone; a null doc_id counts as empty
+Defined cases: a null text counts as empty and is its end token alone; a very long text is a block of
+its own; a null doc_id counts as empty
 text in the fold rule; repeated rows are separate documents; without training tokens every
 probability is 1; an empty table gives no rows; other columns are ignored.
 """
@@ -40,6 +41,8 @@ BLOCK = 1_000_000
 """Tokens of a block; a longer text is a block of its own."""
 RANGE = 1_500_000
 """Tokens of the corpus for each range of hashes."""
+TOGETHER = 100_000
+"""Hashes that a block asks for at once, about."""
 BINS = 16
 """Histogram bins for each doubling of the ratio of the two estimates."""
 LOWEST, HIGHEST = -40, 80
@@ -134,10 +137,10 @@ class Block:
             hashes = self.hashes[kind][order]
             counts = np.bincount(self.at[kind][self.training], minlength=len(hashes))[order]
             owner = ((hashes >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
-            cuts = np.searchsorted(owner, np.arange(ranges + 1))
-            for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                if b > a:
-                    yield kind, k, hashes[a:b], counts[a:b]
+            # Only ranges that the block has hashes of: there may be far more ranges than hashes.
+            starts = np.flatnonzero(np.diff(owner, prepend=-1))
+            for a, b in zip(starts, [*starts[1:], len(owner)]):
+                yield kind, int(owner[a]), hashes[a:b], counts[a:b]
 
     def take(self, answers: dict[int, np.ndarray]) -> None:
         """Counts in the corpus of each token, its predecessor and their pair; answers in the order of the questions."""
@@ -150,16 +153,21 @@ class Block:
 
 
 def _questions(ranges: int):
+    names, kinds = ["owner", "block", "n", "steps", "counts"], (pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary())
+
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
+                held, size = [], 0
                 for kind, k, hashes, counts in Block(row).questions(ranges):
                     steps = np.diff(hashes, prepend=np.uint64(0))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([kind << 32 | k]), pa.array([row["block"]]), pa.array([len(hashes)], pa.int64()),
-                         pa.array([squeezed(steps)], pa.binary()), pa.array([squeezed(counts.astype("<u4"))], pa.binary())],
-                        ["owner", "block", "n", "steps", "counts"],
-                    )
+                    held.append((kind << 32 | k, row["block"], len(hashes), squeezed(steps), squeezed(counts.astype("<u4"))))
+                    size += len(hashes)
+                    if size >= TOGETHER:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), kinds)], names)
+                        held, size = [], 0
+                if held:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), kinds)], names)
 
     return ask
 
