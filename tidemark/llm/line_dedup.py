@@ -50,6 +50,8 @@ _DENSE = r"\x{0e00}-\x{0eff}\x{1000}-\x{109f}\x{1780}-\x{17ff}\x{3040}-\x{30ff}\
 """Scripts without blanks: Thai, Lao, Burmese, Khmer, kana, Han."""
 _BLANKS = rf"[{_WHITE}&&[^\n]]*+"
 _WORD = rf"(?:[{_DENSE}]{{1,2}}+|[^{_WHITE}{_DENSE}]{{1,{WIDE}}}+)"
+_UNUSUAL = r"[\x85\xa0\x{590}-\x{10ffff}]"
+"""Scripts without blanks, white space beyond ASCII, and whatever is near them."""
 _NEXT = rf"\n(?={_BLANKS}[^{_WHITE}])"
 """The line feed before a line that is not blank."""
 
@@ -64,9 +66,11 @@ def _bare(unit: Column) -> Column:
 
 
 def _count(unit: Column, long: int) -> Column:
-    """The words of a line; ``long`` for any line with so many, which is seen without counting on."""
-    many = rf"(?:{_WORD}[{_WHITE}]*+){{{long - 1}}}{_WORD}" if long > 1 else _WORD
-    return F.when(unit.rlike(many), long).otherwise(F.regexp_count(unit, F.lit(_WORD)))
+    """The words of a line, ``long`` for any line with so many."""
+    # Without signs that need the patterns: the first words by plain white space, the rest of the line as the last one.
+    parts = F.split(unit, r"\s+", long + 2)
+    plain = F.aggregate(parts, F.lit(0), lambda s, w: s + F.floor((F.length(w) + (WIDE - 1)) / WIDE).cast("int"))
+    return F.least(F.lit(long), F.when(unit.rlike(_UNUSUAL), F.regexp_count(unit, F.lit(_WORD))).otherwise(plain))
 
 
 def _reach(words: Column, enough: int) -> Column:
@@ -170,29 +174,27 @@ def repeated(docs: DataFrame, long: int = LONG) -> tuple[DataFrame, list[str]]:
     runs = runs.withColumn("_originals", F.transform("_places", lambda p: p - F.col("_shift")))
     runs, runs_path = stored(runs, "repeated-runs")
 
-    keyed = docs.select(F.col("_id").alias("_held_id"), F.xxhash64(whole(F.col("_text"))).alias("_held_key"), F.col("_text").alias("_held"))
-
-    def with_lines(rows: DataFrame, of: str, key: str, places: str, out: str) -> DataFrame:
-        """``rows`` with the bytes of the lines at ``places`` of their document."""
-        wanted = rows.groupBy(of, key).agg(F.collect_set(places).alias("_wanted"))
-        here = F.col(of).eqNullSafe(F.col("_held_id")) & (F.col(key) == F.col("_held_key"))
-        # Rows equal in id and text hold the same lines; one of them speaks for all.
-        held = keyed.join(wanted, here).groupBy(of, key).agg(F.first("_wanted").alias("_wanted"), F.first("_held").alias("_held"))
-        cut = held.select(of, key, "_wanted", F.transform(units(whole(F.col("_held"))), _bare).alias("_units"))
-        picked = F.transform("_wanted", lambda w: F.struct(w.alias(places), F.transform(w, lambda p: F.get("_units", p)).alias(out)))
-        return cut.select(of, key, F.size("_units"), F.explode(picked).alias("_w")).select(of, key, "_w.*")
-
-    mine, mine_path = stored(with_lines(runs, "_id", "_key", "_places", "_mine"), "later-lines")
-    firsts = runs.select("_first_id", "_first_key", "_originals").distinct()
-    theirs, theirs_path = stored(with_lines(firsts, "_first_id", "_first_key", "_originals", "_theirs"), "first-lines")
+    # The bytes of all lines to be compared, of later and of first documents, in one pass over the texts.
+    mine, theirs = runs.select("_id", "_key", "_places"), runs.select(F.col("_first_id"), F.col("_first_key"), F.col("_originals"))
+    wanted = mine.union(theirs).groupBy("_id", "_key").agg(F.collect_set("_places").alias("_wanted"))
+    wanted = wanted.select(F.col("_id").alias("_of"), F.col("_key").alias("_with"), "_wanted")
+    here = F.col("_id").eqNullSafe(F.col("_of")) & (F.col("_key") == F.col("_with"))
+    keyed = docs.select("_id", "_text", F.xxhash64(whole(F.col("_text"))).alias("_key"))
+    # Merged at any size. Rows equal in id and text hold the same lines; one of them speaks for all.
+    met = keyed.join(wanted.hint("merge"), here).groupBy("_id", "_key").agg(F.first("_wanted").alias("_wanted"), F.first("_text").alias("_text"))
+    cut = met.select("_id", "_key", "_wanted", F.transform(units(whole(F.col("_text"))), _bare).alias("_units"))
+    picked = F.transform("_wanted", lambda w: F.struct(w.alias("_places"), F.transform(w, lambda p: F.get("_units", p)).alias("_lines")))
+    lines = cut.select("_id", "_key", F.size("_units"), F.explode(picked).alias("_w")).select("_id", "_key", "_w.*")
+    lines, lines_path = stored(lines, "compared-lines")
+
     of_mine = F.col("r._id").eqNullSafe(F.col("m._id")) & (F.col("r._key") == F.col("m._key")) & (F.col("r._places") == F.col("m._places"))
     of_theirs = (
-        F.col("r._first_id").eqNullSafe(F.col("t._first_id")) & (F.col("r._first_key") == F.col("t._first_key"))
-        & (F.col("r._originals") == F.col("t._originals")) & (F.col("m._mine") == F.col("t._theirs"))
+        F.col("r._first_id").eqNullSafe(F.col("t._id")) & (F.col("r._first_key") == F.col("t._key"))
+        & (F.col("r._originals") == F.col("t._places")) & (F.col("m._lines") == F.col("t._lines"))
     )
-    equal = runs.alias("r").join(mine.alias("m"), of_mine).join(theirs.alias("t"), of_theirs).select("r._id", "r._key", "r._places")
+    equal = runs.alias("r").join(lines.alias("m"), of_mine).join(lines.alias("t"), of_theirs).select("r._id", "r._key", "r._places")
     gone = equal.groupBy("_id", "_key").agg(F.array_distinct(F.flatten(F.collect_set("_places"))).alias("_gone"))
-    return gone, [chunks_path, again_path, met_path, edges_path, earlier_path, runs_path, mine_path, theirs_path]
+    return gone, [chunks_path, again_path, met_path, edges_path, earlier_path, runs_path, lines_path]
 
 
 def without_repeats(docs: DataFrame, long: int = LONG) -> DataFrame:
@@ -203,7 +205,7 @@ def without_repeats(docs: DataFrame, long: int = LONG) -> DataFrame:
     dropped(docs.sparkSession, *folders)
     keyed = named.select("_row", "_id", "_text", F.xxhash64(whole(F.col("_text"))).alias("_text_key"))
     same = F.col("_id").eqNullSafe(F.col("_gone_id")) & (F.col("_text_key") == F.col("_gone_key"))
-    joined = keyed.join(gone, same, "left").select("_row", "_text", "_gone")
+    joined = keyed.join(gone.hint("merge"), same, "left").select("_row", "_text", "_gone")
     touched = joined.select("_row", "_text", "_gone", F.when(F.col("_gone").isNotNull(), units(F.col("_text"))).alias("_units"))
     left = F.array_except(F.sequence(F.lit(0), F.size("_units") - 1), F.col("_gone"))
     text = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(F.transform(left, lambda i: F.get("_units", i)), "\n"))
