@@ -1,10 +1,16 @@
-from collections import defaultdict
+import math
+import random
+import struct
+import zlib
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from odd_rows import ODD
-from tidemark.llm.sharding import hilbert_index, hilbert_shards, write_shards
+from tidemark.llm.sharding import BITS, SALTS, hilbert_index, hilbert_shards, write_shards
 
 
 @pytest.mark.parametrize("dims, bits", [(2, 3), (3, 2), (4, 2)])
@@ -49,3 +55,81 @@ def test_written_shards_hold_all_columns(spark, documents, tmp_path):
     back = spark.read.parquet(str(tmp_path / "out"))
     assert back.count() == 20 and {"text", "lang", "shard", "slot"} <= set(back.columns)
     assert sorted(r.text for r in back.select("text").collect()) == sorted(f"text {i}" for i in range(20))
+
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def corpus(n, seed=1):
+    rng = random.Random(seed)
+    langs, sources = ["en"] * 6 + ["de", "fr", "es", None], [f"src{k}" for k in range(25)]
+    rows = [(k * 3, "x" * rng.randint(0, 40), rng.choice(langs), rng.choice(sources[: rng.randint(1, 25)]), int(2 ** rng.uniform(0, 18))) for k in range(n)]
+    return [*rows, rows[5], rows[5], (None, "no id", "en", "src1", 9), (2**60, None, "de", "src2", None)]
+
+
+def signed(h):
+    return h - (1 << 64) if h >> 63 else h
+
+
+def placed(rows, shards, edges):
+    """Shards and slots straight from the description, given the edges of the id's quantiles."""
+    rank = []
+    for column in (2, 3):
+        counts = Counter(r[column] for r in rows if r[column] is not None)
+        line = [v for v in sorted(counts, key=lambda v: (-counts[v], v)) for _ in range(2 * counts[v])]
+        rank.append({v: (line.index(v) + counts[v]) * 16 // len(line) for v in counts})
+    keyed = []
+    for doc_id, text, lang, source, n_chars in rows:
+        data = (text or "").encode()
+        point = [0 if v is None else ranks[v] for v, ranks in zip((lang, source), rank)]
+        point.append(0 if n_chars is None else min(max(int(math.log2(max(n_chars, 1))) - 4, 0), 15))
+        point.append(0 if doc_id is None else sum(doc_id > e for e in edges))
+        h = 42
+        for value in (doc_id, zlib.crc32(data)):
+            h = h if value is None else xxhash.xxh64_intdigest(struct.pack("<q", value), h)
+        cell = int(hilbert_index(np.array([point]), BITS)[0])
+        keyed.append((cell, signed(h) % SALTS, doc_id is not None, doc_id or 0, zlib.crc32(data), len(data) + 16))
+    least, more = divmod(len(rows), shards)
+    sizes = [least + (k < more) for k in range(shards)]
+    order, out = iter(sorted(keyed)), []
+    for shard, size in enumerate(sizes):
+        for slot in range(size):
+            _, _, known, doc_id, crc, n = next(order)
+            out.append((doc_id if known else None, n, crc, shard, slot))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("shards", [7, 40])
+def test_places_match_brute_force(spark, shards):
+    rows = corpus(900)
+    docs = spark.createDataFrame(rows, SCHEMA)
+    edges = docs.agg(F.percentile_approx("doc_id", [k / 16 for k in range(1, 16)], 1000)).first()[0]
+    ids = sorted(r[0] for r in rows if r[0] is not None)
+    assert all(abs(ids.index(e) - k * len(ids) / 16) <= 2 for k, e in enumerate(edges, 1))
+    found = hilbert_shards(docs, shards).collect()
+    assert sorted([(r.doc_id, r["size"], r.text_crc32, r.shard, r.slot) for r in found], key=str) == placed(rows, shards, set(edges))
+
+
+def test_a_filter_on_any_dimension_reads_few_shards(spark, tmp_path):
+    """Shards whose smallest and largest values leave room for a match, as a reader prunes files."""
+    rows = [r for r in corpus(4000, 2) if None not in r]
+    write_shards(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "out"), shards=40)
+    shards = defaultdict(list)
+    for r in spark.read.parquet(str(tmp_path / "out")).collect():
+        shards[r.shard].append(r)
+    ranges = [{c: (min(r[c] for r in part), max(r[c] for r in part)) for c in ("lang", "source", "n_chars", "doc_id")} for part in shards.values()]
+    touched = lambda c, low, high: sum(a <= high and b >= low for a, b in (r[c] for r in ranges))
+    assert len(ranges) == 40
+    assert touched("lang", "de", "de") <= 18
+    assert touched("n_chars", 2**17, 2**18) <= 16
+    assert touched("doc_id", 0, 300) <= 18
+    assert sum(touched("source", s, s) for s in ("src3", "src9", "src20")) / 3 <= 36
+
+
+def test_one_far_id_leaves_the_others_apart(spark):
+    rows = [(k, "t", "en", "a", 9) for k in range(4000)] + [(2**60, "t", "en", "a", 9)]
+    found = hilbert_shards(spark.createDataFrame(rows, SCHEMA), 16).collect()
+    spans = defaultdict(list)
+    for r in found:
+        spans[r.shard].append(r.doc_id)
+    assert sum(max(s) - min(s) < 1000 for s in spans.values()) >= 15

@@ -1,29 +1,35 @@
 """Sharding by a Hilbert curve over quantised metadata.
 
-Each document becomes a point with one coordinate per metadata dimension. Documents are put in the
-order of the Hilbert curve through these points and the order is cut into runs of equal row counts,
-so that a shard covers a small box of every dimension and a reader can skip files by any of them.
-
-Defined cases: a null dimension gives coordinate 0; a null text has size 16 and crc32 0; repeated
-rows get places of their own; an empty table gives no rows; columns besides the named ones are
-ignored unless ``carry`` names them.
+Each document becomes a point with one coordinate per metadata dimension: a category's place among the
+others by frequency, the power of two of a magnitude, the quantile of an id. Documents are put in the order of
+the Hilbert curve through these points and the order is cut into runs of equal row counts, so that a
+shard covers a small box of every dimension and a reader can skip files by any of them.
+
+Defined cases: a null dimension gives coordinate 0; a null text has size 16 and crc32 0; a text counts
+whole, however long; repeated rows get places of their own; an empty table gives no rows; columns
+besides the named ones are ignored unless ``carry`` names them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import whole
+from tidemark.llm.common import stored, whole
 
 BITS = 4
 """Bits of each coordinate."""
+VALUES = 64
+"""Values of a category that have places of their own, at most."""
 SALTS = 64
-"""Parts that the rows of one curve cell are split into before they are numbered."""
+"""Parts that the rows of one curve cell are split into before they are numbered, at least."""
+SALT_ROWS = 500_000
+"""One part more for so many rows of the table, however many are in one cell."""
 ROW_BYTES = 16
 
 
@@ -53,8 +59,23 @@ def hilbert_index(points: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def _category(column: Column) -> Column:
-    return F.coalesce(F.pmod(F.xxhash64(column), F.lit(1 << BITS)), F.lit(0)).cast("int")
+def _category(docs: DataFrame, name: str) -> Column:
+    """The middle of a value's share when values are laid side by side, the most frequent first; null has cell 0.
+
+    A value with more than one part in 2**BITS of the rows has a cell of its own, and neighbours at
+    the ends of the axis fall into different halves of it. Values beyond the ``VALUES`` most frequent
+    ones share the last cell.
+    """
+    counts = docs.where(F.col(name).isNotNull()).groupBy(F.col(name).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    first, total = counts.orderBy(F.desc("n"), "value").limit(VALUES).collect(), counts.agg(F.sum("n")).first()[0]
+    cells, before = [], 0
+    for r in first:
+        cells.append((2 * before + r.n) * (1 << BITS) // (2 * total))
+        before += r.n
+    names = F.array(*[F.lit(r.value) for r in first]).cast("array<string>")
+    at = F.array_position(names, F.col(name).cast("string")).cast("int")
+    found = F.get(F.array(*map(F.lit, cells)).cast("array<int>"), at - 1)
+    return F.when(F.col(name).isNull(), 0).when(at > 0, found).otherwise((1 << BITS) - 1)
 
 
 def _magnitude(column: Column) -> Column:
@@ -63,10 +84,10 @@ def _magnitude(column: Column) -> Column:
     return F.coalesce(F.least(F.greatest(power, F.lit(0)), F.lit((1 << BITS) - 1)), F.lit(0))
 
 
-def _position(column: Column, low: int | None, high: int | None) -> Column:
-    width = max(((high or 0) - (low or 0) + 1), 1) / (1 << BITS)
-    place = F.floor((column.cast("double") - F.lit(float(low or 0))) / F.lit(width)).cast("int")
-    return F.coalesce(F.least(F.greatest(place, F.lit(0)), F.lit((1 << BITS) - 1)), F.lit(0))
+def _quantile(column: Column, edges: list[int]) -> Column:
+    """How many of the edges lie below a value."""
+    below = [F.when(column > edge, 1).otherwise(0) for edge in edges]
+    return F.coalesce(reduce(Column.__add__, below, F.lit(0)), F.lit(0))
 
 
 def hilbert_shards(
@@ -81,12 +102,14 @@ def hilbert_shards(
     Row counts of the shards differ by one at most. Only narrow rows are shuffled, once, on
     (cell, salt): a cell that holds a third of all rows is numbered by many tasks.
     """
-    bounds = docs.agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).first()
+    shares = [k / (1 << BITS) for k in range(1, 1 << BITS)]
+    bounds = docs.agg(F.count(F.lit(1)).alias("n"), F.percentile_approx("doc_id", shares, 1000).alias("edges")).first()
     coordinates = (
-        [_category(F.col(c)) for c in categories]
+        [_category(docs, c) for c in categories]
         + [_magnitude(F.col(c)) for c in magnitudes]
-        + [_position(F.col("doc_id"), bounds.low, bounds.high)]
+        + [_quantile(F.col("doc_id"), sorted(set(bounds.edges or [])))]
     )
+    salts = max(SALTS, bounds.n // SALT_ROWS)
     dims = len(coordinates)
 
     @F.pandas_udf("long")
@@ -103,8 +126,11 @@ def hilbert_shards(
     ).select(
         "doc_id", "size", "text_crc32", "_carried",
         curve(*[F.col(f"_axis{k}") for k in range(dims)]).alias("_cell"),
-        F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(SALTS)).cast("int").alias("_salt"),
+        F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(salts)).cast("int").alias("_salt"),
     )
+    if not carry:
+        # Narrow rows, and read three times: the texts and the curve are gone through once.
+        points, _ = stored(points, "points")
     # Rows before each (cell, salt): sums inside a stretch of cells, then over the 256 stretches.
     stretch = F.shiftright("_cell", max(dims * BITS - 8, 0)).alias("_stretch")
     units = points.groupBy("_cell", "_salt").agg(F.count(F.lit(1)).alias("_rows")).select("*", stretch)
