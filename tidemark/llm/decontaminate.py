@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import lower_ascii, stored, whole
+from tidemark.llm.common import dropped, lower_ascii, stored, whole
 
 WINDOW = 10
 SHINGLE = 3
@@ -60,14 +60,14 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> Data
 
     ``key`` is the hash of the text; (doc_id, key) is how hits find their rows again.
     """
-    cut, _ = stored(windows(items, width).select("item_id", "window", F.xxhash64("window").alias("window_id")), "windows")
+    cut, cut_path = stored(windows(items, width).select("item_id", "window", F.xxhash64("window").alias("window_id")), "windows")
     looked_for = cut.groupBy("window_id", "window").agg(F.count(F.lit(1)).alias("_items"))
     size = F.least(F.size("window"), F.lit(SHINGLE))
     pieces = looked_for.select(
         "window_id", F.size("window").alias("n"),
         F.posexplode(F.when(size == 3, _shingles(F.col("window"), 3)).when(size == 2, _shingles(F.col("window"), 2)).otherwise(_shingles(F.col("window"), 1))).alias("offset", "s"),
     ).select("window_id", "n", "offset", size_of(F.col("s")).alias("size"), F.col("s.*"))
-    pieces, _ = stored(pieces, "pieces")
+    pieces, pieces_path = stored(pieces, "pieces")
     sizes = [r[0] for r in pieces.select("size").distinct().collect()]  # of 1, 2 and 3
     vocabulary = pieces.select("w0", "w1", "w2").distinct().select(
         F.xxhash64("w0", "w1", "w2").alias("shingle"), F.col("w0").alias("v0"), F.col("w1").alias("v1"), F.col("w2").alias("v2")
@@ -91,7 +91,7 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> Data
         place = F.when(size_of_row() > s, place - longest).otherwise(place)
     met = rows.join(vocabulary, same, "left").where((F.col("at") == 0) | F.col("shingle").isNotNull())
     met = met.select("doc_id", "key", "n_words", F.when(F.col("at") == 0, -1).otherwise(place).cast("int").alias("at"), "shingle")
-    met, _ = stored(met, "met")
+    met, met_path = stored(met, "met")
 
     places = met.where("at >= 0").select("doc_id", "key", "n_words", "at", "shingle")
     rarity = places.groupBy("shingle").agg(F.count(F.lit(1)).alias("seen"))
@@ -122,7 +122,7 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> Data
         .agg(F.count(F.lit(1)).alias("has"))
         .where("has = needs")
     )
-    verified, _ = stored(verified.select("doc_id", "key", "window_id", "start", "n"), "verified")
+    verified, verified_path = stored(verified.select("doc_id", "key", "window_id", "start", "n"), "verified")
 
     # Words inside any window: each start adds what reaches beyond the ends before it.
     by_start = Window.partitionBy("doc_id", "key").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)
@@ -139,11 +139,14 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = WINDOW) -> Data
         hits["doc_id"].alias("d"), hits["key"].alias("k"), "n_hit", "items"
     )
     heads = met.where("at = -1").select("doc_id", "key", F.col("n_words").cast("long").alias("n_words"))
-    return heads.join(both, heads["doc_id"].eqNullSafe(both["d"]) & (heads["key"] == both["k"]), "left").select(
+    found = heads.join(both, heads["doc_id"].eqNullSafe(both["d"]) & (heads["key"] == both["k"]), "left").select(
         "doc_id", "key", "n_words",
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
+    found, _ = stored(found, "contaminated")  # narrow, so that what it came from can go
+    dropped(docs.sparkSession, cut_path, pieces_path, met_path, verified_path)
+    return found
 
 
 def size_of(shingle: Column) -> Column:

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import crc_of_id, stored, whole
+from tidemark.llm.common import crc_of_id, dropped, stored, whole
 from tidemark.llm.token_store import runs
 
 BLOCK = 1_000_000
@@ -301,7 +301,7 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     ``held_out`` is a column over doc_id; rows where it is true teach nothing.
     """
     rows = docs.select(F.col("doc_id").cast("long"), held_out.alias("held_out"), whole(F.col("text").cast("string")).alias("text"))
-    blocks, _ = stored(rows.mapInArrow(_blocks, BLOCKS), "lm-blocks")
+    blocks, blocks_path = stored(rows.mapInArrow(_blocks, BLOCKS), "lm-blocks")
     totals = blocks.select(F.aggregate("sizes", F.lit(0).cast("bigint"), lambda s, x: s + x).alias("tokens")).agg(
         F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("blocks")
     ).first()
@@ -309,7 +309,7 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     asked = blocks.mapInArrow(_questions(ranges), "owner long, block string, n long, steps binary, counts binary")
     dealt = asked.repartition(ranges, "owner").sortWithinPartitions("owner", "block")
     schema = "block string, owner long, n long, counts binary, bins array<bigint>, bin_words array<bigint>, bin_tokens array<bigint>"
-    answers, _ = stored(dealt.mapInArrow(_answers, schema), "lm-answers")
+    answers, answers_path = stored(dealt.mapInArrow(_answers, schema), "lm-answers")
 
     told = answers.select(F.explode(F.arrays_zip("bins", "bin_words", "bin_tokens")).alias("b"))
     bins = told.groupBy("b.bins").agg(F.sum("b.bin_words").alias("words"), F.sum("b.bin_tokens").alias("tokens")).collect()  # 4000 at most
@@ -330,6 +330,8 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     scored = met.mapInArrow(
         _scores(estimates), "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     )
+    scored, _ = stored(scored, "lm-scores")  # a few numbers a text, so that the blocks can go
+    dropped(docs.sparkSession, blocks_path, answers_path)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 

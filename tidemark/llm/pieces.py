@@ -16,7 +16,8 @@ Characters that are not in the vocabulary become byte pieces, and so does a lite
 would otherwise read as a blank: decoding gives back every text.
 
 Defined cases: a null text counts as empty and has no pieces; a null doc_id draws the skips of
-id 0; repeated rows get equal pieces; an empty table gives no rows; other columns stay as they are.
+id 0; a very long text is segmented whole; repeated rows get equal pieces; an empty table gives no
+rows; other columns stay as they are.
 """
 
 from __future__ import annotations
@@ -60,8 +61,7 @@ def mixed(x: np.ndarray) -> np.ndarray:
 class Segmenter:
     """The tables of one model, and the agenda over them."""
 
-    def __init__(self, model: str, rate: float, seed: int, streams: int | None = None):
-        """``streams`` is accepted for older callers and has no effect: every occurrence draws for itself."""
+    def __init__(self, model: str, rate: float, seed: int):
         library = sentencepiece.SentencePieceProcessor(model_file=model)
         n = library.get_piece_size()
         special = [library.is_control(i) or library.is_unknown(i) or library.is_byte(i) for i in range(n)]
@@ -281,7 +281,6 @@ def encode_pieces(
     model: str,
     rate: float = 0.1,
     seed: int = 42,
-    streams: int | None = None,
     keep: list[str] | None = None,
     decoded: bool = False,
 ) -> DataFrame:
@@ -296,7 +295,7 @@ def encode_pieces(
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         segmenter = None
         for batch in batches:
-            segmenter = segmenter or Segmenter(model, rate, seed, streams)
+            segmenter = segmenter or Segmenter(model, rate, seed)
             done = np.cumsum(pc.utf8_length(batch.column(2)).to_numpy())
             # Runs of whole texts of about CHUNK characters; a longer text is a run of its own.
             cuts = np.flatnonzero(np.diff(done // CHUNK, prepend=0))

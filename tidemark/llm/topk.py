@@ -7,7 +7,8 @@ times the list values at the current depth) is below the kth score it already ho
 
 Defined cases: a vector that is null, empty, or holds a null or non-finite component takes no part,
 neither as query nor as candidate; queries meet candidates of their own length only; equal scores
-go to the smaller id; repeated ids are separate candidates, but none meets a query of its own id.
+go to the smaller id; repeated ids are separate candidates, but none meets a query of its own id; rows
+with a null id take no part; an empty table on either side gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ learned without them.
 Training takes a bounded sample, the ``SAMPLE`` labelled rows with the smallest hash of their id, so
 the model's cost does not grow with the table; every row is scored on its whole text.
 
-Defined cases: a null text counts as empty and is scored like it; labels that are null, or that no
+Defined cases: a null text counts as empty and is scored like it, a very long one counts whole; labels that are null, or that no
 document has, are ignored; of several labels of an id the largest counts, of several rows the smallest
 text trains;
 without both classes among the training rows every score is the share of toxic training rows (0
@@ -250,8 +250,10 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column) -> Model:
     fitted = PipelineModel([assembled, trees.fit(assembled.transform(grows if two else features))])
     held = features.where(F.col("part") == 0)
     held = held if held.select("toxic").distinct().count() == 2 else features
-    margins = _margin(fitted.transform(held)).select("margin", F.col("toxic").cast("double").alias("label"))
-    calibration = IsotonicRegression(featuresCol="margin", labelCol="label").fit(margins)
+    # Many rows have the same margin: they count by weight, or one task would get them all.
+    margins = _margin(fitted.transform(held)).groupBy("margin", F.col("toxic").cast("double").alias("label"))
+    margins = margins.agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    calibration = IsotonicRegression(featuresCol="margin", labelCol="label", weightCol="weight").fit(margins)
     lexicon = learn_lexicon(counts, F.lit(True), clean, toxic)
     dropped(spark, told_path, rows_path, counts_path, features_path)
     return Model(toxic / (clean + toxic), lexicon, fitted, calibration)
