@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, line_dedup, pieces, simhash, toxicity
-from tidemark.llm.common import stored, table
+from tidemark.llm.common import dropped, stored, table
 
 #: Trained models decide in the first stage, so SQL cannot express the rows.
 ORACLE_SQL = None
@@ -59,7 +59,10 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs, _ = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        docs, path = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if before:
+            dropped(spark, before)  # the next stage reads this one's rows alone
+        before = path
     return docs
