@@ -69,6 +69,25 @@ def test_backfill_isolates_a_bad_entity(landed, tables, coins):
     assert pointer(tables, "backfill") is None
 
 
+def test_backfill_goes_on_when_it_cannot_tell_what_was_loaded(landed, tables, coins, monkeypatch):
+    """Every entity is loaded then; staging keeps one row per key, and the result says what went wrong."""
+    import sys
+
+    plan = sys.modules["tidemark.plans.backfill"]
+    backfill(sent(landed, 10), tables, coins, TODAY)
+
+    def broken(raw, day):
+        return raw.select(F.raise_error(F.lit("no access")).cast("string").alias("entity"), F.lit(day).alias("run_date"))
+
+    monkeypatch.setattr(plan, "loaded_on", broken)
+    result = backfill(sent(landed, 10), tables, coins, TODAY)
+    assert result and "no access" in result.check_error and (result.items, result.load.rows_loaded) == (5, 5)
+    assert tables.raw().count() == 10 and tables.read("staging").count() == 5
+    with pytest.raises(Exception, match="no access"):
+        backfill(sent(landed, 10), tables, coins, TODAY, strict_check=True)
+    assert tables.raw().count() == 10
+
+
 def test_unlisted_entities_are_not_loaded(landed, tables, coins):
     extra = landed(("orchard", NOW, TWO_POINTS, TODAY))
     result = backfill(sent(landed, 10).unionByName(extra), tables, coins, TODAY)

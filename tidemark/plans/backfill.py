@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from contextlib import ExitStack
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame
@@ -32,20 +33,29 @@ def backfill(
     now: datetime | None = None,
     pipeline_name: str = PIPELINE_NAME,
     bad_points: str = "raise",
+    strict_check: bool = False,
 ) -> RunResult:
     """Run the backfill of UTC day ``as_of``.
 
     ``landed`` has the columns of ``schemas.LANDED``. An entity that already has raw rows ingested
-    on that day is skipped and counts as a success. One bad entity never stops the others, and the
-    layer builds run even when nothing was loaded.
+    on that day is skipped and counts as a success. If that cannot be found out, every entity is
+    loaded (staging keeps one row per key either way) and the result's ``check_error`` says why;
+    ``strict_check`` raises instead. One bad entity never stops the others, and the layer builds run
+    even when nothing was loaded.
     """
     tables.create()
-    run_id = new_run_id()
-    done = loaded_on(tables.raw(), as_of)
-    wanted = entities.select("entity").distinct()
-    todo = work_items(wanted, as_of, as_of).join(done, ["entity", "run_date"], "left_anti")
-    # The load changes what counts as done, so the list is fixed before it starts.
-    with materialized(todo, "backfill-items") as items:
+    run_id, check_error = new_run_id(), None
+    wanted = work_items(entities.select("entity").distinct(), as_of, as_of)
+    with ExitStack() as stack:
+        # The load changes what counts as done, so the list is fixed before it starts.
+        try:
+            done = loaded_on(tables.raw(), as_of)
+            items = stack.enter_context(materialized(wanted.join(done, ["entity", "run_date"], "left_anti"), "backfill-items"))
+        except Exception as error:
+            if strict_check:
+                raise
+            check_error = f"{type(error).__name__}: {error}"
+            items = stack.enter_context(materialized(wanted, "backfill-items"))
         load = load_entities(tables, landed_between(landed, as_of, as_of), items, run_id)
         status = record_status(tables, items, pipeline_name, run_id)
     bad = transform(tables, as_of, lookback_days, bad_points)
@@ -55,4 +65,4 @@ def backfill(
         # A backfill sets its pointer to its day, be that earlier than the one before.
         seen = tables.pointer(pipeline_name)
         resume_date = tables.move_pointer(pipeline_name, seen, as_of, now or datetime.now(timezone.utc)).processed
-    return RunResult(pipeline_name, run_id, as_of, as_of, ok, count, failures, load, resume_date, bad)
+    return RunResult(pipeline_name, run_id, as_of, as_of, ok, count, failures, load, resume_date, bad, check_error)

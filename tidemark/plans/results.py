@@ -31,6 +31,7 @@ class RunResult:
     load: LoadReport | None = None
     resume_date: date | None = None
     bad_points: int = 0
+    check_error: str | None = None
 
     def __bool__(self) -> bool:
         return self.ok
