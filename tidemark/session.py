@@ -21,6 +21,7 @@ RUNTIME_CONF = {
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 _local_scratch: str | None = None
+_hadoop: tuple | None = None
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -64,8 +65,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def folder(spark: SparkSession, path: str):
     """A path and its Hadoop file system, whichever store the path is on."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place, place.getFileSystem(spark._jsc.hadoopConfiguration())
+    global _hadoop
+    if _hadoop is None or _hadoop[0] is not spark.sparkContext:
+        # Looked up once: by name each of them costs several calls into the JVM.
+        _hadoop = spark.sparkContext, spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+    place = _hadoop[1](path)
+    return place, place.getFileSystem(_hadoop[2])
 
 
 def listed(spark: SparkSession, pattern: str) -> list[str]:

@@ -246,7 +246,7 @@ class Tables:
         rows.write.partitionBy(*TABLES[name].partitions).mode("overwrite").parquet(pending)
         if files is None:
             folders = {f.rpartition("/")[0] for f in data_files(self.spark, pending)}
-            files = [f"{inside}/{f}" for inside in folders for f in data_files(self.spark, f"{self.path(name)}/{inside}")]
+            files = commits.data_files_of(self.spark, self.path(name), sorted(folders))
         commits.decide(self.spark, pending, files)
         self.finish(name)
 
