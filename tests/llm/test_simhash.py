@@ -5,7 +5,7 @@ import pytest
 import xxhash
 
 from odd_rows import ODD
-from tidemark.llm.simhash import close_links, components, fingerprint, masks, near_duplicates, without_near_duplicates
+from tidemark.llm.simhash import close_links, components, fingerprint, masks, near_duplicates, parts_of, without_near_duplicates
 
 
 def plain(text, words=3):
@@ -129,3 +129,39 @@ def test_other_shingles_and_distances(documents, prose, words, distance):
     assert got == root
     kept = {r.doc_id for r in without_near_duplicates(documents(*pairs), words, distance).collect()}
     assert kept == set(root.values())
+
+
+@pytest.mark.parametrize("distance", [1, 3, 6])
+def test_finer_keys_keep_close_pairs_together(distance):
+    rng = random.Random(distance)
+    for _ in range(200):
+        mask = sum(1 << b for b in rng.sample(range(64), rng.randint(0, 60)))
+        a = rng.getrandbits(64)
+        free = [b for b in range(64) if not mask >> b & 1]
+        b = a ^ sum(1 << x for x in rng.sample(free, min(rng.randint(0, distance), len(free))))
+        finer = parts_of(mask, distance)
+        assert len(finer) == distance + 1 and all(m & mask == mask for m in finer)
+        assert any(a & m == b & m for m in finer)
+
+
+@pytest.mark.parametrize("heavy", [3, 40])
+def test_heavy_keys_are_dealt_to_finer_ones(monkeypatch, spark, heavy):
+    """Fingerprints of one template agree in most bits: no key of more than ``heavy`` of them reaches a task, and no link is lost."""
+    from tidemark.llm import simhash
+
+    monkeypatch.setattr(simhash, "HEAVY", heavy)
+    rng = random.Random(4)
+    base = rng.getrandbits(64)
+    prints = {base}
+    while len(prints) < 300:
+        prints.add(rng.choice(sorted(prints)) ^ sum(1 << b for b in rng.sample(range(0, 64, 3), rng.randint(1, 4))))
+
+    def table(p):
+        return spark.createDataFrame([(simhash.signed(x),) for x in p], "print long")
+
+    found = [(r.a & (1 << 64) - 1, r.b & (1 << 64) - 1) for r in simhash.links(table(prints)).collect()]
+    root = {p: p for p in prints}
+    for _ in range(len(prints)):
+        for a, b in found:
+            root[a] = root[b] = min(root[a], root[b])
+    assert root == groups(prints)

@@ -5,8 +5,9 @@ fingerprints that differ in at most ``distance`` bits agree completely in at lea
 ``blocks - distance`` of ``blocks`` blocks, so every choice of that many blocks is a join key: close
 pairs meet under one of the keys, and their Hamming distance is verified there.
 
-Equal fingerprints count once, so a group of copies costs one row. Under a key, a task links the
-fingerprints to a spanning forest instead of listing pairs; components are then joined by
+Equal fingerprints count once, so a group of copies costs one row. A key that very many different
+fingerprints share is dealt to finer keys by pigeonhole on the bits it leaves out. Under a key, a task
+links the fingerprints to a spanning forest instead of listing pairs; components are then joined by
 alternating star contraction on written tables.
 
 Defined cases: a null or blank text has fingerprint zero and links like any other; a very long text
@@ -33,6 +34,10 @@ DISTANCE = 3
 BLOCKS = 6
 DIRECT = 1024
 """Up to so many fingerprints under a key are compared with each other; more are split by pigeonhole again."""
+HEAVY = 50_000
+"""More fingerprints under a key are dealt to finer keys before a task gets them."""
+DEEPEST = 6
+"""Times that keys are made finer; each adds a quarter of the bits that are left."""
 
 
 def fingerprint(text: str | None, words: int = SHINGLE) -> int:
@@ -143,16 +148,43 @@ def _links(batches: Iterator[pa.RecordBatch], distance: int) -> Iterator[pa.Reco
         yield flush()
 
 
+def signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def parts_of(mask: int, distance: int) -> list[int]:
+    """Masks that add to ``mask`` one of ``distance + 1`` parts of the bits it leaves out.
+
+    Fingerprints within ``distance`` that agree under ``mask`` agree under one of these too.
+    """
+    free = [bit for bit in range(64) if not mask >> bit & 1]
+    cut = [free[k * len(free) // (distance + 1) : (k + 1) * len(free) // (distance + 1)] for k in range(distance + 1)]
+    return [mask | sum(1 << bit for bit in part) for part in cut]
+
+
 def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """Links (a, b) between distinct fingerprints, a spanning forest under each key.
 
     There are ``distance`` more blocks than a key has, so that the keys of any distance have three.
+    A key that more than ``HEAVY`` fingerprints share, such as pages of one template, is replaced by
+    the keys that look at some of the other bits too, and these again, so that no task gets it whole.
     """
-    keyed = prints.select("print").distinct().select(
-        "print",
-        F.posexplode(F.array(*[F.col("print").bitwiseAND(F.lit(m - (1 << 64) if m >> 63 else m)) for m in masks(distance + BLOCKS - DISTANCE, distance)])).alias("which", "key"),
-    )
-    dealt = keyed.select("which", "key", "print").repartition("which", "key").sortWithinPartitions("which", "key", "print")
+    spark = prints.sparkSession
+    level = [signed(m) for m in masks(distance + BLOCKS - DISTANCE, distance)]
+    distinct = prints.select("print").distinct()
+    keyed = distinct.select(F.explode(F.array(*map(F.lit, level))).alias("mask"), "print")
+    keyed = keyed.select("mask", F.col("mask").bitwiseAND(F.col("print")).alias("key"), "print")
+    for _ in range(DEEPEST):
+        heavy, _ = stored(keyed.groupBy("mask", "key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > HEAVY).select("mask", "key"), "heavy-keys")
+        found = [r.mask for r in heavy.select("mask").distinct().collect()]  # some of the level's masks
+        if not found:
+            break
+        finer = [(m, [signed(p) for p in parts_of(m & (1 << 64) - 1, distance)]) for m in found]
+        finer = F.broadcast(spark.createDataFrame(finer, "mask long, finer array<bigint>"))
+        more = keyed.join(heavy, ["mask", "key"], "left_semi").join(finer, "mask").select(F.explode("finer").alias("mask"), "print")
+        more = more.select("mask", F.col("mask").bitwiseAND(F.col("print")).alias("key"), "print")
+        keyed, _ = stored(keyed.join(heavy, ["mask", "key"], "left_anti").unionByName(more), "keyed")
+    dealt = keyed.repartition("mask", "key").sortWithinPartitions("mask", "key", "print")
     return dealt.mapInArrow(lambda batches: _links(batches, distance), "a long, b long").distinct()
 
 
