@@ -157,3 +157,31 @@ def test_only_the_own_folders_of_a_load_are_listed(landed, tables):
         tables.load(landed(("a", NOW, TWO_POINTS)), load)
     assert all("batch=two" in f for f in tables.of_load("two").inputFiles())
     assert rows(tables.of_load("nothing")) == []
+
+
+def test_bounded_reads_of_raw_list_their_dates_alone(landed, tables):
+    many_loads(landed, tables, 60, days=6)
+    some = tables.raw(date(2024, 2, 3), date(2024, 2, 4))
+    assert some.count() == 20 and {f.split("ingestion_date=")[1][:10] for f in some.inputFiles()} == {"2024-02-03", "2024-02-04"}
+    assert tables.raw(since=date(2024, 2, 6)).count() == 10 and tables.raw(until=date(2024, 2, 1)).count() == 10
+    none = tables.raw(since=date(2025, 1, 1))
+    assert none.schema == tables.raw().schema and none.count() == 0
+
+
+def test_a_run_reads_the_raw_days_of_its_lookback(landed, tables, spark, monkeypatch):
+    import sys
+
+    from tidemark.plans import backfill
+
+    results, seen = sys.modules["tidemark.plans.results"], []
+    many_loads(landed, tables, 12, days=6)
+    real = results.build_staging
+
+    def build(tables, raw, *args, **options):
+        seen.append({f.split("ingestion_date=")[1][:10] for f in raw.inputFiles()})
+        return real(tables, raw, *args, **options)
+
+    monkeypatch.setattr(results, "build_staging", build)
+    entities = spark.createDataFrame([("e0",)], "entity string")
+    backfill(landed(("e0", NOW, TWO_POINTS)), tables, entities, date(2024, 2, 5))
+    assert seen == [{"2024-02-04", "2024-02-05", "2024-02-06"}]

@@ -49,7 +49,7 @@ def backfill(
     with ExitStack() as stack:
         # The load changes what counts as done, so the list is fixed before it starts.
         try:
-            done = loaded_on(tables.raw(), as_of)
+            done = loaded_on(tables.raw(as_of, as_of), as_of)
             items = stack.enter_context(materialized(wanted.join(done, ["entity", "run_date"], "left_anti"), "backfill-items"))
         except Exception as error:
             if strict_check:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -84,6 +84,7 @@ def transform(tables: Tables, as_of: date, lookback_days: int | None, bad_points
 
     An error in the first one keeps the second from running.
     """
-    build = build_staging(tables, tables.raw(), as_of, lookback_days, bad_points=bad_points)
+    since = None if lookback_days is None else as_of - timedelta(days=lookback_days)
+    build = build_staging(tables, tables.raw(since), as_of, lookback_days, bad_points=bad_points)
     build_curated(tables, build.touched)
     return build.bad_points

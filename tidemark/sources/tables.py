@@ -102,9 +102,23 @@ class Tables:
         """Move a pipeline's pointer; see ``pointers.move`` for what happens beside another run."""
         return pointers.move(self.spark, self._pointers(), pipeline_name, seen, processed, now)
 
-    def raw(self) -> DataFrame:
-        """Loaded envelopes."""
-        loaded = self.read("intake").filter("outcome = 'loaded'")
+    def raw(self, since: date | None = None, until: date | None = None) -> DataFrame:
+        """Loaded envelopes, of the ingestion dates from ``since`` to ``until`` if these are given.
+
+        With a bound only the folders of its dates are listed, however many others there are.
+        """
+        spec, path = TABLES["intake"], self.path("intake")
+        if since is None and until is None:
+            loaded = self._stored("intake").filter("outcome = 'loaded'")
+        else:
+            days = {p.rpartition("=")[2]: p for p in listed(self.spark, f"{path}/outcome=loaded/ingestion_date=*")}
+            days.pop(NO_VALUE, None)
+            low, high = (since or date.min).isoformat(), (until or date.max).isoformat()
+            chosen = [p for day, p in sorted(days.items()) if low <= day <= high]
+            if chosen:
+                loaded = self.spark.read.schema(spec.full_schema).option("basePath", path).parquet(*chosen)
+            else:
+                loaded = self.spark.createDataFrame([], spec.full_schema)
         return loaded.select(*RAW.names, "ingestion_date", "load_id")
 
     def rejected(self) -> DataFrame:
