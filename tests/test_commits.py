@@ -87,7 +87,7 @@ def test_merged_rows_are_written_once(spark, tables, monkeypatch):
     tables.upsert("staging", points(spark, 1.0, 1, 2))
     moved = []
     real = commits.move
-    monkeypatch.setattr(commits, "move", lambda spark, a, b: (moved.append(b.removeprefix(f"{tables.root}/staging/")), real(spark, a, b)))
+    monkeypatch.setattr(commits, "move", lambda spark, a, b, first: (moved.append(b.removeprefix(f"{tables.root}/staging/")), real(spark, a, b, first)))
     tables.upsert("staging", points(spark, 2.0, 2, 3))
     now = data_files(spark, tables.path("staging"))
     assert set(moved) <= set(now) and len(now) == len(moved) + 1

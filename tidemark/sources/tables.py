@@ -262,15 +262,15 @@ class Tables:
             folders = {f.rpartition("/")[0] for f in data_files(self.spark, pending)}
             files = commits.data_files_of(self.spark, self.path(name), sorted(folders))
         commits.decide(self.spark, pending, files)
-        self.finish(name)
+        self.finish(name, first=True)
 
-    def finish(self, name: str) -> bool:
+    def finish(self, name: str, first: bool = False) -> bool:
         """Complete a change of the table's files that was decided but not applied; True if there was one.
 
         Every ``create``, ``upsert`` and ``pack`` begins with this, so that one that was stopped at
         any moment is either complete or has not happened.
         """
-        return commits.apply(self.spark, self._pending(name), self.path(name))
+        return commits.apply(self.spark, self._pending(name), self.path(name), first)
 
 
 def create_tables(spark: SparkSession, root: str) -> Tables:
