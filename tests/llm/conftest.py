@@ -15,7 +15,7 @@ def documents(spark):
         if clash:
             from pyspark.sql import functions as F
 
-            for name in ("_id", "_key", "_row", "_doc", "_hash", "_of", "_with", "_copies", "_text_key", "_gone", "_units", "_removed_", "component", "print_", "size", "shard", "key", "print", "score", "row", "pieces", "at", "shingle", "start", "ids", "part", "_text", "toxic"):
+            for name in ("_id", "_key", "_row", "_doc", "_hash", "_of", "_with", "_copies", "_text_key", "_gone", "_units", "_removed", "component", "print_", "size", "shard", "key", "print", "score", "row", "pieces", "at", "shingle", "start", "ids", "part", "_text", "toxic"):
                 df = df.withColumn(name, F.lit("x"))
         return df
 

@@ -7,7 +7,7 @@ from tidemark.llm.line_dedup import BASE, EDGE, LONG, MODULUS, chunks, without_r
 
 
 def texts(df):
-    return {r.doc_id: (r.text, r["_removed"]) for r in df.collect()}
+    return {r.doc_id: (r.text, r[-1]) for r in df.collect()}
 
 
 def test_a_long_passage_goes_everywhere_but_at_its_first_place(documents, prose):
@@ -20,7 +20,7 @@ def test_a_long_passage_goes_everywhere_but_at_its_first_place(documents, prose)
         clash=True,
     )
     found = without_repeats(docs)
-    assert found.columns == [*docs.columns, "_removed"]
+    assert found.columns == [*docs.columns, "_removed_"]
     got = texts(found)
     assert got[1][1] == 0 and passage in got[1][0]
     assert got[2] == ("", 1)

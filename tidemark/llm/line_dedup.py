@@ -198,7 +198,13 @@ def repeated(docs: DataFrame, long: int = LONG) -> tuple[DataFrame, list[str]]:
 
 
 def without_repeats(docs: DataFrame, long: int = LONG) -> DataFrame:
-    """``docs`` with repeated runs of at least ``long`` words taken out of ``text``; adds _removed, the number of their lines."""
+    """``docs`` with repeated runs of at least ``long`` words taken out of ``text``; adds _removed, the number of their lines.
+
+    That column is the last one, and has more underscores behind it if ``docs`` has one of its name.
+    """
+    removed = "_removed"
+    while removed in docs.columns:
+        removed += "_"
     named = docs.select(F.struct(*docs.columns).alias("_row"), F.col("doc_id").alias("_id"), F.col("text").alias("_text"))
     gone, folders = repeated(named.select("_id", "_text"), long)
     gone, _ = stored(gone.select(F.col("_id").alias("_gone_id"), F.col("_key").alias("_gone_key"), "_gone"), "repeated-lines")
@@ -211,5 +217,5 @@ def without_repeats(docs: DataFrame, long: int = LONG) -> DataFrame:
     text = F.when(F.col("_gone").isNull(), F.col("_text")).otherwise(F.array_join(F.transform(left, lambda i: F.get("_units", i)), "\n"))
     return touched.select(
         *[text.alias("text") if c == "text" else F.col("_row")[c].alias(c) for c in docs.columns],
-        F.coalesce(F.size("_gone"), F.lit(0)).alias("_removed"),
+        F.coalesce(F.size("_gone"), F.lit(0)).alias(removed),
     )
