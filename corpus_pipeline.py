@@ -27,7 +27,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     out = line_dedup.without_repeats(docs)
     if "n_chars" in docs.columns:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
-        out = out.withColumn("n_chars", F.when(F.col("_removed") > 0, length).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col(out.columns[-1]) > 0, length).otherwise(F.col("n_chars")))
     return out.select(docs.columns)
 
 
