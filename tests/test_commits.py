@@ -185,3 +185,18 @@ def test_a_run_reads_the_raw_days_of_its_lookback(landed, tables, spark, monkeyp
     entities = spark.createDataFrame([("e0",)], "entity string")
     backfill(landed(("e0", NOW, TWO_POINTS)), tables, entities, date(2024, 2, 5))
     assert seen == [{"2024-02-04", "2024-02-05", "2024-02-06"}]
+
+
+def test_status_of_many_runs_is_packed_by_pipeline(spark, tables):
+    rows_of = [("e", date(2024, 1, 1), k % 3 > 0, None, f"run{k}", f"p{k % 2}", f"run{k}") for k in range(40)]
+    from tidemark.schemas import STATUS_TABLE
+
+    tables.append("status", spark.createDataFrame(rows_of, STATUS_TABLE.full_schema))
+    before = rows(tables.read("status").drop("batch"))
+    assert rows(tables.of_run("p1", "run7"), "run_id", "ok") == [("run7", True)]
+    assert tables.pack("status", keep=["run39"]) == 39
+    assert rows(tables.read("status").drop("batch")) == before
+    folders = sorted(p.name[:12] for p in Path(tables.root, "status").glob("pipeline_name=*/batch=*"))
+    assert folders == ["batch=packed", "batch=packed", "batch=run39"]
+    assert rows(tables.of_run("p1", "run7"), "run_id", "ok") == [("run7", True)]
+    assert rows(tables.of_run("p0", "run7")) == []

@@ -66,13 +66,9 @@ def record_status(tables: Tables, items: DataFrame, pipeline_name: str, run_id:
     """Write one status row per work item and return this run's rows."""
     # A line that is no envelope names no entity.
     outcomes = tables.of_load(run_id).filter("corrupt IS NULL")
-    status = run_status(items, outcomes).withColumns(
-        {"pipeline_name": F.lit(pipeline_name), "run_id": F.lit(run_id)}
-    )
-    tables.append("status", status)
-    return tables.read("status").filter(
-        (F.col("pipeline_name") == pipeline_name) & (F.col("run_id") == run_id)
-    )
+    named = {"pipeline_name": pipeline_name, "run_id": run_id, "batch": run_id}
+    tables.append("status", run_status(items, outcomes).withColumns({c: F.lit(v) for c, v in named.items()}))
+    return tables.of_run(pipeline_name, run_id)
 
 
 def totals(status: DataFrame) -> tuple[int, int, bool]:

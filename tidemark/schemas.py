@@ -75,7 +75,9 @@ CURATED = _schema(
 STATE = _schema(
     pipeline_name=StringType(), last_processed_date=DateType(), updated_at=TimestampType()
 )
-STATUS = _schema(entity=StringType(), run_date=DateType(), ok=BooleanType(), reason=StringType())
+STATUS = _schema(
+    entity=StringType(), run_date=DateType(), ok=BooleanType(), reason=StringType(), run_id=StringType()
+)
 
 
 @dataclass(frozen=True)
@@ -139,9 +141,8 @@ STATE_TABLE = TableSpec(
     partitions={"bucket": "int"},
     derived={"bucket": "cast(pmod(xxhash64(pipeline_name), 16) AS int)"},
 )
-STATUS_TABLE = TableSpec(
-    "status", STATUS, partitions={"pipeline_name": "string", "run_id": "string"}
-)
+# A run, like a load, has a batch of its own until it is packed with others.
+STATUS_TABLE = TableSpec("status", STATUS, partitions={"pipeline_name": "string", "batch": "string"})
 
 TABLES = {
     spec.name: spec

@@ -136,12 +136,19 @@ class Tables:
 
     def of_load(self, load_id: str) -> DataFrame:
         """What one load stored, with its outcomes. Until the load is packed, only its own folders are listed."""
-        spec = TABLES["intake"]
-        own = listed(self.spark, f"{self.path('intake')}/outcome=*/ingestion_date=*/batch={load_id}")
+        return self._of_batch("intake", "load_id", load_id)
+
+    def of_run(self, pipeline_name: str, run_id: str) -> DataFrame:
+        """The status rows of one run, listed like the rows of a load."""
+        return self._of_batch("status", "run_id", run_id).filter(F.col("pipeline_name") == pipeline_name)
+
+    def _of_batch(self, name: str, column: str, value: str) -> DataFrame:
+        spec, path = TABLES[name], self.path(name)
+        *outer, _ = spec.partitions
+        own = listed(self.spark, "/".join([path, *[f"{c}=*" for c in outer], f"batch={value}"]))
         if own:
-            reader = self.spark.read.schema(spec.full_schema).option("basePath", self.path("intake"))
-            return reader.parquet(*own)
-        return self.read("intake").filter(F.col("batch").startswith(PACKED) & (F.col("load_id") == load_id))
+            return self.spark.read.schema(spec.full_schema).option("basePath", path).parquet(*own)
+        return self._stored(name).filter(F.col("batch").startswith(PACKED) & (F.col(column) == value))
 
     def files_of(self, load_id: str) -> DataFrame:
         """The landed files of one load and how many rows of each came to which outcome."""
@@ -189,30 +196,32 @@ class Tables:
         rows = counts.get
         return LoadReport(self.path("intake"), load_id, rows["loaded"], rows["rejected"], rows["corrupt"])
 
-    def pack(self, until: date | None = None, keep: Sequence[str] = (), least: int = 2) -> int:
-        """Merge the small files of many loads into few of each outcome and ingestion date.
+    def pack(self, name: str = "intake", until: date | None = None, keep: Sequence[str] = (), least: int = 2) -> int:
+        """Merge the small files of many loads (or runs, for ``status``) into few of each outcome and ingestion date
+        (or pipeline).
 
-        Rows keep their ``load_id``. Dates after ``until`` stay as they are, so do the loads in
-        ``keep`` (a load that may still be repeated), days with fewer than ``least`` small batches,
-        and files of ``PACKED_BYTES`` and more. Returns the number of files that went.
+        Rows keep their ``load_id`` (``run_id``). Ingestion dates after ``until`` stay as they are, so do
+        the loads in ``keep`` (a load that may still be repeated), folders with fewer than ``least`` small
+        batches, and files of ``PACKED_BYTES`` and more. Returns the number of files that went.
         """
-        self.finish("intake")
+        spec = TABLES[name]
+        *outer, _ = spec.partitions
+        self.finish(name)
         small: dict[str, list[str]] = {}
-        for name, size in data_files(self.spark, self.path("intake")).items():
-            day, _, batch = name.rpartition("/")[0].rpartition("/batch=")
-            when = day.rpartition("ingestion_date=")[2]
-            late = until is not None and (when == NO_VALUE or date.fromisoformat(when) > until)
+        for file, size in data_files(self.spark, self.path(name)).items():
+            group, _, batch = file.rpartition("/")[0].rpartition("/batch=")
+            day = group.rpartition("ingestion_date=")[2]
+            late = until is not None and (day == NO_VALUE or date.fromisoformat(day) > until)
             if size < PACKED_BYTES and batch not in keep and not late:
-                small.setdefault(day, []).append(name)
-        chosen = [f for names in small.values() if len({f.rpartition("/")[0] for f in names}) >= least for f in names]
+                small.setdefault(group, []).append(file)
+        chosen = [f for files in small.values() if len({f.rpartition("/")[0] for f in files}) >= least for f in files]
         if not chosen:
             return 0
-        spec = TABLES["intake"]
-        reader = self.spark.read.schema(spec.full_schema).option("basePath", self.path("intake"))
-        rows = reader.parquet(*[f"{self.path('intake')}/{f}" for f in chosen])
+        reader = self.spark.read.schema(spec.full_schema).option("basePath", self.path(name))
+        rows = reader.parquet(*[f"{self.path(name)}/{f}" for f in chosen])
         rows = rows.withColumn("batch", F.lit(f"{PACKED}{uuid.uuid4().hex}"))
-        packed = rows.hint("rebalance", "outcome", "ingestion_date").sortWithinPartitions(*spec.partitions, "load_id")
-        self._replace("intake", packed, chosen)
+        packed = rows.hint("rebalance", *outer).sortWithinPartitions(*spec.partitions, spec.schema.names[-1])
+        self._replace(name, packed, chosen)
         return len(chosen)
 
     def upsert(
