@@ -83,3 +83,35 @@ def test_an_occurrence_without_skipped_merges_equals_its_own_agenda(monkeypatch,
     taken = cut(segmenter, [text], [8])
     monkeypatch.setattr(pieces.Segmenter, "skipped", lambda self, key, met, f=pieces.Segmenter.skipped: f(self, key, met) | (np.ndim(key) == 1) & (len(met) > 1000))
     assert cut(segmenter, [text], [8]) == taken
+
+
+def heaps(monkeypatch, segmenter, texts):
+    """The pieces of texts when every unit runs a heap of its own."""
+    from tidemark.llm import pieces
+
+    with monkeypatch.context() as patch:
+        patch.setattr(pieces, "WIDE", 1)
+        return cut(segmenter, texts)
+
+
+@pytest.mark.parametrize("rate", [0.1, 0.5, 1.0])
+@pytest.mark.parametrize("shared", [1, 2, 50])
+def test_shared_agendas_give_what_each_occurrence_would_get(monkeypatch, prose, rate, shared):
+    segmenter = Segmenter(MODEL, rate, 7, shared)
+    texts = [" ".join([prose(5, 40), "the of international"] * 20), "", *TEXTS, " international" * 400, "mississippi banana"]
+    assert cut(segmenter, texts) == heaps(monkeypatch, segmenter, texts)
+
+
+def test_occurrences_with_the_same_skips_share_an_agenda(monkeypatch):
+    """Work grows with the distinct ways a unit is cut, not with its occurrences."""
+    ran, narrow = [], Segmenter.narrow
+    monkeypatch.setattr(Segmenter, "narrow", lambda self, ids, *rest: ran.append(len(ids)) or narrow(self, ids, *rest))
+    flat, _ = Segmenter(MODEL, 0.1, 42).encode([1], [" international" * 20_000])
+    assert len(flat) > 21_000 and sum(ran) < 2_000
+
+
+def test_texts_of_pieces_are_decoded_together():
+    segmenter = Segmenter(MODEL, 0.3, 1)
+    texts = [*TEXTS, "literal ▁ sign▁▁ ▁", "▁", ""]
+    for some in (texts, [""], []):
+        assert segmenter.decode_all(*segmenter.encode(list(range(len(some))), some)).to_pylist() == some

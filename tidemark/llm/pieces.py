@@ -9,8 +9,9 @@ dropout rate. So every occurrence of a unit draws its own skips, and repeats exa
 seed. Rate 0 gives the library's own encoding.
 
 Units are segmented once without dropout. An occurrence that skips none of the merges made there has
-that segmentation, as skipping a pair that is never merged changes nothing; all others run an agenda
-of their own.
+that segmentation, as skipping a pair that is never merged changes nothing. Others are parted by the
+first merge they skip: those with the same one share the agenda without it, where they draw the merges
+that follow, and so on. Occurrences that share their skips with too few run an agenda of their own.
 
 Characters that are not in the vocabulary become byte pieces, and so does a literal U+2581, which
 would otherwise read as a blank: decoding gives back every text.
@@ -23,8 +24,9 @@ rows; other columns stay as they are.
 from __future__ import annotations
 
 import heapq
-import re
+import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -40,12 +42,14 @@ BLANK = "▁"
 CHUNK = 8_000_000
 """Characters that a task segments at once."""
 WIDE = 32
-"""Longer units are segmented one by one, with a heap."""
-ROWS = 50_000
+"""Longer units are segmented one by one, with a heap. At most 256."""
+ROWS = 5_000
 """Units whose agendas run side by side."""
-DRAWN = 500_000
+DRAWN = 20_000
 """Occurrences whose skips are drawn at once."""
-NONE = np.int64(1) << 40
+LETTER, SPACE, OTHER = range(3)
+"""Kinds of characters: held by longer pieces, the blank, and those that are units on their own."""
+NONE = np.iinfo(np.int32).max
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB))
 
 
@@ -58,14 +62,23 @@ def mixed(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+class Units(NamedTuple):
+    """Distinct units: their code points in one array, and where each starts in it and how long it is."""
+
+    points: np.ndarray
+    starts: np.ndarray
+    sizes: np.ndarray
+
+
 class Segmenter:
     """The tables of one model, and the agenda over them."""
 
-    def __init__(self, model: str, rate: float, seed: int):
+    def __init__(self, model: str, rate: float, seed: int, shared: int = 2):
+        """Occurrences of a unit share an agenda if at least ``shared`` of them skip the same merges."""
         library = sentencepiece.SentencePieceProcessor(model_file=model)
         n = library.get_piece_size()
         special = [library.is_control(i) or library.is_unknown(i) or library.is_byte(i) for i in range(n)]
-        self.rate, self.seed = rate, seed
+        self.rate, self.seed, self.shared = rate, seed, shared
         ids = {library.id_to_piece(i): i for i in range(n) if not special[i]}
         byte_ids = {int(library.id_to_piece(i)[3:5], 16): i for i in range(n) if library.is_byte(i)}
         self.bytes_of = [b""] * n
@@ -73,6 +86,7 @@ class Segmenter:
             self.bytes_of[i] = piece.replace(BLANK, " ").encode()
         for value, i in byte_ids.items():
             self.bytes_of[i] = bytes([value])
+        self.spelt = pa.array(self.bytes_of, pa.binary())
         self.char_bytes = lambda c: [byte_ids[b] for b in c.encode()]
         longer = [p for p in ids if len(p) > 1]
         inside = set("".join(longer))
@@ -87,37 +101,74 @@ class Segmenter:
             (ids[p[:k]] << 20 | ids[p[k:]], ids[p], ranks[library.get_score(ids[p])])
             for p in longer for k in range(1, len(p)) if p[:k] in ids and p[k:] in ids
         )
-        self.keys, self.joined, self.ranks = (np.array(x, np.int64) for x in zip(*joins))
-        letters = "".join(map(re.escape, sorted(inside - {BLANK})))
-        self.units = re.compile(f"{BLANK}*[{letters}]+|{BLANK}+|[^{letters}{BLANK}]")
-
-    def split(self, text: str) -> list[str]:
-        """The units of a text; a literal U+2581 is a unit marked by a leading NUL pair."""
-        if not text:
-            return []
-        first, *others = text.split(BLANK)
-        out = self.units.findall(BLANK + first.replace(" ", BLANK))
-        for part in others:
-            out.append("\0" + BLANK)
-            out += self.units.findall(part.replace(" ", BLANK))
-        return out
+        keys, joined, ranks = zip(*joins)
+        # The last entry stands for pairs whose join is no piece.
+        self.keys, self.joined = np.array([*keys, -1 << 62], np.int64), np.array([*joined, -1], np.int32)
+        self.ranks = np.array([*ranks, NONE], np.int32)
+        self.shift = np.uint64(64 - (16 * len(keys)).bit_length())
+        self.slots = np.full(1 << (16 * len(keys)).bit_length(), len(keys), np.int32)
+        self.slots[self.slot(self.keys[:-1])] = np.arange(len(keys))
+        self.kind = np.full(0x110000, OTHER, np.uint8)
+        self.kind[[ord(c) for c in inside]] = LETTER
+        # In texts the blank has the symbol of U+2581, and a literal U+2581 has none.
+        self.symbol_of[ord(" ")], self.symbol_of[ord(BLANK)] = self.symbol_of[ord(BLANK)], -1
+        self.kind[ord(" ")], self.kind[ord(BLANK)] = SPACE, OTHER
+
+    def split(self, texts: list[str]) -> tuple[Units, np.ndarray, np.ndarray]:
+        """The distinct units of the texts, the number of the unit at each occurrence, and the offsets of the texts in these."""
+        points = np.frombuffer("".join([" " + t for t in texts if t]).encode("utf-32-le"), "<u4")
+        sizes = np.fromiter((len(t) + 1 if t else 0 for t in texts), np.int64, len(texts))
+        kind = self.kind[points]
+        opens = kind == OTHER
+        opens[1:] |= opens[:-1] | (kind[1:] == SPACE) & (kind[:-1] != SPACE)
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        opens[upto[:-1][sizes > 0]] = True
+        at = np.flatnonzero(opens)
+        ends = np.append(at, len(points))
+        # Units as binary values over the code points, for Arrow to number the distinct ones.
+        values = pa.Array.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(ends * 4), pa.py_buffer(points)])
+        numbered = values.dictionary_encode()
+        _, offsets, data = numbered.dictionary.buffers()
+        starts = np.frombuffer(offsets, np.int64)[: len(numbered.dictionary) + 1] // 4 if len(at) else np.zeros(1, np.int64)
+        held = np.frombuffer(data, "<u4")[: starts[-1]] if len(at) else np.empty(0, "<u4")
+        return Units(held, starts[:-1], np.diff(starts)), numbered.indices.to_numpy().astype(np.int64), np.searchsorted(at, upto)
 
     def skipped(self, key: np.ndarray, candidate: np.ndarray) -> np.ndarray:
-        return (mixed(key ^ candidate) >> np.uint64(11)).astype(np.float64) < self.rate * 2.0**53
+        below = min(math.ceil(self.rate * 2.0**53), 1 << 53)
+        return mixed(key ^ candidate) <= np.uint64((below << 11) - 1) if below > 0 else np.zeros(np.broadcast(key, candidate).shape, bool)
 
     @staticmethod
     def candidate(code: np.ndarray, start: np.ndarray) -> np.ndarray:
         with np.errstate(over="ignore"):
             return mixed(code.astype(np.uint64) + start.astype(np.uint64) * _MIX[0])
 
-    def pairs(self, key: np.ndarray | None, start: np.ndarray, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(rank, joined) of pairs; rank NONE where the pair is no piece or is skipped. Without a key none is skipped."""
-        code = left << 20 | right
-        at = np.minimum(np.searchsorted(self.keys, code), len(self.keys) - 1)
-        known = (self.keys[at] == code) & (left >= 0) & (right >= 0)
+    def pairs(
+        self, key: np.ndarray | None, start: np.ndarray, left: np.ndarray, right: np.ndarray, without: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """(rank, joined) of pairs; rank NONE where the pair is no piece, is skipped or is one of the merges ``without``
+        (along its first axis). Without a key none is skipped."""
+        code = left.astype(np.int64) << 20 | right
+        at = self.find(code)
+        rank, joined = self.ranks[at], self.joined[at]
         if key is not None and self.rate > 0:
-            known &= ~self.skipped(key, self.candidate(code, start))
-        return np.where(known, self.ranks[at], NONE), np.where(known, self.joined[at], -1)
+            rank[self.skipped(key, self.candidate(code, start))] = NONE
+        if without is not None:
+            for merge in without:
+                rank[code << 8 | start == merge] = NONE
+        return rank, joined
+
+    def slot(self, code: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return code.astype(np.uint64) * _MIX[0] >> self.shift
+
+    def find(self, code: np.ndarray) -> np.ndarray:
+        """Where the codes of pairs stand in the tables; codes whose slot holds another one are searched for."""
+        none = len(self.keys) - 1
+        at = self.slots[self.slot(code)]
+        other = np.nonzero((at < none) & (self.keys[at] != code))
+        found = np.searchsorted(self.keys[:-1], code[other])
+        at[other] = np.where(self.keys[found] == code[other], found, none)
+        return at
 
     def wide(self, symbols: list[int], key: np.ndarray | None) -> list[int]:
         """The agenda of one unit, as a heap over linked symbols."""
@@ -146,69 +197,69 @@ class Segmenter:
             offer([a for a, _ in ends], [b for _, b in ends])
         return [s for s in symbols if s >= 0]
 
-    def narrow(self, ids: np.ndarray, key: np.ndarray | None, merges: list | None = None) -> np.ndarray:
+    def narrow(
+        self, ids: np.ndarray, key: np.ndarray | None, without: np.ndarray | None = None, merges: list | None = None
+    ) -> np.ndarray:
         """The agendas of many units at once: a row each, symbols from the left, -1 behind them.
 
-        ``merges`` receives (rows, candidates) of the merges made.
+        ``without`` holds merges that are not made, a column for each row. ``merges`` receives for each step
+        (rows, merges made); a merge is the codes of its pieces and its place in one number.
         """
         n, width = ids.shape
-        out = np.full((n, width), -1, np.int64)
-        place = np.broadcast_to(np.arange(width, dtype=np.int64), ids.shape)
-        rank, joined = self.pairs(None if key is None else key[:, None], place[:, :-1], ids[:, :-1], ids[:, 1:])
-        rows, column = np.arange(n), np.arange(width)
-        while len(rows):
-            best = rank.argmin(axis=1)
-            live = rank[np.arange(len(rows)), best] < NONE
-            if not live.all():
-                out[rows[~live]] = ids[~live]
-                ids, place, rank, joined, rows, best = (x[live] for x in (ids, place, rank, joined, rows, best))
-                key = None if key is None else key[live]
-                if not len(rows):
-                    break
-            at = np.arange(len(rows))
+        # Flat places, a row's last one without a symbol: it is what stands before the next row and behind its own.
+        symbols = np.pad(ids.astype(np.int32), ((0, 0), (0, 1)), constant_values=-1)
+        rank, joined = np.full(symbols.shape, NONE, np.int32), np.full(symbols.shape, -1, np.int32)
+        rank[:, :-1], joined[:, :-1] = self.pairs(
+            None if key is None else key[:, None], np.arange(width), symbols[:, :-1], symbols[:, 1:],
+            None if without is None else without[:, :, None],
+        )
+        flat, ranks, joins = symbols.ravel(), rank.ravel(), joined.ravel()
+        after, before = np.roll(np.arange(flat.size), -1), np.roll(np.arange(flat.size), 1)
+        rows = np.arange(n)
+        while True:
+            at = rows * (width + 1) + rank[rows].argmin(axis=1)
+            live = ranks[at] < NONE
+            rows, at = rows[live], at[live]
+            if not len(rows):
+                return symbols
+            start, then = rows * (width + 1), after[at]
             if merges is not None:
-                merges.append((rows, self.candidate(ids[at, best] << 20 | ids[at, best + 1], place[at, best])))
-            ids[at, best] = joined[at, best]
-            # Take out the right symbol of each merge and close up.
-            after = column[None, :] > best[:, None]
-            closed = lambda x, fill: np.where(after[:, : x.shape[1]], np.pad(x[:, 1:], ((0, 0), (0, 1)), constant_values=fill), x)
-            ids, place, rank, joined = closed(ids, -1), closed(place, 0), closed(rank, NONE), closed(joined, -1)
-            for side in (np.minimum(best, width - 2), np.maximum(best - 1, 0)):
-                rank[at, side], joined[at, side] = self.pairs(key, place[at, side], ids[at, side], ids[at, side + 1])
-        return out
+                merges.append((rows, (flat[at].astype(np.int64) << 20 | flat[then]) << 8 | at - start))
+            flat[at], flat[then], ranks[then] = joins[at], -1, NONE
+            after[at] = after[then]
+            before[after[at]] = at
+            own, less = None if key is None else key[rows], None if without is None else without[:, rows]
+            for left in (at, before[at]):
+                ranks[left], joins[left] = self.pairs(own, left - start, flat[left], flat[after[left]], less)
 
     def segment(
-        self, units: list[str], which: np.ndarray, keys: np.ndarray | None, merges: list | None = None
+        self, units: Units, which: np.ndarray, keys: np.ndarray | None, without: np.ndarray | None = None, merges: list | None = None
     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Piece ids of ``units[which]`` under ``keys``: one array, and where each starts in it and how long it is.
+        """Piece ids of the units ``which`` under ``keys``: one array, and where each starts in it and how long it is.
 
-        ``merges`` receives (members, candidates) of the merges made in units of up to WIDE symbols.
+        ``without`` is as in ``narrow``; ``merges`` receives (step, members, merges made). Both are for units of up to
+        WIDE symbols.
         """
-        if not units:
-            return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-        points = np.frombuffer("".join(units).encode("utf-32-le"), "<u4")
-        symbols = self.symbol_of[points]
-        sizes = np.fromiter(map(len, units), np.int64, len(units))
-        starts = (np.cumsum(sizes) - sizes)[which]
-        sizes = sizes[which]
-        pools, lengths = [], np.zeros(len(which), np.int64)
+        starts, sizes = units.starts[which], units.sizes[which]
+        symbols = self.symbol_of[units.points]
+        pools, lengths = [np.empty(0, np.int32)], np.zeros(len(which), np.int64)
         begins, filled = np.zeros(len(which), np.int64), 0
 
         def keep(members, flat, counts):
             nonlocal filled
-            pools.append(flat)
+            pools.append(flat.astype(np.int32))
             lengths[members], begins[members] = counts, filled + np.cumsum(counts) - counts
             filled += len(flat)
 
-        single = sizes == 1
-        plain = np.flatnonzero(single & (symbols[starts] >= 0))
-        keep(plain, symbols[starts[plain]], np.ones(len(plain), np.int64))
-        for k in np.flatnonzero((single & (symbols[starts] < 0)) | (points[starts] == 0) & ~single):
-            found = self.char_bytes(units[which[k]][-1])
+        single = np.flatnonzero(sizes == 1)
+        spelt = symbols[starts[single]] < 0
+        keep(single[~spelt], symbols[starts[single[~spelt]]], np.ones((~spelt).sum(), np.int64))
+        for k in single[spelt].tolist():
+            found = self.char_bytes(chr(units.points[starts[k]]).replace(" ", BLANK))
             keep(np.array([k]), np.array(found, np.int64), np.array([len(found)]))
         before = 1
         for width in (4, 8, 12, 16, WIDE):
-            members = np.flatnonzero((sizes > before) & (sizes <= width) & (points[starts] != 0))
+            members = np.flatnonzero((sizes > before) & (sizes <= width))
             before = width
             for part in np.array_split(members, len(members) // ROWS + 1):
                 if not len(part):
@@ -216,60 +267,84 @@ class Segmenter:
                 inside = np.arange(width)[None, :] < sizes[part][:, None]
                 ids = np.where(inside, symbols[np.minimum(starts[part][:, None] + np.arange(width), len(symbols) - 1)], -1)
                 made = None if merges is None else []
-                found = self.narrow(ids, None if keys is None else keys[part], made)
+                found = self.narrow(ids, None if keys is None else keys[part], None if without is None else without[:, part], made)
                 if made:
-                    merges += [(part[rows], candidates) for rows, candidates in made]
+                    merges += [(step, part[rows], done) for step, (rows, done) in enumerate(made)]
                 real = found >= 0
                 keep(part, found[real], real.sum(axis=1))
-        for k in np.flatnonzero((sizes > WIDE) & (points[starts] != 0)):
+        for k in np.flatnonzero(sizes > WIDE):
             row = symbols[starts[k] : starts[k] + sizes[k]]
             found = self.wide(row.tolist(), None if keys is None else keys[k : k + 1])
             keep(np.array([k]), np.array(found, np.int64), np.array([len(found)]))
         return np.concatenate(pools), begins, lengths
 
+    def first_skipped(self, keys: np.ndarray, first: np.ndarray, made: np.ndarray, merges: np.ndarray) -> np.ndarray:
+        """Where in ``merges`` stands the first that each occurrence skips, of ``made`` from ``first`` on; -1 if none."""
+        met = self.candidate(merges >> 8, merges & 255)
+        out = np.full(len(keys), -1, np.int64)
+        for n in np.unique(made[made > 0]).tolist():
+            members = np.flatnonzero(made == n)
+            for at in range(0, len(members), DRAWN):
+                part = members[at : at + DRAWN]
+                skips = self.skipped(keys[part][:, None], met[first[part][:, None] + np.arange(n)])
+                hit = skips.any(axis=1)
+                out[part[hit]] = first[part[hit]] + skips[hit].argmax(axis=1)
+        return out
+
     def encode(self, doc_ids: list[int | None], texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts in one array, and the offsets of the texts in it."""
-        number: dict[str, int] = {}
-        per_text, whiches, keys = [], [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
-        for doc_id, text in zip(doc_ids, texts):
-            units = self.split(text)
-            for unit in set(units):
-                number.setdefault(unit, len(number))
-            whiches.append(np.fromiter(map(number.__getitem__, units), np.int64, len(units)))
-            with np.errstate(over="ignore"):
-                own = mixed(np.array([(doc_id or 0) & (1 << 64) - 1], np.uint64) ^ mixed(np.array([self.seed], np.uint64)))
-                keys.append(mixed(own + np.arange(len(units), dtype=np.uint64) * _MIX[2]))
-            per_text.append(len(units))
-        which, key = np.concatenate(whiches), np.concatenate(keys)
-        units, merges = list(number), [(np.empty(0, np.int64), np.empty(0, np.uint64))]
-        pool, begins, lengths = self.segment(units, np.arange(len(units)), None, merges)
-        begins, sizes = begins[which], lengths[which]
-        if self.rate > 0 and len(which):
-            pools, filled = [pool], len(pool)
-            owner, candidates = (np.concatenate(x) for x in zip(*merges))
+        units, which, upto = self.split(texts)
+        with np.errstate(over="ignore"):
+            own = mixed(np.array([(i or 0) & (1 << 64) - 1 for i in doc_ids], np.uint64) ^ mixed(np.array([self.seed], np.uint64)))
+            place = np.arange(len(which)) - np.repeat(upto[:-1], np.diff(upto))
+            keys = mixed(np.repeat(own, np.diff(upto)) + place.astype(np.uint64) * _MIX[2])
+        pools, filled = [], 0
+        begins, lengths = np.zeros(len(which), np.int64), np.zeros(len(which), np.int64)
+
+        def settle(members, found, starts, counts):
+            nonlocal filled
+            pools.append(found)
+            begins[members], lengths[members] = starts + filled, counts
+            filled += len(found)
+
+        # Agendas: their units, the merges each goes without, and the step from which its occurrences draw.
+        unit, without, drawn = np.arange(len(units.sizes)), np.empty((0, len(units.sizes)), np.int64), np.zeros(len(units.sizes), np.int64)
+        left, agenda, alone = np.arange(len(which)), which, []
+        while len(left):
+            steps = [(0, np.empty(0, np.int64), np.empty(0, np.int64))]
+            found, starts, counts = self.segment(units, unit, None, without, steps)
+            settle(left, found, starts[agenda], counts[agenda])
+            if self.rate <= 0:
+                break
+            if not len(without):
+                alone.append(left[units.sizes[which] > WIDE])
+            late = [drawn[members] <= step for step, members, _ in steps]
+            owner = np.concatenate([members[x] for x, (_, members, _) in zip(late, steps)])
+            merges = np.concatenate([done[x] for x, (_, _, done) in zip(late, steps)])
             order = np.argsort(owner, kind="stable")
-            candidates, made = candidates[order], np.bincount(owner, minlength=len(units))
+            owner, merges, made = owner[order], merges[order], np.bincount(owner, minlength=len(unit))
             first = np.cumsum(made) - made
-            long = np.fromiter(map(len, units), np.int64, len(units)) > WIDE
-            for at in range(0, len(which), DRAWN):
-                mine = which[at : at + DRAWN]
-                n = made[mine]
-                upto = np.cumsum(n)
-                occurrence = np.repeat(np.arange(len(mine)), n)
-                met = candidates[np.arange(len(occurrence)) + np.repeat(first[mine] - (upto - n), n)]
-                other = long[mine]
-                other[occurrence[self.skipped(key[at : at + DRAWN][occurrence], met)]] = True
-                other = np.flatnonzero(other) + at
-                if len(other):
-                    found, starts, counts = self.segment(units, which[other], key[other])
-                    pools.append(found)
-                    begins[other], sizes[other] = starts + filled, counts
-                    filled += len(found)
-            pool = np.concatenate(pools)
-        ends = np.cumsum(sizes)
-        flat = pool[np.repeat(begins - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
-        upto = np.concatenate([[0], ends])
-        return flat.astype(np.int32), upto[np.concatenate([[0], np.cumsum(per_text)]).astype(np.int64)]
+            skip = self.first_skipped(keys[left], first[agenda], made[agenda], merges)
+            left, skip = left[skip >= 0], skip[skip >= 0]
+            alike = np.bincount(skip, minlength=len(merges)) >= self.shared
+            alone.append(left[~alike[skip]])
+            left, skip = left[alike[skip]], skip[alike[skip]]
+            agenda, parted = (np.cumsum(alike) - 1)[skip], owner[alike]
+            without, unit = np.vstack([without[:, parted], merges[None, alike]]), unit[parted]
+            drawn = drawn[parted] + np.flatnonzero(alike) - first[parted]
+        alone = np.concatenate([*alone, np.empty(0, np.int64)])
+        settle(alone, *self.segment(units, which[alone], keys[alone]))
+        ends = np.cumsum(lengths)
+        pool = np.concatenate([*pools, np.empty(0, np.int32)])
+        flat = pool[np.repeat(begins - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        return flat, np.concatenate([[0], ends])[upto]
+
+    def decode_all(self, ids: np.ndarray, offsets: np.ndarray) -> pa.Array:
+        """The texts of runs of piece ids."""
+        _, upto, data = self.spelt.take(pa.array(ids)).buffers()
+        upto = np.frombuffer(upto, np.int32)[offsets] if len(ids) else np.zeros(len(offsets), np.int32)
+        spelt = pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(upto), data or pa.py_buffer(b"")])
+        return pc.utf8_slice_codeunits(spelt.cast(pa.string()), 1)
 
     def decode(self, ids) -> str:
         """The text of piece ids."""
@@ -302,15 +377,13 @@ def encode_pieces(
             starts = np.unique(np.concatenate([[0], cuts, [batch.num_rows]]).astype(np.int64))
             for a, b in zip(starts.tolist(), starts[1:].tolist()):
                 run = batch.slice(a, b - a)
-                texts = run.column(2).to_pylist()
-                ids, offsets = segmenter.encode(run.column(1).to_pylist(), texts)
-                ends = offsets.tolist()
-                back = [segmenter.decode(ids[x:y].tolist()) for x, y in zip(ends, ends[1:])]
+                ids, offsets = segmenter.encode(run.column(1).to_pylist(), run.column(2).to_pylist())
+                back = segmenter.decode_all(ids, offsets)
                 columns = [
                     run.column(0),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids)),
-                    pa.array([x == y for x, y in zip(back, texts)], pa.bool_()),
-                    *[pa.array(back, pa.string())] * decoded,
+                    pc.equal(back, run.column(2)),
+                    *[back] * decoded,
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["row", *added])
 
