@@ -7,7 +7,7 @@ import pytest
 from odd_rows import ODD
 
 from tidemark.llm import phrases as module
-from tidemark.llm.phrases import Trie, bit_set, collocations, pieces
+from tidemark.llm.phrases import Trie, Tries, bit_set, collocations, pieces, shard_of
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -93,6 +93,47 @@ def test_a_trie_of_many_phrases_stays_small():
     assert (accepted[np.isin(places, np.arange(0, 2 * len(phrases), 2))] == states).all()
 
 
+@pytest.mark.parametrize("length", [1, 2, 3])
+def test_tries_of_many_shards_find_what_one_trie_finds(monkeypatch, spark, length):
+    """Every place is followed in the trie of its own shard alone, also where stretches of a block meet."""
+    monkeypatch.setattr(module, "STRETCH", 700)
+    rng = np.random.default_rng(length)
+    alphabet = rng.integers(1, 2**64, 90, np.uint64)
+    hashes = np.concatenate([np.zeros(1, np.uint64), alphabet])
+    tokens = np.concatenate([np.where(rng.random(5000) < 0.1, 0, rng.integers(1, 61, 5000)), np.zeros(3, np.int64)])
+    windows = np.lib.stride_tricks.sliding_window_view(tokens, length)
+    whole = sorted({tuple(w) for w in windows.tolist() if 0 not in w})[:: 2 if length < 3 else 5]
+    phrases = hashes[np.array(whole + [(k + 60,) * length for k in range(1, 31)])]
+    h = module.names(length)
+    rows = spark.createDataFrame(phrases.view(np.int64).tolist(), ", ".join(f"{c} long" for c in h))
+    of = np.array([r[0] for r in rows.select(shard_of(h, 7)).collect()])
+    one, states = Trie.built(phrases)
+    want = sorted(zip(*[x.tolist() for x in one.advanced(tokens, hashes, length)]))
+    name, got = {}, []
+    for group in ([0, 1, 2, 3], [4, 5, 6]):
+        built = {k: Trie.built(phrases[of == k]) for k in group if (of == k).any()}
+        tries = Tries(7, {k: Trie.unpacked(*trie.packed()) for k, (trie, _) in built.items()})
+        for k, root in zip(tries.those, tries.roots):
+            name |= dict(zip(((group[0], s) for s in (built[k][1] + root).tolist()), states[of == k].tolist()))
+        found = [np.concatenate(part) for part in zip(*tries.advanced(tokens, hashes, length))]
+        assert (np.diff(found[0]) > 0).all()
+        got += [(p, name[group[0], s]) for p, s in zip(*[x.tolist() for x in found])]
+    assert len(set(of.tolist())) == 7 and sorted(got) == want and len(want) > 500
+
+
+def test_a_pass_over_the_blocks_serves_many_shards(monkeypatch, spark):
+    """More candidates mean more shards, but not as many passes."""
+    labels, put = [], module.stored
+    monkeypatch.setattr(module, "stored", lambda df, label: (labels.append(label), put(df, label))[1])
+    monkeypatch.setattr(module, "ENTRIES", 20)
+    monkeypatch.setattr(module, "SLICE", 64)
+    rng = random.Random(8)
+    rows = [("en", " ".join(f"w{rng.randint(0, 11)}" for _ in range(2500))) for _ in range(2)]
+    got = found(collocations(table(spark, rows), least=10, top=500))
+    assert got == brute(rows, 10, 500) and len(got) > 140
+    assert labels.count("trie-counts") == 2  # 144 pairs in 8 shards, few triples in one; one pass a shard before
+
+
 @pytest.mark.parametrize("block, entries", [(60, 500_000), (1_000_000, 20)])
 def test_matches_brute_force(monkeypatch, spark, block, entries):
     """Blocks of a few texts, and tries of a few phrases."""

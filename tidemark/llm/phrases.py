@@ -5,13 +5,15 @@ piece. Phrases grow by a word at a time. Candidates are Apriori-safe: both parts
 frequent words, both pairs of a triple are frequent pairs, and the blocks hold the phrase ``least``
 times together; Spark sums the blocks' distinct candidates. They are dealt to shards of at most about
 ``ENTRIES``, each of which a task builds into a trie of two arrays: word c leads from state s to
-base[s] + c if check there says s. A shard is broadcast by itself; for each block numpy starts a state
-at every place, advances all of them a word at a time, drops those without a transition and counts
-the accepting states left. The counts of all tasks are added up.
+base[s] + c if check there says s. ``GROUP`` shards are broadcast at a time. The words at a place name
+the one shard that could hold a phrase there; for each block numpy starts a state at every place in the
+root of its shard's trie, advances all of them a word at a time, drops those without a transition and
+counts the accepting states left. Tasks tell their counts packed by slices of states, which are added up.
 
 Words of a language are known by 64-bit hashes of language and word. Which words are frequent is told
 to the blocks by a bit set of fixed size, whose false positives the counts correct. What a task holds
-is bounded by a block and a shard; more candidates mean more shards, one pass over the blocks each.
+is bounded by a block and a group of shards; a pass over the blocks serves a whole group, and each place
+is followed in one pass alone, so more candidates add little but the reading of the blocks.
 
 A phrase's score is floor(10^6 a a / (l r)) for the cut into two parts where that is lowest; products
 are decimals of 38 digits. A pair is dropped when a triple that holds it has at least half its count.
@@ -42,6 +44,12 @@ BLOCK = 500_000
 """Words of a block; a longer text is a block of its own."""
 ENTRIES = 250_000
 """Candidates of a shard, on average."""
+GROUP = 6
+"""Shards that a pass over the blocks serves."""
+STRETCH = 1 << 16
+"""Places of a block that are advanced together."""
+SLICE = 1 << 15
+"""States whose counts are packed together."""
 BITS = 26
 """The frequent words' bit set holds 2**BITS bits."""
 EMIT = 100_000
@@ -87,22 +95,24 @@ class Numbers(dict):
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, text as bytes) to blocks; words are numbered from 1 in the order of their languages."""
+    """Rows (lang, text as bytes) to blocks; words are numbered from 1 in the order of their languages and hashes."""
     names: list[tuple[str, bytes]] = []
     numbers: dict[str, Numbers] = {}
     held: list[np.ndarray] = []
     total = 0
 
     def block() -> pa.RecordBatch:
-        order = sorted(range(len(names)), key=lambda k: names[k][0])
+        langs = sorted({lang for lang, _ in names})
+        index = {lang: k for k, lang in enumerate(langs)}
+        of = np.fromiter((index[lang] for lang, _ in names), np.int64, len(names))
+        hashes = np.fromiter((word_hash(lang.encode(), word) for lang, word in names), np.uint64, len(names))
+        order = np.lexsort([hashes, of])  # sorted hashes are looked up faster
+        of, hashes = of[order], hashes[order]
         place = np.empty(len(names) + 1, np.int64)
         place[0] = BREAK
-        place[np.array(order, np.int64) + 1] = np.arange(1, len(names) + 1)
+        place[order + 1] = np.arange(1, len(names) + 1)
         tokens = place[np.concatenate(held)]
         counts = np.bincount(tokens, minlength=len(names) + 1)[1:]
-        langs = sorted({lang for lang, _ in names})
-        of = np.searchsorted(langs, [names[k][0] for k in order]) if names else np.empty(0, np.int64)
-        hashes = np.fromiter((word_hash(names[k][0].encode(), names[k][1]) for k in order), np.uint64, len(names))
         row = {
             "block": uuid.uuid4().hex, "size": len(tokens), "tokens": squeezed(tokens.astype("<u4")), "n": len(names),
             "hashes": squeezed(hashes), "langs": langs, "lang_words": np.bincount(of, minlength=len(langs)).tolist(),
@@ -248,19 +258,8 @@ class Trie:
 
     def advanced(self, tokens: np.ndarray, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Places where a phrase of ``length`` words starts, and its accepting state there."""
-        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-        known = self.words[at] == hashes
-        known[BREAK] = False
-        steps, is_known = digits(self.numbers[at]), known[tokens]
-        places = np.flatnonzero(is_known[: len(tokens) - length])
-        states = np.zeros(len(places), np.int64)
-        for depth in range(length):
-            for half in range(2):
-                to = self.base[states] + steps[tokens[places + depth], half]
-                ok = is_known[places + depth] & (to > 0) & (to < len(self.check))
-                ok &= self.check[np.where(ok, to, 0)] == states
-                places, states = places[ok], to[ok]
-        return places, states
+        found = list(Tries(1, {0: self}).advanced(tokens, hashes, length))
+        return tuple(np.concatenate([np.empty(0, np.int64), *part]) for part in zip(*found)) if found else (np.empty(0, np.int64),) * 2
 
     def packed(self) -> tuple[int, int, bytes, bytes, bytes, bytes]:
         small = (a.astype("<i4") for a in (self.numbers, self.base, self.check))  # a shard has far fewer states
@@ -271,6 +270,61 @@ class Trie:
         return Trie(unsqueezed(words, n, "<u8"), unsqueezed(numbers, n, "<i4"), unsqueezed(base, size, "<i4"), unsqueezed(check, size, "<i4"))
 
 
+def shard_of(h: list[str], shards: int) -> Column:
+    """The shard that a phrase is dealt to; ``Tries`` finds it by the same rule."""
+    mixed = F.col(h[0])
+    for k, c in enumerate(h[1:], 1):
+        mixed = mixed.bitwiseXOR(F.shiftrightunsigned(c, k))
+    return F.pmod(mixed, F.lit(shards)).cast("int")
+
+
+class Tries:
+    """Tries of some of all ``shards``, one behind the other in two arrays, and the numbers each has for their words."""
+
+    def __init__(self, shards: int, tries: dict[int, Trie]):
+        # No child is further than 2**DIGIT from its base, on either side: what leaves a trie meets a margin.
+        self.roots = np.cumsum([0, *[len(t.base) + (1 << DIGIT) for t in tries.values()]])
+        self.shards, self.those = shards, list(tries)
+        self.place = np.full(shards, -1)
+        self.place[self.those] = np.arange(len(tries))
+        self.words = np.unique(np.concatenate([t.words for t in tries.values()]))
+        self.numbers = np.full((len(tries), len(self.words)), -1, np.int32)
+        self.base, self.check = np.zeros(self.roots[-1], np.int32), np.full(self.roots[-1], -1, np.int32)
+        for k, trie in enumerate(tries.values()):
+            root, own = self.roots[k], slice(self.roots[k], self.roots[k] + len(trie.base))
+            self.numbers[k, np.searchsorted(self.words, trie.words)] = trie.numbers
+            self.base[own] = trie.base + root
+            self.check[own] = np.where(trie.check < 0, -1, trie.check + root)
+        to, ok = self.followed(self.roots[:-1, None], self.numbers)
+        self.first = np.where(ok, to, -1).astype(np.int32)
+
+    def followed(self, states: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states a word later, and which of them there are."""
+        half = self.base[states] + (numbers >> DIGIT)
+        to = self.base[half] + (numbers & ((1 << DIGIT) - 1))
+        return to, (numbers >= 0) & (self.check[half] == states) & (self.check[to] == half)
+
+    def advanced(self, tokens: np.ndarray, hashes: np.ndarray, length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Places where a phrase of ``length`` words starts, and its accepting state there, by stretches of the block."""
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        known = self.words[at] == hashes
+        known[BREAK] = False
+        mixes = [hashes >> np.uint64(k) for k in range(length)]
+        firsts, numbers = self.first.ravel(), self.numbers.ravel()
+        for begin in range(0, len(tokens) - length, STRETCH):
+            words = tokens[begin : min(begin + STRETCH, len(tokens) - length) + length - 1]
+            ok, n = known[words], len(words) - length + 1
+            places = np.flatnonzero(np.logical_and.reduce([ok[k : k + n] for k in range(length)]))
+            mixed = np.bitwise_xor.reduce([mix[words[places + k]] for k, mix in enumerate(mixes)])
+            row = self.place[mixed.view(np.int64) % self.shards]
+            states = firsts[row * len(self.words) + at[words[places]]]
+            ok = (row >= 0) & (states >= 0)
+            for depth in range(1, length):
+                places, states, row = places[ok], states[ok], row[ok]
+                states, ok = self.followed(states, numbers[row * len(self.words) + at[words[places + depth]]])
+            yield places[ok] + begin, states[ok]
+
+
 PACKED = ("n", "size", "words", "numbers", "base", "check")
 TRIES = "shard int, n int, size int, words binary, numbers binary, base binary, check binary, states array<bigint>, words_of array<bigint>"
 
@@ -286,34 +340,68 @@ def _build(rows: pa.Table) -> pa.Table:
     return pa.Table.from_arrays(columns, [c.split()[0] for c in TRIES.split(", ")])
 
 
-SEEN = "state long, n long, block string, m long, steps binary"
+SEEN = "shard int, slice long, counts binary, block string, m long, steps binary"
 
+SUMS = "shard int, state long, a long"
 
 def _counted(shared, length: int, places: bool):
-    """Blocks to (state, n), a task adds up its blocks before it tells; and, if asked for, where phrases start in each block."""
+    """Blocks to the counts of each slice of a shard's states, a task adds up its blocks before it tells; and, if asked
+    for, where phrases start in each block. Column m is how many numbers are packed."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = Trie.unpacked(*shared.value)
-        total = np.zeros(len(trie.base), np.int64)
+        tries, held = shared.value, 0
+        total, one = np.zeros(tries.roots[-1], np.uint32), np.uint32(1)  # a one of another type is added far slower
+
+        def told() -> Iterator[pa.RecordBatch]:
+            for shard, root, end in zip(tries.those, tries.roots, tries.roots[1:]):
+                for k, at in enumerate(range(root, end, SLICE)):
+                    part = total[at : min(at + SLICE, end)]
+                    if part.any():
+                        yield _seen(shard, k, squeezed(part), None, len(part), None)
+            total[:] = 0
+
         for batch in batches:
             for row in rows_of(batch):
-                at, states = trie.advanced(*tokens_of(row), length)
-                total += np.bincount(states, minlength=len(total))
+                if held + row["size"] >= 1 << 32:
+                    yield from told()
+                    held = 0
+                held += row["size"]
+                starts = [np.empty(0, "<u4")]
+                for at, states in tries.advanced(*tokens_of(row), length):
+                    np.add.at(total, states, one)
+                    if places:
+                        starts.append(at.astype("<u4"))
                 if places:
-                    yield _seen([], [], [row["block"]], [len(at)], [squeezed(np.diff(at, prepend=0).astype("<u4"))])
-        seen = np.flatnonzero(total)
-        for at in range(0, len(seen), EMIT):
-            part = seen[at : at + EMIT]
-            yield _seen(part, total[part], [], [], [])
+                    at = np.concatenate(starts)
+                    yield _seen(None, None, None, row["block"], len(at), squeezed(np.diff(at, prepend=at.dtype.type(0))))
+        yield from told()
 
     return count
 
 
-def _seen(*columns) -> pa.RecordBatch:
-    n = max(map(len, columns))
-    kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.binary())
-    arrays = [pa.array(c if len(c) else [None] * n, k) for c, k in zip(columns, kinds)]
-    return pa.RecordBatch.from_arrays(arrays, [c.split()[0] for c in SEEN.split(", ")])
+def _seen(*values) -> pa.RecordBatch:
+    kinds = (pa.int32(), pa.int64(), pa.binary(), pa.string(), pa.int64(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], [c.split()[0] for c in SEEN.split(", ")])
+
+
+def _summed(least: int):
+    """The tasks' counts, dealt by slice, to (shard, state, a) of the states that were met ``least`` times."""
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[tuple[int, int], np.ndarray] = {}
+        for batch in batches:
+            for row in rows_of(batch):
+                counts, key = unsqueezed(row["counts"], row["m"], "<u4"), (row["shard"], row["slice"])
+                if key in sums:
+                    sums[key] += counts
+                else:
+                    sums[key] = counts.astype(np.int64)
+        for (shard, k), a in sums.items():
+            states = np.flatnonzero(a >= least)
+            columns = [pa.array(np.full(len(states), shard), pa.int32()), pa.array(k * SLICE + states, pa.int64()), pa.array(a[states], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["shard", "state", "a"])
+
+    return summed
 
 
 def names(length: int) -> list[str]:
@@ -327,20 +415,23 @@ def counted(
     of the places where candidates start, if asked for; the folders used."""
     spark, h = blocks.sparkSession, names(length)
     shards = candidates.count() // ENTRIES + 1
-    dealt = candidates.select(F.pmod(F.xxhash64(*h), F.lit(shards)).cast("int").alias("shard"), *h)
+    dealt = candidates.select(shard_of(h, shards).alias("shard"), *h)
     tries, folder = stored(dealt.groupBy("shard").applyInArrow(_build, TRIES), "tries")
-    seen, folders = spark.createDataFrame([], f"{SEEN}, shard int"), [folder]
-    for shard in range(shards):
-        row = tries.where(F.col("shard") == shard).select(*PACKED).first()
-        if row is None:
+    seen, folders = spark.createDataFrame([], SEEN), [folder]
+    sums = spark.createDataFrame([], SUMS)
+    for first in range(0, shards, GROUP):
+        rows = {k: tries.where(F.col("shard") == k).select(*PACKED).first() for k in range(first, min(first + GROUP, shards))}
+        group = {k: Trie.unpacked(*row) for k, row in rows.items() if row}
+        if not group:
             continue
-        shared = spark.sparkContext.broadcast(tuple(row))  # one shard: about ENTRIES phrases
+        shared = spark.sparkContext.broadcast(Tries(shards, group))  # about GROUP times ENTRIES phrases
         found = blocks.select("block", "tokens", "size", "hashes", "n").mapInArrow(_counted(shared, length, places), SEEN)
         part, folder = stored(found, "trie-counts")
         shared.unpersist()
-        seen = seen.unionByName(part.withColumn("shard", F.lit(shard)))
+        seen = seen.unionByName(part)
+        told = part.where("shard IS NOT NULL").select("shard", "slice", "counts", "m").repartition("shard", "slice")
+        sums = sums.unionByName(told.mapInArrow(_summed(least), SUMS))
         folders.append(folder)
-    sums = seen.where("state IS NOT NULL").groupBy("shard", "state").agg(F.sum("n").alias("a")).where(F.col("a") >= least)
     each = F.transform("states", lambda s, i: F.struct(s.alias("state"), *[F.get("words_of", i * length + k).alias(c) for k, c in enumerate(h)]))
     phrases = tries.select("shard", F.explode(each).alias("p")).select("shard", "p.*")
     out, folder = stored(sums.join(phrases, ["shard", "state"]).select(*h, "a"), f"phrases-{length}")
